@@ -158,3 +158,123 @@ def oracle_sql() -> dict[str, str]:
     out["preview_users_top_k"] = _preview("ods_user_info", USER_PREVIEW_COLUMNS, 3)
     out["layer_row_counts"] = LAYER_ROW_COUNTS
     return out
+
+
+# ---------------------------------------------------------------- data quality
+def _dq_profile_sql() -> str:
+    from laminar.operators.quality import CHECKED_TABLES
+    from laminar.schemas import TABLES
+    parts = []
+    for t in CHECKED_TABLES:
+        cols = TABLES[t].columns
+        counts = ", ".join(f"COUNT(*) - COUNT({c}) AS {c}" for c in cols)
+        parts.append(f"""
+  SELECT dt AS check_date, '{t}' AS table_name, column_name, total_count, null_count
+  FROM (SELECT dt, COUNT(*) AS total_count, {counts} FROM {t} GROUP BY dt)
+  UNPIVOT (null_count FOR column_name IN ({', '.join(cols)}))""")
+    body = "\n  UNION ALL".join(parts)
+    return f"""
+dq_profile AS (
+  SELECT check_date, table_name, column_name, total_count, null_count,
+    CAST(null_count AS DOUBLE) / CAST(total_count AS DOUBLE) AS null_ratio,
+    CAST(null_count AS DOUBLE) / CAST(total_count AS DOUBLE) > CAST(0.1 AS DOUBLE) AS breached
+  FROM ({body})
+)"""
+
+
+DQ_USER_CONSISTENCY = """
+dq_user_consistency AS (
+  SELECT COALESCE(o.dt, d.dt) AS check_date,
+    COALESCE(o.n, 0) AS ods_users, COALESCE(d.n, 0) AS dwd_users,
+    COALESCE(o.n, 0) = COALESCE(d.n, 0) AS consistent
+  FROM (SELECT dt, COUNT(DISTINCT user_id) AS n FROM ods_user_info GROUP BY dt) o
+  FULL OUTER JOIN (SELECT dt, COUNT(DISTINCT user_id) AS n FROM dwd_user_info GROUP BY dt) d ON o.dt = d.dt
+)"""
+
+DQ_ORDER_RETENTION = """
+dq_order_retention AS (
+  SELECT check_date, ods_rows, dwd_rows, retention_ratio,
+    retention_ratio < CAST(0.95 AS DOUBLE) AS breached
+  FROM (
+    SELECT COALESCE(o.dt, d.dt) AS check_date,
+      COALESCE(o.n, 0) AS ods_rows, COALESCE(d.n, 0) AS dwd_rows,
+      CASE WHEN COALESCE(o.n, 0) > 0 THEN CAST(COALESCE(d.n, 0) AS DOUBLE) / CAST(o.n AS DOUBLE)
+           ELSE CAST(0.0 AS DOUBLE) END AS retention_ratio
+    FROM (SELECT dt, COUNT(*) AS n FROM ods_order_info GROUP BY dt) o
+    FULL OUTER JOIN (SELECT dt, COUNT(*) AS n FROM dwd_order_info GROUP BY dt) d ON o.dt = d.dt
+  )
+)"""
+
+
+def _dq_accuracy_sql(as_of: str, min_date: str) -> str:
+    return f"""
+dq_accuracy AS (
+  SELECT dt AS check_date,
+    CAST(COUNT_IF(total_amount <= 0 OR unit_price <= 0 OR quantity <= 0) AS BIGINT) AS invalid_amounts,
+    CAST(COUNT_IF(order_date > DATE '{as_of}' OR order_date < DATE '{min_date}') AS BIGINT) AS invalid_dates
+  FROM dwd_order_info GROUP BY dt
+)"""
+
+
+def _dq_findings_sql() -> str:
+    from laminar.operators.quality import CHECKED_TABLES
+    empties = "\n  UNION ALL".join(f"""
+  SELECT check_date, 'empty_partition' AS check_name, '{t}' AS table_name, CAST(NULL AS VARCHAR) AS column_name,
+    CAST(0.0 AS DOUBLE) AS metric, CAST(NULL AS DOUBLE) AS threshold, 'FAIL' AS severity
+  FROM dq_dates WHERE check_date NOT IN (SELECT dt FROM {t})""" for t in CHECKED_TABLES)
+    return f"""
+dq_dates AS (SELECT dt AS check_date FROM ods_user_info UNION SELECT dt FROM ods_order_info),
+dq_findings AS ({empties}
+  UNION ALL
+  SELECT check_date, 'null_ratio', table_name, column_name, null_ratio, CAST(0.1 AS DOUBLE), 'WARN'
+  FROM dq_profile WHERE breached
+  UNION ALL
+  SELECT check_date, 'user_consistency', 'dwd_user_info', 'user_id',
+    CAST(dwd_users - ods_users AS DOUBLE), CAST(0.0 AS DOUBLE), 'WARN'
+  FROM dq_user_consistency WHERE NOT consistent
+  UNION ALL
+  SELECT check_date, 'order_retention', 'dwd_order_info', NULL, retention_ratio, CAST(0.95 AS DOUBLE), 'WARN'
+  FROM dq_order_retention WHERE breached
+  UNION ALL
+  SELECT check_date, 'amount_accuracy', 'dwd_order_info', NULL, CAST(invalid_amounts AS DOUBLE), CAST(0.0 AS DOUBLE), 'WARN'
+  FROM dq_accuracy WHERE invalid_amounts > 0
+  UNION ALL
+  SELECT check_date, 'date_accuracy', 'dwd_order_info', 'order_date', CAST(invalid_dates AS DOUBLE), CAST(0.0 AS DOUBLE), 'WARN'
+  FROM dq_accuracy WHERE invalid_dates > 0
+)"""
+
+
+def dq_sql(as_of: str, min_date: str) -> dict[str, str]:
+    ctes = [_dq_profile_sql(), DQ_USER_CONSISTENCY, DQ_ORDER_RETENTION, _dq_accuracy_sql(as_of, min_date),
+            _dq_findings_sql()]
+    report = """
+SELECT d.check_date,
+  CAST(6 - COALESCE(f.unchecked, 0) AS BIGINT) AS tables_checked,
+  CAST(COALESCE(f.fail_count, 0) AS BIGINT) AS fail_count,
+  CAST(COALESCE(f.warn_count, 0) AS BIGINT) AS warn_count,
+  CASE WHEN COALESCE(f.fail_count, 0) > 0 THEN 'FAIL' ELSE 'PASS' END AS overall_status
+FROM dq_dates d LEFT JOIN (
+  SELECT check_date,
+    COUNT_IF(severity = 'FAIL') AS fail_count,
+    COUNT_IF(severity = 'WARN') AS warn_count,
+    COUNT_IF(check_name IN ('empty_partition', 'table_missing')) AS unchecked
+  FROM dq_findings GROUP BY check_date
+) f ON d.check_date = f.check_date"""
+    return {
+        "dq_completeness": with_layers("SELECT * FROM dq_profile", ctes),
+        "dq_user_consistency": with_layers("SELECT * FROM dq_user_consistency", ctes),
+        "dq_order_retention": with_layers("SELECT * FROM dq_order_retention", ctes),
+        "dq_accuracy": with_layers("SELECT * FROM dq_accuracy", ctes),
+        "dq_findings": with_layers("SELECT * FROM dq_findings", ctes),
+        "dq_report": with_layers(report, ctes),
+    }
+
+
+_ORACLE_STEP1 = oracle_sql
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
+    from laminar.plans.registry import DQ_AS_OF, DQ_MIN_DATE
+    out = _ORACLE_STEP1()
+    out.update(dq_sql(DQ_AS_OF, DQ_MIN_DATE))
+    return out

@@ -58,3 +58,63 @@ def queries() -> dict[str, Query]:
         "preview_users_top_k": preview_users_top_k,
         "layer_row_counts": layer_row_counts,
     }
+
+
+# ---------------------------------------------------------------- data quality
+# Accuracy bounds bound to the driver data (orders span 1995-2001; the default
+# lower bound 2020-01-01 would flag every row).
+DQ_AS_OF = "2001-01-01"
+DQ_MIN_DATE = "1996-01-01"
+
+
+def dq_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators import quality
+    layers = Warehouse(spark, sf_dir).layers()
+    out = None
+    for name in quality.CHECKED_TABLES:
+        part = quality.completeness(layers[name], name)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def dq_user_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators import quality
+    wh = Warehouse(spark, sf_dir)
+    return quality.user_consistency(wh.ods_user_info, wh.dwd_user_info)
+
+
+def dq_order_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators import quality
+    wh = Warehouse(spark, sf_dir)
+    return quality.order_retention(wh.ods_order_info, wh.dwd_order_info)
+
+
+def dq_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators import quality
+    return quality.accuracy(Warehouse(spark, sf_dir).dwd_order_info, DQ_AS_OF, DQ_MIN_DATE)
+
+
+def dq_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators import quality
+    return quality.findings(Warehouse(spark, sf_dir).layers(), DQ_AS_OF, DQ_MIN_DATE)
+
+
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators import quality
+    return quality.report(Warehouse(spark, sf_dir).layers(), DQ_AS_OF, DQ_MIN_DATE)
+
+
+_QUERIES_STEP1 = queries
+
+
+def queries() -> dict[str, Query]:  # noqa: F811 - extended registry
+    q = _QUERIES_STEP1()
+    q.update({
+        "dq_completeness": dq_completeness,
+        "dq_user_consistency": dq_user_consistency,
+        "dq_order_retention": dq_order_retention,
+        "dq_accuracy": dq_accuracy,
+        "dq_findings": dq_findings,
+        "dq_report": dq_report,
+    })
+    return q
