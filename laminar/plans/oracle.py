@@ -278,3 +278,12 @@ def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
     out = _ORACLE_STEP1()
     out.update(dq_sql(DQ_AS_OF, DQ_MIN_DATE))
     return out
+
+
+_ORACLE_STEP3 = oracle_sql
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
+    out = _ORACLE_STEP3()
+    out["etl_roundtrip"] = LAYER_ROW_COUNTS
+    return out

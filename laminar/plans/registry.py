@@ -118,3 +118,47 @@ def queries() -> dict[str, Query]:  # noqa: F811 - extended registry
         "dq_report": dq_report,
     })
     return q
+
+
+# ---------------------------------------------------------------- write path
+def etl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land every raw day, backfill detail + summary in one job per table, rerun the
+    latest day, and read the four tables back as per-day row counts.
+
+    The rerun must leave every count unchanged (idempotent, and other days kept).
+    """
+    from pyspark.sql import functions as F
+
+    from laminar.functions.rules import SCALE_CATEGORY_RULES
+    from laminar.plans import daily
+    from laminar.schemas import (DWD_ORDER_INFO, DWD_USER_INFO, DWS_PRODUCT_DAILY_STATS,
+                                 DWS_USER_DAILY_STATS, ODS_ORDER_INFO, ODS_USER_INFO)
+    from laminar.session import new_area
+    from laminar.sinks.partitioned import land
+    from laminar.sources.tables import read_table
+
+    wh = Warehouse(spark, sf_dir)
+    root = new_area(spark, "roundtrip")
+    daily._concurrently(lambda: land(wh.ods_user_info, root, ODS_USER_INFO),
+                        lambda: land(wh.ods_order_info, root, ODS_ORDER_INFO))
+    daily.run(spark, root, daily.Days.every(), SCALE_CATEGORY_RULES)
+    latest = read_table(spark, root, ODS_ORDER_INFO).agg(F.max("dt")).first()[0]
+    if latest is not None:
+        daily.run_daily(spark, root, latest, category_rules=SCALE_CATEGORY_RULES)
+    back = {spec.name: read_table(spark, root, spec) for spec in
+            (DWD_USER_INFO, DWD_ORDER_INFO, DWS_USER_DAILY_STATS, DWS_PRODUCT_DAILY_STATS)}
+    return reports.layer_row_counts({
+        "dwd_user_info": ("DWD", back["dwd_user_info"]),
+        "dwd_order_info": ("DWD", back["dwd_order_info"]),
+        "dws_user_daily_stats": ("DWS", back["dws_user_daily_stats"]),
+        "dws_product_daily_stats": ("DWS", back["dws_product_daily_stats"]),
+    })
+
+
+_QUERIES_STEP3 = queries
+
+
+def queries() -> dict[str, Query]:  # noqa: F811 - extended registry
+    q = _QUERIES_STEP3()
+    q["etl_roundtrip"] = etl_roundtrip
+    return q

@@ -1,14 +1,17 @@
 """Reads of written warehouse tables.
 
 Paths are read with the contract's schema so the ``dt`` partition stays a STRING
-(inference would turn it into a DATE), and a day filter on ``dt`` becomes a
-partition filter: only that day's folder is listed and scanned.
+(inference would turn it into a DATE). A one-day read opens only that day's
+folder (``basePath`` keeps ``dt`` as a column), so a daily run lists one
+directory, not every day the table has ever had. Range reads filter on ``dt``,
+which Spark applies as a partition filter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,16 +24,31 @@ def table_path(root: str, spec: TableSpec) -> str:
 
 def read_table(spark: SparkSession, root: str, spec: TableSpec, day: str | None = None,
                columns: Sequence[str] | None = None) -> DataFrame:
-    """Partition-pruned read: ``SELECT cols FROM t WHERE dt = day``."""
-    df = spark.read.schema(spec.full_schema).parquet(table_path(root, spec))
-    if day is not None:
+    """``SELECT cols FROM t [WHERE dt = day]``; a day that was never written is empty."""
+    base = table_path(root, spec)
+    reader = spark.read.schema(spec.full_schema)
+    if day is None:
+        df = reader.parquet(base)
+    else:
+        try:
+            df = reader.option("basePath", base).parquet(f"{base}/dt={day}")
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+                raise
+            df = spark.createDataFrame([], spec.full_schema)
         df = df.where(F.col("dt") == F.lit(day))
     if columns is not None:
         df = df.select(*columns)
     return df
 
 
-def read_days(spark: SparkSession, root: str, spec: TableSpec, first: str, last: str) -> DataFrame:
+def read_days(spark: SparkSession, root: str, spec: TableSpec, first: str | None, last: str | None) -> DataFrame:
     """All partitions in an inclusive day range (string order equals day order)."""
-    return (spark.read.schema(spec.full_schema).parquet(table_path(root, spec))
-            .where((F.col("dt") >= F.lit(first)) & (F.col("dt") <= F.lit(last))))
+    if first is not None and first == last:
+        return read_table(spark, root, spec, first)
+    df = spark.read.schema(spec.full_schema).parquet(table_path(root, spec))
+    if first is not None:
+        df = df.where(F.col("dt") >= F.lit(first))
+    if last is not None:
+        df = df.where(F.col("dt") <= F.lit(last))
+    return df
