@@ -17,22 +17,32 @@ def _c(x: Column | str | int) -> Column:
     return F.col(x) if isinstance(x, str) else F.lit(x)
 
 
+def floor_div(a: Column, b: Column) -> Column:
+    """Exact ``floor(a / b)`` for BIGINT a >= 0 and b > 0.
+
+    The double quotient is within one of the true floor while the quotient is below
+    2^53; one integer correction step in each direction makes it exact.
+    """
+    a, b = a.cast("bigint"), b.cast("bigint")
+    q0 = F.floor(a.cast("double") / b.cast("double")).cast("bigint")
+    return (F.when(q0 * b > a, q0 - 1)
+             .when((q0 + 1) * b <= a, q0 + 1)
+             .otherwise(q0))
+
+
 def half_up_units(num: Column | str, den: Column | str, scale: int) -> Column:
     """round_half_up(num / den * 10^scale) as BIGINT, for integer num and den > 0.
 
-    The sign is taken apart so that halves round away from zero, as a decimal cast does.
-    NULL when den is NULL or not positive.
+    Halves round away from zero, as a decimal cast does. NULL unless den > 0.
     """
     n, d = _c(num).cast("bigint"), _c(den).cast("bigint")
-    factor = 2 * 10 ** scale
-    mag = (F.abs(n) * F.lit(factor) + d) / (d * F.lit(2))
-    units = F.floor(mag).cast("bigint")
+    units = floor_div(F.abs(n) * F.lit(2 * 10 ** scale) + d, d * F.lit(2))
     return F.when(d > 0, F.when(n < 0, -units).otherwise(units))
 
 
 def half_up_ratio(num: Column | str, den: Column | str, scale: int) -> Column:
     """num / den rounded half-up at ``scale`` digits, as a DOUBLE."""
-    return half_up_units(num, den, scale) / F.lit(float(10 ** scale))
+    return half_up_units(num, den, scale).cast("double") / F.lit(float(10 ** scale))
 
 
 def safe_ratio(num: Column | str, den: Column | str) -> Column:

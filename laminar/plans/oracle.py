@@ -149,7 +149,7 @@ LAYER_ROW_COUNTS = with_layers("\nUNION ALL\n".join([
 ]))
 
 
-def oracle_sql() -> dict[str, str]:
+def _base_sql() -> dict[str, str]:
     from laminar.plans.registry import ORDER_PREVIEW_COLUMNS, USER_PREVIEW_COLUMNS
     out = {name: with_layers(f"SELECT * FROM {name}") for name in (
         "ods_user_info", "ods_order_info", "dwd_user_info", "dwd_order_info",
@@ -270,20 +270,180 @@ FROM dq_dates d LEFT JOIN (
     }
 
 
-_ORACLE_STEP1 = oracle_sql
-
 
-def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
-    from laminar.plans.registry import DQ_AS_OF, DQ_MIN_DATE
-    out = _ORACLE_STEP1()
-    out.update(dq_sql(DQ_AS_OF, DQ_MIN_DATE))
-    return out
+# ---------------------------------------------------------------- tier B
+LOGIN_COUNT = """
+WITH ev AS (SELECT event_id, user_id, event_type, value, ts, strftime(ts, '%Y-%m-%d') AS dt FROM events),
+purch AS (
+  SELECT CAST(event_id AS VARCHAR) AS order_id, CAST(user_id AS VARCHAR) AS user_id,
+    CAST(value AS DECIMAL(10,2)) AS final_amount, ts AS create_time, dt
+  FROM ev WHERE event_type = 'purchase'),
+views AS (
+  SELECT dt, CAST(user_id AS VARCHAR) AS user_id, COUNT(*) AS login_count
+  FROM ev WHERE event_type = 'view' GROUP BY dt, CAST(user_id AS VARCHAR)),
+s AS (
+  SELECT dt, user_id, COUNT(order_id) AS order_count,
+    CAST(SUM(final_amount) AS DECIMAL(20,2)) AS total_amount,
+    CAST(SUM(final_amount) AS DOUBLE) / CAST(COUNT(final_amount) AS DOUBLE) AS avg_order_amount,
+    MIN(create_time) AS first_order_time, MAX(create_time) AS last_order_time
+  FROM purch GROUP BY dt, user_id)
+SELECT s.user_id, CAST(COALESCE(v.login_count, 0) AS BIGINT) AS login_count, s.order_count, s.total_amount,
+  s.avg_order_amount, s.first_order_time, s.last_order_time, CAST(s.dt AS DATE) AS stat_date, s.dt
+FROM s LEFT JOIN views v ON s.dt = v.dt AND s.user_id = v.user_id"""
 
 
-_ORACLE_STEP3 = oracle_sql
+def _dim_date_sql() -> str:
+    from laminar.operators.dims import FIXED_HOLIDAYS
+    hol = ", ".join(f"'{h}'" for h in FIXED_HOLIDAYS)
+    return with_layers(f"""
+SELECT strftime(full_date, '%Y%m%d') AS date_key, full_date,
+  CAST(year(full_date) AS INTEGER) AS year, CAST(quarter(full_date) AS INTEGER) AS quarter,
+  CAST(month(full_date) AS INTEGER) AS month, CAST(week(full_date) AS INTEGER) AS week,
+  CAST(day(full_date) AS INTEGER) AS day, CAST(isodow(full_date) AS INTEGER) AS weekday,
+  isodow(full_date) >= 6 AS is_weekend,
+  strftime(full_date, '%m-%d') IN ({hol}) AS is_holiday,
+  CASE WHEN month(full_date) IN (3, 4, 5) THEN 'spring' WHEN month(full_date) IN (6, 7, 8) THEN 'summer'
+       WHEN month(full_date) IN (9, 10, 11) THEN 'autumn' ELSE 'winter' END AS season,
+  monthname(full_date) AS month_name, dayname(full_date) AS weekday_name
+FROM (
+  SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS full_date
+  FROM (SELECT MIN(order_date) AS lo, MAX(order_date) AS hi FROM dwd_order_info) WHERE lo IS NOT NULL
+)""")
+
+
+def _ads_user_behavior_sql(as_of: str, bad: tuple[str, ...], run_ts: str) -> str:
+    bad_list = ", ".join(f"'{b}'" for b in bad)
+    days = f"(DATE '{as_of}' - u.first_order_date + 1)"
+    return with_layers(f"""
+SELECT u.user_id, u.total_orders, u.total_amount,
+  CAST(u.total_amount AS DOUBLE) / CAST(u.total_orders AS DOUBLE) AS avg_order_amount,
+  u.first_order_date, u.last_order_date,
+  CAST(LEAST((u.total_orders * 30 * 200 + {days}) // (2 * {days}), 99999) AS DOUBLE) / CAST(100 AS DOUBLE) AS order_frequency,
+  CASE WHEN DATE '{as_of}' - u.first_order_date <= 30 THEN 'new'
+       WHEN DATE '{as_of}' - u.last_order_date <= 30 THEN 'active'
+       WHEN DATE '{as_of}' - u.last_order_date <= 90 THEN 'dormant'
+       ELSE 'churned' END AS user_lifecycle,
+  p.category_id AS preferred_category,
+  CASE WHEN u.bad_orders * 2 > u.total_orders THEN 'high'
+       WHEN u.bad_orders * 5 > u.total_orders THEN 'medium' ELSE 'low' END AS risk_level,
+  TIMESTAMP '{run_ts}' AS create_time
+FROM ads1_u u JOIN ads1_pref p ON u.user_id = p.user_id""", [f"""
+ads1_o AS (SELECT * FROM dwd_order_info WHERE order_date <= DATE '{as_of}')""", """
+ads1_pc AS (SELECT user_id, category_id, COUNT(order_id) AS n, SUM(final_amount) AS amt
+            FROM ads1_o GROUP BY user_id, category_id)""", """
+ads1_pref AS (SELECT user_id, category_id FROM (
+  SELECT user_id, category_id,
+    ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY n DESC, amt DESC, category_id ASC) AS rn
+  FROM ads1_pc) WHERE rn = 1)""", f"""
+ads1_u AS (SELECT user_id, COUNT(order_id) AS total_orders,
+  CAST(SUM(final_amount) AS DECIMAL(20,2)) AS total_amount,
+  MIN(order_date) AS first_order_date, MAX(order_date) AS last_order_date,
+  COUNT_IF(order_status IN ({bad_list})) AS bad_orders
+  FROM ads1_o GROUP BY user_id)"""])
+
+
+def _ads_sales_trend_sql(run_ts: str) -> str:
+    g = "(abs(c_now - c_prev) * 20000 + c_prev) // (2 * c_prev)"
+    return with_layers(f"""
+SELECT stat_date, total_orders, CAST(total_amount AS DECIMAL(20,2)) AS total_amount,
+  CAST(total_amount AS DOUBLE) / CAST(n AS DOUBLE) AS avg_order_amount,
+  CAST(COALESCE(new_users, 0) AS BIGINT) AS new_users,
+  CAST(COALESCE(active_users, 0) AS BIGINT) AS active_users,
+  CASE WHEN prev_users > 0 THEN
+    CAST((COALESCE(retained, 0) * 20000 + prev_users) // (2 * prev_users) AS DOUBLE) / CAST(10000 AS DOUBLE) END AS retention_rate,
+  CASE WHEN c_prev > 0 AND {g} <= 99999 THEN
+    CAST(sign(c_now - c_prev) * {g} AS DOUBLE) / CAST(10000 AS DOUBLE) END AS growth_rate,
+  TIMESTAMP '{run_ts}' AS create_time,
+  CAST(year(stat_date) AS INTEGER) AS year, CAST(month(stat_date) AS INTEGER) AS month
+FROM (
+  SELECT d.*, a.active_users, nw.new_users, r.retained, p.prev_users,
+    CAST(d.total_amount * 100 AS BIGINT) AS c_now, CAST(p.prev_amount * 100 AS BIGINT) AS c_prev
+  FROM ads2_daily d
+  LEFT JOIN ads2_active a ON d.stat_date = a.stat_date
+  LEFT JOIN ads2_new nw ON d.stat_date = nw.stat_date
+  LEFT JOIN ads2_ret r ON d.stat_date = r.stat_date
+  LEFT JOIN ads2_prev p ON d.stat_date = p.stat_date
+)""", ["""
+ads2_o AS (SELECT * FROM dwd_order_info WHERE order_date IS NOT NULL)""", """
+ads2_daily AS (SELECT order_date AS stat_date, COUNT(order_id) AS total_orders,
+  SUM(final_amount) AS total_amount, COUNT(final_amount) AS n FROM ads2_o GROUP BY order_date)""", """
+ads2_buyers AS (SELECT DISTINCT user_id, order_date AS stat_date FROM ads2_o)""", """
+ads2_active AS (SELECT stat_date, COUNT(*) AS active_users FROM ads2_buyers GROUP BY stat_date)""", """
+ads2_new AS (SELECT first_d AS stat_date, COUNT(*) AS new_users FROM (
+  SELECT user_id, MIN(stat_date) AS first_d FROM ads2_buyers GROUP BY user_id) GROUP BY first_d)""", """
+ads2_ret AS (SELECT b.stat_date, COUNT(*) AS retained FROM ads2_buyers a
+  JOIN ads2_buyers b ON a.user_id = b.user_id AND a.stat_date + 1 = b.stat_date GROUP BY b.stat_date)""", """
+ads2_prev AS (SELECT d.stat_date + 1 AS stat_date, a.active_users AS prev_users, d.total_amount AS prev_amount
+  FROM ads2_daily d JOIN ads2_active a ON d.stat_date = a.stat_date)"""])
+
+
+# ---------------------------------------------------------------- tier C
+def _dim_product_cte() -> str:
+    return f"""
+dim_product AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
+    {_category_case('p_name')} AS category_id,
+    p_brand AS brand, p_type AS product_type, p_size AS size,
+    CAST(p_retailprice AS DECIMAL(10,2)) AS list_price
+  FROM part)"""
+
+
+PRODUCT_CATEGORY_SALES = """
+SELECT COALESCE(d.category_id, 'OTHER') AS category_id, COUNT(o.order_id) AS order_lines,
+  CAST(SUM(o.final_amount) AS DECIMAL(20,2)) AS total_amount, COUNT(DISTINCT o.product_id) AS products
+FROM dwd_order_info o LEFT JOIN dim_product d ON o.product_id = d.product_id
+GROUP BY COALESCE(d.category_id, 'OTHER')"""
+
+DIM_USER = """
+SELECT user_id, username, email, phone, register_date, last_login_date, status, is_active, user_level,
+  create_time, update_time, dt
+FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY update_time DESC NULLS LAST,
+    create_time DESC NULLS LAST, dt DESC NULLS LAST, username DESC NULLS LAST, email DESC NULLS LAST,
+    phone DESC NULLS LAST, register_date DESC NULLS LAST, last_login_date DESC NULLS LAST,
+    status DESC NULLS LAST, is_active DESC NULLS LAST, user_level DESC NULLS LAST) AS rn
+  FROM dwd_user_info
+) WHERE rn = 1"""
+
+GEO_ROLLUP = """
+SELECT g.region, g.nation, COUNT(o.order_id) AS order_lines,
+  CAST(SUM(o.final_amount) AS DECIMAL(20,2)) AS total_amount,
+  COUNT(DISTINCT o.user_id) AS buyers,
+  CAST(GROUPING(g.region, g.nation) AS BIGINT) AS grouping_level
+FROM dwd_order_info o JOIN (
+  SELECT CAST(c_custkey AS VARCHAR) AS user_id, r_name AS region, n_name AS nation
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+) g ON o.user_id = g.user_id
+GROUP BY ROLLUP (g.region, g.nation)"""
+
+FACT_USER_BEHAVIOR = """
+SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type, ts AS event_ts,
+  CAST(ts AS DATE) AS event_date, value,
+  CAST(json_extract_string(props, '$.k') AS INTEGER) AS prop_k,
+  strftime(ts, '%Y-%m-%d') AS dt
+FROM events"""
+
+MASKED_USERS = """
+SELECT user_id, username, sha256(email) AS email_sha256,
+  CASE WHEN length(phone) > 4 THEN repeat('*', length(phone) - 4) || right(phone, 4)
+       ELSE repeat('*', length(phone)) END AS phone_masked,
+  status, is_active, user_level, dt
+FROM dwd_user_info"""
 
 
-def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
-    out = _ORACLE_STEP3()
+def oracle_sql() -> dict[str, str]:
+    from laminar.plans import registry as r
+    out = _base_sql()
+    out.update(dq_sql(r.DQ_AS_OF, r.DQ_MIN_DATE))
     out["etl_roundtrip"] = LAYER_ROW_COUNTS
+    out["login_count"] = LOGIN_COUNT
+    out["dim_date"] = _dim_date_sql()
+    out["ads_user_behavior"] = _ads_user_behavior_sql(r.ADS_AS_OF, r.ADS_BAD_STATUSES, r.ADS_RUN_TS)
+    out["ads_sales_trend"] = _ads_sales_trend_sql(r.TREND_RUN_TS)
+    out["dim_product"] = "WITH " + _dim_product_cte() + "\nSELECT * FROM dim_product"
+    out["product_category_sales"] = with_layers(PRODUCT_CATEGORY_SALES, [_dim_product_cte()])
+    out["dim_user"] = with_layers(DIM_USER)
+    out["geo_rollup"] = with_layers(GEO_ROLLUP)
+    out["fact_user_behavior"] = FACT_USER_BEHAVIOR
+    out["masked_users"] = with_layers(MASKED_USERS)
     return out

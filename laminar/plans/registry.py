@@ -46,20 +46,6 @@ def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-def queries() -> dict[str, Query]:
-    return {
-        "ods_user_info": _layer("ods_user_info"),
-        "ods_order_info": _layer("ods_order_info"),
-        "dwd_user_info": _layer("dwd_user_info"),
-        "dwd_order_info": _layer("dwd_order_info"),
-        "dws_user_daily_stats": _layer("dws_user_daily_stats"),
-        "dws_product_daily_stats": _layer("dws_product_daily_stats"),
-        "preview_top_k": preview_top_k,
-        "preview_users_top_k": preview_users_top_k,
-        "layer_row_counts": layer_row_counts,
-    }
-
-
 # ---------------------------------------------------------------- data quality
 # Accuracy bounds bound to the driver data (orders span 1995-2001; the default
 # lower bound 2020-01-01 would flag every row).
@@ -104,22 +90,6 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(Warehouse(spark, sf_dir).layers(), DQ_AS_OF, DQ_MIN_DATE)
 
 
-_QUERIES_STEP1 = queries
-
-
-def queries() -> dict[str, Query]:  # noqa: F811 - extended registry
-    q = _QUERIES_STEP1()
-    q.update({
-        "dq_completeness": dq_completeness,
-        "dq_user_consistency": dq_user_consistency,
-        "dq_order_retention": dq_order_retention,
-        "dq_accuracy": dq_accuracy,
-        "dq_findings": dq_findings,
-        "dq_report": dq_report,
-    })
-    return q
-
-
 # ---------------------------------------------------------------- write path
 def etl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land every raw day, backfill detail + summary in one job per table, rerun the
@@ -155,10 +125,113 @@ def etl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-_QUERIES_STEP3 = queries
+# ---------------------------------------------------------------- tier B: serving and date dimension
+LOGIN_SOURCE = "events"            # purchase events are orders, view events are logins
+ADS_AS_OF = "2001-08-01"
+ADS_BAD_STATUSES = ("P",)
+ADS_RUN_TS = "2001-08-01 00:00:00"
+TREND_RUN_TS = "2001-08-02 00:00:00"
+
+
+def login_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators.aggregates import user_daily_stats
+    from laminar.sources import testdata
+    events = Warehouse(spark, sf_dir).table(LOGIN_SOURCE)
+    return user_daily_stats(testdata.orders_from_purchases(events), testdata.logins_from_views(events))
 
 
-def queries() -> dict[str, Query]:  # noqa: F811 - extended registry
-    q = _QUERIES_STEP3()
-    q["etl_roundtrip"] = etl_roundtrip
-    return q
+def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators import dims
+    return dims.date_dimension(dims.date_span(Warehouse(spark, sf_dir).dwd_order_info, "order_date"))
+
+
+def ads_user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators import serving
+    return serving.user_behavior(Warehouse(spark, sf_dir).dwd_order_info, ADS_AS_OF, ADS_BAD_STATUSES, ADS_RUN_TS)
+
+
+def ads_sales_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators import serving
+    return serving.sales_trend(Warehouse(spark, sf_dir).dwd_order_info, TREND_RUN_TS)
+
+
+# ---------------------------------------------------------------- tier C: dimensions, fact, masking
+def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.functions.rules import SCALE_CATEGORY_RULES
+    from laminar.operators import dims
+    return dims.product_dimension(Warehouse(spark, sf_dir).table("part"), SCALE_CATEGORY_RULES)
+
+
+def product_category_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail orders categorised through the product dimension, summed per category."""
+    from pyspark.sql import functions as F
+
+    from laminar.functions.rules import SCALE_CATEGORY_RULES
+    from laminar.operators import dims
+    from laminar.operators.transforms import clean_orders
+    wh = Warehouse(spark, sf_dir)
+    dim = dims.product_dimension(wh.table("part"), SCALE_CATEGORY_RULES)
+    detail = clean_orders(wh.ods_order_info, products=dim)
+    return detail.groupBy("category_id").agg(
+        F.count("order_id").alias("order_lines"),
+        F.sum("final_amount").cast("decimal(20,2)").alias("total_amount"),
+        F.countDistinct("product_id").alias("products"),
+    )
+
+
+def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators import dims
+    return dims.latest_users(Warehouse(spark, sf_dir).dwd_user_info)
+
+
+def geo_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators import dims
+    wh = Warehouse(spark, sf_dir)
+    geo = dims.geography(wh.table("customer"), wh.table("nation"), wh.table("region"))
+    return dims.sales_by_geography(wh.dwd_order_info, geo)
+
+
+def fact_user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators import dims
+    return dims.behavior_fact(Warehouse(spark, sf_dir).table("events"))
+
+
+def masked_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.operators import dims
+    return dims.masked_users(Warehouse(spark, sf_dir).dwd_user_info)
+
+
+def queries() -> dict[str, Query]:
+    return {
+        # raw, detail, summary
+        "ods_user_info": _layer("ods_user_info"),
+        "ods_order_info": _layer("ods_order_info"),
+        "dwd_user_info": _layer("dwd_user_info"),
+        "dwd_order_info": _layer("dwd_order_info"),
+        "dws_user_daily_stats": _layer("dws_user_daily_stats"),
+        "dws_product_daily_stats": _layer("dws_product_daily_stats"),
+        "preview_top_k": preview_top_k,
+        "preview_users_top_k": preview_users_top_k,
+        "layer_row_counts": layer_row_counts,
+        # data quality
+        "dq_completeness": dq_completeness,
+        "dq_user_consistency": dq_user_consistency,
+        "dq_order_retention": dq_order_retention,
+        "dq_accuracy": dq_accuracy,
+        "dq_findings": dq_findings,
+        "dq_report": dq_report,
+        # write path
+        "etl_roundtrip": etl_roundtrip,
+        # tier B
+        "login_count": login_count,
+        "dim_date": dim_date,
+        "ads_user_behavior": ads_user_behavior,
+        "ads_sales_trend": ads_sales_trend,
+        # tier C
+        "dim_product": dim_product,
+        "product_category_sales": product_category_sales,
+        "dim_user": dim_user,
+        "geo_rollup": geo_rollup,
+        "fact_user_behavior": fact_user_behavior,
+        "masked_users": masked_users,
+    }
