@@ -431,6 +431,18 @@ SELECT user_id, username, sha256(email) AS email_sha256,
 FROM dwd_user_info"""
 
 
+STREAM_DEDUP_INGEST = "SELECT event_id, user_id, event_type, value, props, ts FROM events"
+
+STREAM_USER_DAILY = """
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+  CAST(user_id AS VARCHAR) AS user_id, COUNT(*) AS event_count,
+  CAST(COUNT_IF(event_type = 'view') AS BIGINT) AS view_count,
+  CAST(COUNT_IF(event_type = 'purchase') AS BIGINT) AS purchase_count,
+  CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS total_value
+FROM events
+GROUP BY date_trunc('day', ts), CAST(user_id AS VARCHAR)"""
+
+
 def oracle_sql() -> dict[str, str]:
     from laminar.plans import registry as r
     out = _base_sql()
@@ -446,4 +458,6 @@ def oracle_sql() -> dict[str, str]:
     out["geo_rollup"] = with_layers(GEO_ROLLUP)
     out["fact_user_behavior"] = FACT_USER_BEHAVIOR
     out["masked_users"] = with_layers(MASKED_USERS)
+    out["stream_dedup_ingest"] = STREAM_DEDUP_INGEST
+    out["stream_user_daily"] = STREAM_USER_DAILY
     return out

@@ -201,6 +201,18 @@ def masked_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.masked_users(Warehouse(spark, sf_dir).dwd_user_info)
 
 
+# ---------------------------------------------------------------- streaming
+def stream_dedup_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events delivered twice (at-least-once) and ingested once by the stream."""
+    from laminar.streaming.ingest import run_dedup_ingest
+    return spark.read.parquet(run_dedup_ingest(spark, sf_dir, copies=2))
+
+
+def stream_user_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.streaming.activity import latest_versions, run_daily_activity
+    return latest_versions(spark, run_daily_activity(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         # raw, detail, summary
@@ -234,4 +246,7 @@ def queries() -> dict[str, Query]:
         "geo_rollup": geo_rollup,
         "fact_user_behavior": fact_user_behavior,
         "masked_users": masked_users,
+        # streaming
+        "stream_dedup_ingest": stream_dedup_ingest,
+        "stream_user_daily": stream_user_daily,
     }
