@@ -18,16 +18,18 @@ def _c(x: Column | str | int) -> Column:
 
 
 def floor_div(a: Column, b: Column) -> Column:
-    """Exact ``floor(a / b)`` for BIGINT a >= 0 and b > 0.
+    """Exact ``floor(a / b)`` for BIGINT 0 <= a <= 2^62 and b > 0.
 
-    The double quotient is within one of the true floor while the quotient is below
-    2^53; one integer correction step in each direction makes it exact.
+    The double quotient is off by at most ``a * 2^-52 + 1``. One step on the exact
+    BIGINT remainder brings it within one, and a last integer comparison in each
+    direction makes it exact, so large cent totals round correctly too.
     """
     a, b = a.cast("bigint"), b.cast("bigint")
     q0 = F.floor(a.cast("double") / b.cast("double")).cast("bigint")
-    return (F.when(q0 * b > a, q0 - 1)
-             .when((q0 + 1) * b <= a, q0 + 1)
-             .otherwise(q0))
+    q1 = q0 + F.floor((a - q0 * b).cast("double") / b.cast("double")).cast("bigint")
+    return (F.when(q1 * b > a, q1 - 1)
+             .when((q1 + 1) * b <= a, q1 + 1)
+             .otherwise(q1))
 
 
 def half_up_units(num: Column | str, den: Column | str, scale: int) -> Column:
