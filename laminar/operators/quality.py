@@ -129,14 +129,28 @@ def _finding(df: DataFrame, check: str, table, column, metric, threshold, severi
         F.lit(severity).alias("severity"))
 
 
+def _run_dates(tables: Mapping[str, DataFrame], run_days: Sequence[str]) -> DataFrame:
+    """Days that landed in a raw table, plus the explicitly requested run days
+    (a scheduled day on which nothing landed must still be checked)."""
+    landed = [n for n in ("ods_user_info", "ods_order_info") if n in tables]
+    dates = check_dates(tables, landed) if landed else None
+    if run_days:
+        spark = next(iter(tables.values())).sparkSession
+        extra = spark.createDataFrame([(d,) for d in run_days], "check_date string")
+        dates = extra if dates is None else dates.unionByName(extra).distinct()
+    if dates is None:
+        raise ValueError("no raw table and no run day to check")
+    return dates
+
+
 def findings(tables: Mapping[str, DataFrame], as_of: str, min_date: str = DEFAULT_MIN_ORDER_DATE,
-             missing: Sequence[str] = ()) -> DataFrame:
+             missing: Sequence[str] = (), run_days: Sequence[str] = ()) -> DataFrame:
     """All findings of a report, one row each.
 
     ``tables`` maps each of ``CHECKED_TABLES`` to its frame; names in ``missing``
     (tables that could not be read) become FAIL findings on every run day.
     """
-    dates = check_dates(tables)
+    dates = _run_dates(tables, run_days)
     parts = []
     for name in CHECKED_TABLES:
         if name in missing or name not in tables:
@@ -169,15 +183,15 @@ def findings(tables: Mapping[str, DataFrame], as_of: str, min_date: str = DEFAUL
 
 
 def report(tables: Mapping[str, DataFrame], as_of: str, min_date: str = DEFAULT_MIN_ORDER_DATE,
-           missing: Sequence[str] = ()) -> DataFrame:
+           missing: Sequence[str] = (), run_days: Sequence[str] = ()) -> DataFrame:
     """One row per run day: tables_checked, fail_count, warn_count, overall_status."""
-    f = findings(tables, as_of, min_date, missing)
+    f = findings(tables, as_of, min_date, missing, run_days)
     per_day = f.groupBy("check_date").agg(
         F.count_if(F.col("severity") == "FAIL").alias("fail_count"),
         F.count_if(F.col("severity") == "WARN").alias("warn_count"),
         F.count_if(F.col("check_name").isin("empty_partition", "table_missing")).alias("_unchecked"),
     )
-    dates = check_dates(tables)
+    dates = _run_dates(tables, run_days)
     j = dates.join(per_day, "check_date", "left")
     fails = F.coalesce("fail_count", F.lit(0).cast("bigint"))
     return j.select(

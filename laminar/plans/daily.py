@@ -85,3 +85,27 @@ def run(spark: SparkSession, root: str, days: Days,
 def run_daily(spark: SparkSession, root: str, day: str | None = None, **kwargs) -> dict[str, int]:
     """One day (default: yesterday). A bad day string raises before any job starts."""
     return run(spark, root, Days.one(day), **kwargs)
+
+
+def run_serving(spark: SparkSession, root: str, as_of: str, bad_statuses: Sequence[str] = ("pending",),
+                run_ts: str | None = None, holidays: DataFrame | None = None) -> dict[str, int]:
+    """Rebuild the serving layer and the date dimension from the written order detail.
+
+    User behaviour and the date dimension are full snapshots (whole-table overwrite);
+    the sales trend is partitioned by (year, month) and overwrites only the months
+    it contains. Contracts are applied strictly: a value outside a declared DECIMAL
+    fails the write instead of being stored wrong.
+    """
+    from laminar.operators import dims, serving
+    from laminar.schemas import ADS_SALES_TREND_ANALYSIS, ADS_USER_BEHAVIOR_ANALYSIS, DIM_DATE
+    configure(spark)
+    as_of = resolve_run_date(as_of)
+    run_ts = run_ts or f"{as_of} 00:00:00"
+    detail = read_days(spark, root, DWD_ORDER_INFO, None, as_of)
+    behaviour, trend, dates = _concurrently(
+        lambda: write_table(serving.user_behavior(detail, as_of, bad_statuses, run_ts), root,
+                            ADS_USER_BEHAVIOR_ANALYSIS),
+        lambda: write_table(serving.sales_trend(detail, run_ts), root, ADS_SALES_TREND_ANALYSIS),
+        lambda: write_table(dims.date_dimension(dims.date_span(detail, "order_date"), holidays), root, DIM_DATE))
+    return {ADS_USER_BEHAVIOR_ANALYSIS.name: behaviour, ADS_SALES_TREND_ANALYSIS.name: trend,
+            DIM_DATE.name: dates}

@@ -1,0 +1,73 @@
+"""Storage options, serving writes, persisted findings and the command-line jobs."""
+
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from laminar.functions.rules import SCALE_CATEGORY_RULES
+from laminar.operators import dims
+from laminar.plans import daily, jobs
+from laminar.schemas import (ADS_SALES_TREND_ANALYSIS, ADS_USER_BEHAVIOR_ANALYSIS, DIM_DATE, ODS_ORDER_INFO,
+                             ODS_USER_INFO)
+from laminar.session import local_path
+from laminar.sinks.partitioned import land, write_frame
+from laminar.sources.logs import read_event_log
+from laminar.sources.seed import SEED_DAY, seed_orders, seed_users
+from laminar.sources.tables import read_table, table_path
+from laminar.sources.testdata import load_ods, table
+
+
+def test_orc_lz4_and_day_region_partitions(spark, area):
+    wh = load_ods(spark, SF_SMALL)
+    from laminar.operators.transforms import clean_orders
+    detail = clean_orders(wh["ods_order_info"], SCALE_CATEGORY_RULES)
+    geo = dims.geography(table(spark, SF_SMALL, "customer"), table(spark, SF_SMALL, "nation"),
+                         table(spark, SF_SMALL, "region"))
+    tagged = dims.orders_with_region(detail, geo)
+    n = write_frame(tagged, f"{area}/by_region", ("dt", "region"), fmt="orc", compression="lz4")
+    assert n == detail.count()
+    back = spark.read.orc(f"{area}/by_region")
+    assert back.count() == n and set(back.columns) >= {"dt", "region"}
+    some = os.listdir(local_path(f"{area}/by_region"))
+    assert any(d.startswith("dt=") for d in some)
+    day_dir = [d for d in some if d.startswith("dt=")][0]
+    assert all(x.startswith("region=") for x in os.listdir(local_path(f"{area}/by_region/{day_dir}"))
+               if not x.startswith((".", "_")))
+
+
+def test_event_log_source(spark, area):
+    ev = table(spark, SF_SMALL, "events")
+    path = local_path(f"{area}/logs")
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/part-0.json", "w") as fh:
+        for r in ev.limit(50).collect():
+            fh.write(json.dumps({"event_id": r.event_id, "ts": r.ts.isoformat(), "user_id": r.user_id,
+                                 "event_type": r.event_type, "value": r.value, "props": r.props}) + "\n")
+        fh.write("{not json\n")
+    got = read_event_log(spark, f"{area}/logs")
+    assert got.count() == 51 and got.where(F.col("event_id").isNull()).count() == 1
+
+
+def test_serving_tables_and_jobs(spark, area, capsys):
+    land(seed_users(spark), area, ODS_USER_INFO)
+    land(seed_orders(spark), area, ODS_ORDER_INFO)
+    assert jobs.main(["etl", "--date", SEED_DAY, "--root", area]) == 0
+    s = spark
+    written = daily.run_serving(s, area, SEED_DAY)
+    assert written == {"ads_user_behavior_analysis": 5, "ads_sales_trend_analysis": 1, "dim_date": 1}
+    beh = read_table(s, area, ADS_USER_BEHAVIOR_ANALYSIS)
+    assert dict(beh.dtypes)["order_frequency"] == "decimal(5,2)"
+    u3 = beh.where("user_id = 'U003'").first()
+    assert (u3.total_orders, u3.preferred_category, u3.risk_level, u3.user_lifecycle) == (2, "COMPUTER", "medium", "new")
+    trend = read_table(s, area, ADS_SALES_TREND_ANALYSIS).first()
+    assert (trend.year, trend.month, trend.total_orders, trend.retention_rate) == (2024, 12, 8, None)
+    d = read_table(s, area, DIM_DATE).first()
+    assert (d.date_key, d.weekday, d.weekday_name, d.season, d.is_holiday) == ("20241225", 3, "Wednesday", "winter", False)
+    found, rep = jobs.quality_for_day(s, area, SEED_DAY)
+    assert rep.first().overall_status == "PASS"
+    write_frame(found, f"{area}/dq_enterprise.db/dq_findings", ("check_date",))
+    assert s.read.parquet(f"{area}/dq_enterprise.db/dq_findings").where(f"check_date = '{SEED_DAY}'").count() == 2
+    # a day with nothing landed fails the gate with exit status 1
+    assert jobs.main(["quality", "--date", "2024-12-30", "--root", area]) == 1
