@@ -24,6 +24,11 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Coalescing may go below 1 MB per partition. A partitioned write of small
+    # days costs per file, not per byte: with the 1 MB default, a thousand tiny
+    # days coalesce into one task that writes a thousand files one after another.
+    # At scale, partitions are far above this, so it changes nothing there.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
     # A rerun of one day replaces that day only (never the whole table).
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -75,6 +80,17 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the Hadoop file system that serves it.
+
+    A metadata call on the driver; unlike a failed read, it leaves no analysis
+    error behind for query listeners to report.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def ensure_dir(path: str) -> str:
     if "://" not in path and not path.startswith("file:"):
         os.makedirs(path, exist_ok=True)

@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laminar.schemas import TableSpec
+from laminar.session import path_exists
 
 
 def table_path(root: str, spec: TableSpec) -> str:
@@ -30,11 +30,10 @@ def read_table(spark: SparkSession, root: str, spec: TableSpec, day: str | None
     if day is None:
         df = reader.parquet(base)
     else:
-        try:
-            df = reader.option("basePath", base).parquet(f"{base}/dt={day}")
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-                raise
+        day_path = f"{base}/dt={day}"
+        if path_exists(spark, day_path):
+            df = reader.option("basePath", base).parquet(day_path)
+        else:
             df = spark.createDataFrame([], spec.full_schema)
         df = df.where(F.col("dt") == F.lit(day))
     if columns is not None:
