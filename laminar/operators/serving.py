@@ -1,15 +1,17 @@
 """Serving layer (ADS): user behaviour analysis and daily sales trend.
 
 Both read the order detail: distinct users do not add up across days, so the
-daily summaries cannot serve them. Everything is aggregates and equi-joins on
-aggregated keys; no window sorts a whole user or day in one task.
+daily summaries cannot serve them. Each reads the detail once. Orders are first
+reduced to aggregated keys (user and category, or day and buyer), and any window
+runs over those reduced rows only, so no window sorts a user's or a day's orders
+in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laminar.functions.rounding import half_up_units
@@ -76,44 +78,55 @@ def user_behavior(orders: DataFrame, as_of: str, bad_statuses: Sequence[str],
 
 
 def sales_trend(orders: DataFrame, run_ts: str) -> DataFrame:
-    """One row per order day, partitioned by (year, month).
+    """One row per order day, partitioned by (year, month), from one pass over the orders.
 
     ``retention_rate`` = share of the previous *calendar* day's buyers who buy again;
     ``growth_rate`` = amount change on the previous calendar day. Both are NULL when
     that day has no orders, and the growth is NULL outside what DECIMAL(5,4) holds.
-    The previous day is matched by ``date_add(day, 1)`` equi-joins, not by ``lag``,
-    which would pair a day with an older one when a day is missing.
+
+    Plan: orders are reduced to one row per (day, buyer) (partial aggregate
+    map-side). A window per buyer over those rows marks the buyer's first day and
+    days that follow a day with orders; a buyer has at most one row per calendar
+    day, so no window partition grows with the number of orders, however skewed.
+    A second aggregate gives one row per day, and the previous calendar day is read
+    with a one-day RANGE frame over the day number. That frame has no partition key,
+    but it runs over the per-day rows (at most one per calendar day), not over
+    orders. A missing day leaves the frame empty (NULL), which ``lag`` would not.
     """
     o = orders.where(F.col("order_date").isNotNull())
-    daily = o.groupBy(F.col("order_date").alias("stat_date")).agg(
-        F.count("order_id").alias("total_orders"),
-        F.sum("final_amount").alias("total_amount"),
-        F.count("final_amount").alias("_n"),
+    per_buyer_day = o.groupBy(F.col("order_date").alias("stat_date"), "user_id").agg(
+        F.count("order_id").alias("_orders"),
+        F.sum("final_amount").alias("_amount"),
+        F.count("final_amount").alias("_amount_n"),
+    )
+    by_buyer = Window.partitionBy("user_id").orderBy("stat_date")
+    flagged = per_buyer_day.select(
+        "*",
+        (F.row_number().over(by_buyer) == 1).alias("_first_day"),
+        (F.lag("stat_date").over(by_buyer) == F.date_sub("stat_date", 1)).alias("_returned"),
+    )
+    daily = flagged.groupBy("stat_date").agg(
+        F.sum("_orders").cast("bigint").alias("total_orders"),
+        F.sum("_amount").cast("decimal(20,2)").alias("total_amount"),
+        F.sum("_amount_n").alias("_n"),
+        F.count(F.lit(1)).alias("active_users"),
+        F.count_if("_first_day").alias("new_users"),
+        F.count_if("_returned").alias("retained"),
     )
-    buyers = o.select("user_id", F.col("order_date").alias("stat_date")).distinct()
-    active = buyers.groupBy("stat_date").agg(F.count(F.lit(1)).alias("active_users"))
-    new = (buyers.groupBy("user_id").agg(F.min("stat_date").alias("stat_date"))
-                 .groupBy("stat_date").agg(F.count(F.lit(1)).alias("new_users")))
-    returning = (buyers.select("user_id", F.date_add("stat_date", 1).alias("stat_date"))
-                       .join(buyers, ["user_id", "stat_date"])
-                       .groupBy("stat_date").agg(F.count(F.lit(1)).alias("retained")))
-    prev = (daily.join(active, "stat_date")
-                 .select(F.date_add("stat_date", 1).alias("stat_date"),
-                         F.col("active_users").alias("prev_users"),
-                         F.col("total_amount").alias("prev_amount")))
-    j = (daily.join(active, "stat_date", "left").join(new, "stat_date", "left")
-              .join(returning, "stat_date", "left").join(prev, "stat_date", "left"))
+    previous_day = Window.orderBy(F.unix_date("stat_date")).rangeBetween(-1, -1)
+    j = daily.select("*", F.max("active_users").over(previous_day).alias("prev_users"),
+                     F.max("total_amount").over(previous_day).alias("prev_amount"))
     cents = lambda c: (F.col(c) * 100).cast("bigint")  # noqa: E731 - exact: two decimal places
-    retention_units = half_up_units(F.coalesce("retained", F.lit(0)), F.col("prev_users"), 4)
+    retention_units = half_up_units(F.col("retained"), F.col("prev_users"), 4)
     growth_units = half_up_units(cents("total_amount") - cents("prev_amount"), cents("prev_amount"), 4)
     growth = F.when(F.abs(growth_units) <= RATE_CAP_UNITS, growth_units.cast("double") / F.lit(10000.0))
     return j.select(
         "stat_date",
         "total_orders",
-        F.col("total_amount").cast("decimal(20,2)").alias("total_amount"),
+        "total_amount",
         (F.col("total_amount").cast("double") / F.col("_n").cast("double")).alias("avg_order_amount"),
-        F.coalesce("new_users", F.lit(0)).cast("bigint").alias("new_users"),
-        F.coalesce("active_users", F.lit(0)).cast("bigint").alias("active_users"),
+        F.col("new_users").cast("bigint").alias("new_users"),
+        F.col("active_users").cast("bigint").alias("active_users"),
         (retention_units.cast("double") / F.lit(10000.0)).alias("retention_rate"),
         growth.alias("growth_rate"),
         _ts(run_ts).alias("create_time"),
