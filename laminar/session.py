@@ -58,11 +58,19 @@ def build_session(master: str | None = None, app_name: str = "laminar",
 
 
 def storage_root(spark: SparkSession) -> str:
-    """The shared folder from ``spark.checkpoint.dir``; a private one if unset."""
+    """The shared folder from ``spark.checkpoint.dir``.
+
+    When it is unset, a private folder is made only for a local-mode session (tests,
+    a laptop). On a cluster a machine-local folder would be invisible to the other
+    executors and lost with its machine, so an unset root is an error there.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
+                             "(tables, stream checkpoints and lineage cuts are written there)")
         root = tempfile.mkdtemp(prefix="laminar-")
         spark.sparkContext.setCheckpointDir(root)
     elif spark.sparkContext.getCheckpointDir() is None:
