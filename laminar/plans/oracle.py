@@ -442,6 +442,12 @@ SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1
 FROM events
 GROUP BY date_trunc('day', ts), CAST(user_id AS VARCHAR)"""
 
+EVENT_LOG_DAILY = """
+SELECT strftime(ts, '%Y-%m-%d') AS dt, event_type, COUNT(*) AS events, COUNT(DISTINCT user_id) AS users,
+  CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS total_value
+FROM events
+GROUP BY strftime(ts, '%Y-%m-%d'), event_type"""
+
 
 def oracle_sql() -> dict[str, str]:
     from laminar.plans import registry as r
@@ -460,4 +466,5 @@ def oracle_sql() -> dict[str, str]:
     out["masked_users"] = with_layers(MASKED_USERS)
     out["stream_dedup_ingest"] = STREAM_DEDUP_INGEST
     out["stream_user_daily"] = STREAM_USER_DAILY
+    out["event_log_daily"] = EVENT_LOG_DAILY
     return out

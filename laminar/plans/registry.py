@@ -201,6 +201,15 @@ def masked_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.masked_users(Warehouse(spark, sf_dir).dwd_user_info)
 
 
+def event_log_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed as log files under the shared root, read back with the declared
+    schema (no inference pass) and summarised per day and event type."""
+    from laminar.session import new_area
+    from laminar.sources.logs import daily_event_summary, land_event_log, read_event_log
+    path = land_event_log(Warehouse(spark, sf_dir).table("events"), new_area(spark, "event-log"))
+    return daily_event_summary(read_event_log(spark, path))
+
+
 # ---------------------------------------------------------------- streaming
 def stream_dedup_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events delivered twice (at-least-once) and ingested once by the stream."""
@@ -246,6 +255,7 @@ def queries() -> dict[str, Query]:
         "geo_rollup": geo_rollup,
         "fact_user_behavior": fact_user_behavior,
         "masked_users": masked_users,
+        "event_log_daily": event_log_daily,
         # streaming
         "stream_dedup_ingest": stream_dedup_ingest,
         "stream_user_daily": stream_user_daily,
