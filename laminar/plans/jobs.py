@@ -16,7 +16,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from laminar.functions.parsing import resolve_run_date
 from laminar.functions.rules import REFERENCE_CATEGORY_RULES
@@ -43,6 +43,21 @@ def quality_for_day(spark: SparkSession, root: str, day: str, as_of: str | None
             quality.report(tables, as_of, min_date, missing, run_days=[day]))
 
 
+FINDINGS_TABLE = "dq_enterprise.db/dq_findings"
+
+
+def persist_findings(found: DataFrame, root: str) -> str:
+    """Write findings partitioned by check day (a rerun replaces only its days)."""
+    path = f"{root.rstrip('/')}/{FINDINGS_TABLE}"
+    write_frame(found, path, ("check_date",))
+    return path
+
+
+def read_findings(spark: SparkSession, path: str) -> DataFrame:
+    """Persisted findings with ``check_date`` kept a string (inference would make it a DATE)."""
+    return spark.read.schema(quality.FINDING_SCHEMA).parquet(path)
+
+
 def run_report(spark: SparkSession, root: str, day: str):
     """RPT-1: rows per layer table for the day."""
     return reports.layer_row_counts({s.name: (s.database.split("_")[0].upper(), read_table(spark, root, s, day))
@@ -70,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
             run_report(spark, root, day).orderBy("layer", "table_name").show(truncate=False)
         elif args.job == "quality":
             found, rep = quality_for_day(spark, root, day, args.as_of, args.min_date)
-            write_frame(found, f"{root}/dq_enterprise.db/dq_findings", ("check_date",))
+            persist_findings(found, root)
             rep.show(truncate=False)
             try:
                 quality.assert_quality(rep, strict=args.strict)

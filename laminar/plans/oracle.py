@@ -453,6 +453,7 @@ def oracle_sql() -> dict[str, str]:
     from laminar.plans import registry as r
     out = _base_sql()
     out.update(dq_sql(r.DQ_AS_OF, r.DQ_MIN_DATE))
+    out["dq_findings_persisted"] = out["dq_findings"]       # the written table holds the same rows
     out["etl_roundtrip"] = LAYER_ROW_COUNTS
     out["login_count"] = LOGIN_COUNT
     out["dim_date"] = _dim_date_sql()

@@ -90,6 +90,15 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(Warehouse(spark, sf_dir).layers(), DQ_AS_OF, DQ_MIN_DATE)
 
 
+def dq_findings_persisted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All findings written as the findings table (partitioned by check day) and read back."""
+    from laminar.operators import quality
+    from laminar.plans.jobs import persist_findings, read_findings
+    from laminar.session import new_area
+    found = quality.findings(Warehouse(spark, sf_dir).layers(), DQ_AS_OF, DQ_MIN_DATE)
+    return read_findings(spark, persist_findings(found, new_area(spark, "dq")))
+
+
 # ---------------------------------------------------------------- write path
 def etl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land every raw day, backfill detail + summary in one job per table, rerun the
@@ -241,6 +250,7 @@ def queries() -> dict[str, Query]:
         "dq_accuracy": dq_accuracy,
         "dq_findings": dq_findings,
         "dq_report": dq_report,
+        "dq_findings_persisted": dq_findings_persisted,
         # write path
         "etl_roundtrip": etl_roundtrip,
         # tier B
