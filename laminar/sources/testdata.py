@@ -91,7 +91,7 @@ def ods_orders(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataF
         order_time.alias("order_time"),
         _null_when(F.col("o_orderstatus") == "P", F.date_format("l_shipdate", TS_FORMAT)).alias("payment_time"),
         order_time.alias("create_time"),
-        F.date_format("o_orderdate", DAY_FORMAT).alias("dt"),
+        F.substring(order_time, 1, len(DAY_FORMAT)).alias("dt"),    # the day part of the order time
     )
 
 
