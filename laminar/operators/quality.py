@@ -230,9 +230,10 @@ def _assess(tables: Mapping[str, DataFrame], as_of: str, min_date: str, missing:
             run_days: Sequence[str]) -> DataFrame:
     """``dt, _run_day, _found``: the findings of each day as an array, from one
     profile per table (each table is read once)."""
-    if not tables:
-        raise ValueError("no table to check")
-    spark = next(iter(tables.values())).sparkSession
+    # before any table was ever written, every table is missing: FAIL findings on the run days
+    spark = next(iter(tables.values())).sparkSession if tables else SparkSession.getActiveSession()
+    if spark is None:
+        raise ValueError("no table to check and no active session")
     present = [n for n in CHECKED_TABLES if n in tables and n not in missing]
     profiles = _profiles(tables, present, as_of, min_date)
     wide = _wide(spark, profiles, run_days)
@@ -269,6 +270,26 @@ def report(tables: Mapping[str, DataFrame], as_of: str, min_date: str = DEFAULT_
     )
 
 
+def report_from_findings(found: DataFrame, dates: DataFrame) -> DataFrame:
+    """The report of ``dates`` (column ``check_date``) from findings already computed,
+    e.g. the persisted findings table, so the gate does not re-read the checked tables."""
+    per_day = found.groupBy("check_date").agg(
+        F.count_if(F.col("severity") == "FAIL").alias("fail_count"),
+        F.count_if(F.col("severity") == "WARN").alias("warn_count"),
+        F.count_if(F.col("check_name").isin("empty_partition", "table_missing")).alias("_unchecked"),
+    )
+    j = dates.join(per_day, "check_date", "left")
+    zero = F.lit(0).cast("bigint")
+    fails = F.coalesce("fail_count", zero)
+    return j.select(
+        "check_date",
+        (F.lit(len(CHECKED_TABLES)).cast("bigint") - F.coalesce("_unchecked", zero)).alias("tables_checked"),
+        fails.alias("fail_count"),
+        F.coalesce("warn_count", zero).alias("warn_count"),
+        F.when(fails > 0, "FAIL").otherwise("PASS").alias("overall_status"),
+    )
+
+
 def assert_quality(report_df: DataFrame, strict: bool = False) -> None:
     """The gate: raise when any day FAILs (or, when strict, has any WARN).
 

@@ -17,6 +17,7 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from laminar.functions.parsing import resolve_run_date
 from laminar.functions.rules import REFERENCE_CATEGORY_RULES
@@ -46,16 +47,43 @@ def quality_for_day(spark: SparkSession, root: str, day: str, as_of: str | None
 FINDINGS_TABLE = "dq_enterprise.db/dq_findings"
 
 
-def persist_findings(found: DataFrame, root: str) -> str:
-    """Write findings partitioned by check day (a rerun replaces only its days)."""
+def persist_findings(found: DataFrame, root: str, day: str | None = None) -> str:
+    """Write findings partitioned by check day.
+
+    For a run ``day`` the day's folder is replaced outright, even when the day has
+    no finding: a dynamic partition overwrite writes nothing for an empty day and
+    would keep the rows of an earlier run of it. Without ``day`` (a backfill), the
+    days present are replaced and other days are kept.
+    """
     path = f"{root.rstrip('/')}/{FINDINGS_TABLE}"
-    write_frame(found, path, ("check_date",))
+    if day is None:
+        write_frame(found, path, ("check_date",))
+    else:
+        write_frame(found.where(F.col("check_date") == F.lit(day)).drop("check_date"), f"{path}/check_date={day}")
     return path
 
 
-def read_findings(spark: SparkSession, path: str) -> DataFrame:
-    """Persisted findings with ``check_date`` kept a string (inference would make it a DATE)."""
-    return spark.read.schema(quality.FINDING_SCHEMA).parquet(path)
+def read_findings(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    """Persisted findings with ``check_date`` kept a string (inference would make it a DATE).
+    With ``day``, only that day's folder is opened."""
+    reader = spark.read.schema(quality.FINDING_SCHEMA)
+    if day is None:
+        return reader.parquet(path)
+    return reader.option("basePath", path).parquet(f"{path}/check_date={day}") \
+                 .where(F.col("check_date") == F.lit(day))
+
+
+def run_quality(spark: SparkSession, root: str, day: str, as_of: str | None = None,
+                min_date: str = quality.DEFAULT_MIN_ORDER_DATE) -> DataFrame:
+    """Check one day, persist its findings, and return the day's report.
+
+    The checked tables are read once, by the findings write; the report and the gate
+    read the small persisted findings of the day.
+    """
+    found, _ = quality_for_day(spark, root, day, as_of, min_date)
+    path = persist_findings(found, root, day)
+    dates = spark.createDataFrame([(day,)], "check_date string")
+    return quality.report_from_findings(read_findings(spark, path, day), dates)
 
 
 def run_report(spark: SparkSession, root: str, day: str):
@@ -84,8 +112,7 @@ def main(argv: list[str] | None = None) -> int:
             print(written)
             run_report(spark, root, day).orderBy("layer", "table_name").show(truncate=False)
         elif args.job == "quality":
-            found, rep = quality_for_day(spark, root, day, args.as_of, args.min_date)
-            persist_findings(found, root)
+            rep = run_quality(spark, root, day, args.as_of, args.min_date)
             rep.show(truncate=False)
             try:
                 quality.assert_quality(rep, strict=args.strict)

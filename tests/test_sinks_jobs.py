@@ -71,3 +71,18 @@ def test_serving_tables_and_jobs(spark, area, capsys):
     assert s.read.parquet(f"{area}/dq_enterprise.db/dq_findings").where(f"check_date = '{SEED_DAY}'").count() == 2
     # a day with nothing landed fails the gate with exit status 1
     assert jobs.main(["quality", "--date", "2024-12-30", "--root", area]) == 1
+
+
+def test_quality_rerun_replaces_stale_findings(spark, area):
+    """A day first checked before anything landed (FAIL), then after its load (PASS):
+    the persisted findings and the gate follow the rerun."""
+    from laminar.operators import quality
+    assert jobs.run_quality(spark, area, SEED_DAY).first().overall_status == "FAIL"
+    land(seed_users(spark), area, ODS_USER_INFO)
+    land(seed_orders(spark), area, ODS_ORDER_INFO)
+    daily.run_daily(spark, area, SEED_DAY)
+    rep = jobs.run_quality(spark, area, SEED_DAY).first()
+    assert (rep.overall_status, rep.fail_count, rep.warn_count, rep.tables_checked) == ("PASS", 0, 2, 6)
+    path = f"{area}/{jobs.FINDINGS_TABLE}"
+    assert {r.severity for r in jobs.read_findings(spark, path).collect()} == {"WARN"}
+    quality.assert_quality(jobs.run_quality(spark, area, SEED_DAY))
