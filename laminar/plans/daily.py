@@ -68,16 +68,17 @@ def run(spark: SparkSession, root: str, days: Days,
     """Run the detail and summary layers for ``days``; returns rows written per table."""
     configure(spark)
     from laminar.schemas import ODS_ORDER_INFO, ODS_USER_INFO
+    day = days.first if days.first is not None and days.first == days.last else None
     users, orders = _concurrently(
-        lambda: write_table(clean_users(_read(spark, root, ODS_USER_INFO, days)), root, DWD_USER_INFO),
+        lambda: write_table(clean_users(_read(spark, root, ODS_USER_INFO, days)), root, DWD_USER_INFO, day),
         lambda: write_table(clean_orders(_read(spark, root, ODS_ORDER_INFO, days), category_rules, products),
-                            root, DWD_ORDER_INFO))
+                            root, DWD_ORDER_INFO, day))
     detail = _read(spark, root, DWD_ORDER_INFO, days)
     if logins is not None:
         logins = logins.where(days.predicate())
     user_stats, product_stats = _concurrently(
-        lambda: write_table(user_daily_stats(detail, logins), root, DWS_USER_DAILY_STATS),
-        lambda: write_table(product_daily_stats(detail), root, DWS_PRODUCT_DAILY_STATS))
+        lambda: write_table(user_daily_stats(detail, logins), root, DWS_USER_DAILY_STATS, day),
+        lambda: write_table(product_daily_stats(detail), root, DWS_PRODUCT_DAILY_STATS, day))
     return {DWD_USER_INFO.name: users, DWD_ORDER_INFO.name: orders,
             DWS_USER_DAILY_STATS.name: user_stats, DWS_PRODUCT_DAILY_STATS.name: product_stats}
 

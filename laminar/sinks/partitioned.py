@@ -52,13 +52,23 @@ def _observed_rows(obs: Observation) -> int:
         raise
 
 
-def write_table(df: DataFrame, root: str, spec: TableSpec, **kwargs) -> int:
-    """Conform to the table contract (strict casts), then partition-overwrite it."""
-    return write_frame(conform(df, spec), table_path(root, spec), spec.partition_by, **kwargs)
+def write_table(df: DataFrame, root: str, spec: TableSpec, day: str | None = None, **kwargs) -> int:
+    """Conform to the table contract (strict casts), then partition-overwrite it.
+
+    With a run ``day`` (day-partitioned tables), that day's folder is replaced
+    outright, even when the day now has no rows: a dynamic partition overwrite
+    writes nothing for an empty day and would keep the rows of an earlier run.
+    """
+    out = conform(df, spec)
+    if day is None or spec.partition_by != ("dt",):
+        return write_frame(out, table_path(root, spec), spec.partition_by, **kwargs)
+    one_day = out.where(F.col("dt") == F.lit(day)).drop("dt")
+    return write_frame(one_day, f"{table_path(root, spec)}/dt={day}", **kwargs)
 
 
 def land(df: DataFrame, root: str, spec: TableSpec, day: str | None = None, **kwargs) -> int:
-    """Land extracted rows in the raw layer, stamped with the run day when given."""
+    """Land extracted rows in the raw layer, stamped with the run day when given
+    (then the day's folder is replaced, as for any one-day write)."""
     if day is not None:
         df = df.withColumn("dt", F.lit(day))
-    return write_table(df, root, spec, **kwargs)
+    return write_table(df, root, spec, day, **kwargs)

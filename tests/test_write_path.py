@@ -43,6 +43,23 @@ def test_rerun_is_idempotent_and_keeps_other_days(spark, area):
     assert dict(s.dtypes)["avg_order_amount"] == "decimal(10,2)"
 
 
+def test_rerun_of_a_day_that_became_empty_clears_it(spark, area):
+    """Re-landing a day whose orders are now all invalid empties that day's detail and
+    summaries (no stale rows from the first run), and leaves other days alone."""
+    land(seed_users(spark), area, ODS_USER_INFO)
+    land(seed_orders(spark), area, ODS_ORDER_INFO)
+    daily.run_daily(spark, area, SEED_DAY)
+    land(seed_orders(spark).drop("dt"), area, ODS_ORDER_INFO, day=SECOND_DAY)
+    daily.run_daily(spark, area, SECOND_DAY)
+    invalid = seed_orders(spark).drop("dt").withColumn("total_amount", F.lit(0).cast("decimal(10,2)"))
+    land(invalid, area, ODS_ORDER_INFO, day=SEED_DAY)
+    written = daily.run_daily(spark, area, SEED_DAY)
+    assert written["dwd_order_info"] == 0 and written["dws_product_daily_stats"] == 0
+    after = counts(spark, area)
+    assert ("dwd_order_info", SEED_DAY) not in after and ("dws_user_daily_stats", SEED_DAY) not in after
+    assert after[("dwd_order_info", SECOND_DAY)] == 8 and after[("dwd_user_info", SEED_DAY)] == 5
+
+
 def test_day_read_is_partition_pruned(spark, area):
     land(seed_orders(spark), area, ODS_ORDER_INFO)
     plan = read_table(spark, area, ODS_ORDER_INFO).where(F.col("dt") == SEED_DAY)._jdf.queryExecution() \
