@@ -68,17 +68,21 @@ def run(spark: SparkSession, root: str, days: Days,
     """Run the detail and summary layers for ``days``; returns rows written per table."""
     configure(spark)
     from laminar.schemas import ODS_ORDER_INFO, ODS_USER_INFO
-    day = days.first if days.first is not None and days.first == days.last else None
+    # One day replaces that day's folder; a range also clears its days that now produce no rows.
+    if days.first is not None and days.first == days.last:
+        target = {"day": days.first}
+    else:
+        target = {"day_range": (days.first, days.last)}
     users, orders = _concurrently(
-        lambda: write_table(clean_users(_read(spark, root, ODS_USER_INFO, days)), root, DWD_USER_INFO, day),
+        lambda: write_table(clean_users(_read(spark, root, ODS_USER_INFO, days)), root, DWD_USER_INFO, **target),
         lambda: write_table(clean_orders(_read(spark, root, ODS_ORDER_INFO, days), category_rules, products),
-                            root, DWD_ORDER_INFO, day))
+                            root, DWD_ORDER_INFO, **target))
     detail = _read(spark, root, DWD_ORDER_INFO, days)
     if logins is not None:
         logins = logins.where(days.predicate())
     user_stats, product_stats = _concurrently(
-        lambda: write_table(user_daily_stats(detail, logins), root, DWS_USER_DAILY_STATS, day),
-        lambda: write_table(product_daily_stats(detail), root, DWS_PRODUCT_DAILY_STATS, day))
+        lambda: write_table(user_daily_stats(detail, logins), root, DWS_USER_DAILY_STATS, **target),
+        lambda: write_table(product_daily_stats(detail), root, DWS_PRODUCT_DAILY_STATS, **target))
     return {DWD_USER_INFO.name: users, DWD_ORDER_INFO.name: orders,
             DWS_USER_DAILY_STATS.name: user_stats, DWS_PRODUCT_DAILY_STATS.name: product_stats}
 

@@ -28,8 +28,18 @@ def write_frame(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
                 compression: str = "snappy", max_records_per_file: int = 5_000_000,
                 dynamic: bool = True) -> int:
     """Write ``df`` to ``path``; returns the number of rows written."""
+    return int(_write(df, path, partition_by, fmt, compression, max_records_per_file, dynamic).get("rows", 0))
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet",
+           compression: str = "snappy", max_records_per_file: int = 5_000_000, dynamic: bool = True,
+           written_days: bool = False) -> dict:
+    """The write, with row count (and optionally the set of days) observed on it."""
     obs = Observation("written")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if written_days:
+        metrics.append(F.collect_set("dt").alias("days"))     # at most one entry per day
+    out = df.observe(obs, *metrics)
     out = out.hint("rebalance", *partition_by) if partition_by else out.hint("rebalance")
     writer = (out.write.mode("overwrite").format(fmt).option("compression", compression)
               .option("maxRecordsPerFile", str(max_records_per_file)))
@@ -38,32 +48,63 @@ def write_frame(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
         if dynamic:
             writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
-    return _observed_rows(obs)
+    return _observed(obs)
 
 
-def _observed_rows(obs: Observation) -> int:
-    """Rows seen by the write. When partition pruning leaves no input at all, no
+def _observed(obs: Observation) -> dict:
+    """Metrics seen by the write. When partition pruning leaves no input at all, no
     task reports metrics and the observation stays empty: that is zero rows."""
     try:
-        return int(obs.get.get("rows", 0))
+        return dict(obs.get)
     except Exception as exc:  # py4j: empty metrics row cannot be converted
         if "assertion failed" in str(exc):
-            return 0
+            return {}
         raise
 
 
-def write_table(df: DataFrame, root: str, spec: TableSpec, day: str | None = None, **kwargs) -> int:
+def _day_folders(spark, table_dir: str) -> list[str]:
+    """The ``dt=`` folder names under a table folder (one listing call on the driver)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(table_dir)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)
+            if st.isDirectory() and st.getPath().getName().startswith("dt=")]
+
+
+def _delete(spark, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def write_table(df: DataFrame, root: str, spec: TableSpec, day: str | None = None,
+                day_range: tuple[str | None, str | None] | None = None, **kwargs) -> int:
     """Conform to the table contract (strict casts), then partition-overwrite it.
 
     With a run ``day`` (day-partitioned tables), that day's folder is replaced
     outright, even when the day now has no rows: a dynamic partition overwrite
     writes nothing for an empty day and would keep the rows of an earlier run.
+    With a ``day_range`` (a backfill; ``None`` ends are open), the days written are
+    replaced and the range's other day folders of this table are removed, for the
+    same reason.
     """
     out = conform(df, spec)
-    if day is None or spec.partition_by != ("dt",):
-        return write_frame(out, table_path(root, spec), spec.partition_by, **kwargs)
-    one_day = out.where(F.col("dt") == F.lit(day)).drop("dt")
-    return write_frame(one_day, f"{table_path(root, spec)}/dt={day}", **kwargs)
+    path = table_path(root, spec)
+    if spec.partition_by != ("dt",) or (day is None and day_range is None):
+        return write_frame(out, path, spec.partition_by, **kwargs)
+    if day is not None:
+        one_day = out.where(F.col("dt") == F.lit(day)).drop("dt")
+        return write_frame(one_day, f"{path}/dt={day}", **kwargs)
+    seen = _write(out, path, ("dt",), written_days=True, **kwargs)
+    first, last = day_range
+    written = set(seen.get("days") or [])
+    for folder in _day_folders(df.sparkSession, path):
+        d = folder[len("dt="):]
+        if (first is None or d >= first) and (last is None or d <= last) and d not in written:
+            _delete(df.sparkSession, f"{path}/{folder}")
+    return int(seen.get("rows", 0))
 
 
 def land(df: DataFrame, root: str, spec: TableSpec, day: str | None = None, **kwargs) -> int:

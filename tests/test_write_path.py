@@ -60,6 +60,25 @@ def test_rerun_of_a_day_that_became_empty_clears_it(spark, area):
     assert after[("dwd_order_info", SECOND_DAY)] == 8 and after[("dwd_user_info", SEED_DAY)] == 5
 
 
+def test_backfill_clears_days_that_became_empty(spark, area):
+    """A range run replaces its days; a day of the range that now has no valid order
+    loses its old detail and summaries; a day outside the range is left alone."""
+    third = "2024-12-28"
+    land(seed_users(spark), area, ODS_USER_INFO)
+    for d in (SEED_DAY, SECOND_DAY, third):
+        land(seed_orders(spark).drop("dt"), area, ODS_ORDER_INFO, day=d)
+    daily.run(spark, area, daily.Days.every())
+    invalid = seed_orders(spark).drop("dt").withColumn("total_amount", F.lit(0).cast("decimal(10,2)"))
+    land(invalid, area, ODS_ORDER_INFO, day=SECOND_DAY)
+    written = daily.run(spark, area, daily.Days(SEED_DAY, SECOND_DAY))
+    assert written["dwd_order_info"] == 8
+    after = counts(spark, area)
+    for table in ("dwd_order_info", "dws_user_daily_stats", "dws_product_daily_stats"):
+        assert (table, SECOND_DAY) not in after
+        assert (table, SEED_DAY) in after and (table, third) in after
+    assert after[("dwd_user_info", SEED_DAY)] == 5
+
+
 def test_day_read_is_partition_pruned(spark, area):
     land(seed_orders(spark), area, ODS_ORDER_INFO)
     plan = read_table(spark, area, ODS_ORDER_INFO).where(F.col("dt") == SEED_DAY)._jdf.queryExecution() \
