@@ -143,10 +143,15 @@ TREND_RUN_TS = "2001-08-02 00:00:00"
 
 
 def login_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from laminar.operators.aggregates import user_daily_stats
+    """Daily user statistics with logins, orders and logins both read from the events
+    in one pass (``user_daily_stats_one_pass``)."""
+    from pyspark.sql import functions as F
+
+    from laminar.operators.aggregates import user_daily_stats_one_pass
     from laminar.sources import testdata
-    events = Warehouse(spark, sf_dir).table(LOGIN_SOURCE)
-    return user_daily_stats(testdata.orders_from_purchases(events), testdata.logins_from_views(events))
+    activity = testdata.event_activity(Warehouse(spark, sf_dir).table(LOGIN_SOURCE))
+    kind = F.col("event_type")
+    return user_daily_stats_one_pass(activity, kind == "purchase", kind == "view")
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -114,14 +114,7 @@ def typed_events(events: DataFrame) -> DataFrame:
 
 def orders_from_purchases(events: DataFrame) -> DataFrame:
     """``purchase`` events as detail orders (order id, user, amount, time, day)."""
-    ev = typed_events(events).where(F.col("event_type") == "purchase")
-    return ev.select(
-        F.col("event_id").cast("string").alias("order_id"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.col("value").cast(MONEY).alias("final_amount"),
-        F.col("ts").alias("create_time"),
-        "dt",
-    )
+    return event_activity(events).where(F.col("event_type") == "purchase").drop("event_type")
 
 
 def logins_from_views(events: DataFrame) -> DataFrame:
@@ -129,3 +122,17 @@ def logins_from_views(events: DataFrame) -> DataFrame:
     ev = typed_events(events).where(F.col("event_type") == "view")
     return (ev.groupBy("dt", F.col("user_id").cast("string").alias("user_id"))
               .agg(F.count(F.lit(1)).alias("login_count")))
+
+
+def event_activity(events: DataFrame) -> DataFrame:
+    """Events in the shape of detail orders, with their type kept (purchases are the
+    orders, views the logins), for the one-pass daily user statistics."""
+    ev = typed_events(events)
+    return ev.select(
+        F.col("event_id").cast("string").alias("order_id"),
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("value").cast(MONEY).alias("final_amount"),
+        F.col("ts").alias("create_time"),
+        "dt",
+        "event_type",
+    )

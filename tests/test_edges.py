@@ -120,3 +120,17 @@ def test_conform_rejects_overflow(spark):
     full = spark.createDataFrame(rows, DWD_ORDER_INFO.full_schema).drop("final_amount").crossJoin(df)
     with pytest.raises(Exception):
         conform(full, DWD_ORDER_INFO).collect()
+
+
+def test_one_pass_login_stats_equal_joined_form(spark):
+    """Orders and logins from one table: the single conditional aggregate gives the
+    same rows as the two aggregates joined on (day, user)."""
+    from conftest import SF_SMALL
+    from laminar.operators.aggregates import user_daily_stats, user_daily_stats_one_pass
+    from laminar.sources import testdata
+    ev = testdata.table(spark, SF_SMALL, "events")
+    joined = user_daily_stats(testdata.orders_from_purchases(ev), testdata.logins_from_views(ev))
+    kind = F.col("event_type")
+    one = user_daily_stats_one_pass(testdata.event_activity(ev), kind == "purchase", kind == "view")
+    rows = lambda df: sorted(tuple(repr(v) for v in r) for r in df.select(*joined.columns).collect())
+    assert rows(one) == rows(joined) and len(rows(one)) > 0

@@ -27,6 +27,9 @@ ORDER_LINEAGE_READS = {
     "dq_report": 4,
 }
 
+# query -> how many times it may read the events table
+EVENT_READS = {"login_count": 1, "fact_user_behavior": 1, "event_log_daily": 0}
+
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 
@@ -44,6 +47,11 @@ def test_order_lineage_read_count(spark, name, limit):
     assert _reads(_plan(spark, name))["lineitem.parquet"] == limit
 
 
+@pytest.mark.parametrize("name,limit", sorted(EVENT_READS.items()))
+def test_event_read_count(spark, name, limit):
+    assert _reads(_plan(spark, name))["events.parquet"] == limit
+
+
 @pytest.mark.parametrize("name", [n for n in entry.queries()
                                   if n not in ("etl_roundtrip", "stream_dedup_ingest", "stream_user_daily")])
 def test_no_nested_loop_cartesian_or_python(spark, name):
