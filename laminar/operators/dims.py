@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laminar.functions.masking import hash_email, mask_phone
-from laminar.functions.rules import keyword_classifier
+from laminar.functions.rules import DEFAULT_CATEGORY, keyword_classifier
 from laminar.schemas import MONEY
 
 # Fixed values (ours): fixed-date public holidays as MM-dd, used when no holiday
@@ -84,6 +84,24 @@ def product_dimension(part: DataFrame, category_rules: Sequence[tuple[str, str]]
     )
 
 
+def sales_by_category(dwd_orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Order lines, amount and products per category, the category looked up in the
+    product dimension ``(product_id, category_id)``; a product not in it is OTHER.
+
+    Orders are reduced to one row per product first (partial aggregate map-side),
+    so the lookup joins products to products: a product holding a large share of the
+    orders does not skew it, and the join does not grow with the orders.
+    """
+    per_product = dwd_orders.groupBy("product_id").agg(
+        F.count("order_id").alias("_lines"), F.sum("final_amount").alias("_amount"))
+    looked_up = per_product.join(products.select("product_id", "category_id"), "product_id", "left")
+    return looked_up.groupBy(F.coalesce("category_id", F.lit(DEFAULT_CATEGORY)).alias("category_id")).agg(
+        F.sum("_lines").cast("bigint").alias("order_lines"),
+        F.sum("_amount").cast("decimal(20,2)").alias("total_amount"),
+        F.count("product_id").alias("products"),
+    )
+
+
 USER_VERSION_ORDER = ("update_time", "create_time", "dt")
 
 
