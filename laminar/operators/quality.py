@@ -144,10 +144,6 @@ def accuracy(dwd_orders: DataFrame, as_of: str, min_date: str = DEFAULT_MIN_ORDE
     return accuracy_of(day_profile(dwd_orders, (), conditions=accuracy_conditions(as_of, min_date)))
 
 
-def day_counts(df: DataFrame) -> DataFrame:
-    return df.groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"))
-
-
 # ---------------------------------------------------------------- report
 def _profiles(tables: Mapping[str, DataFrame], present: Sequence[str], as_of: str,
               min_date: str) -> dict[str, DayProfile]:
