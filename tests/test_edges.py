@@ -134,3 +134,18 @@ def test_one_pass_login_stats_equal_joined_form(spark):
     one = user_daily_stats_one_pass(testdata.event_activity(ev), kind == "purchase", kind == "view")
     rows = lambda df: sorted(tuple(repr(v) for v in r) for r in df.select(*joined.columns).collect())
     assert rows(one) == rows(joined) and len(rows(one)) > 0
+
+
+def test_storage_root_refuses_local_fallback_on_a_cluster():
+    """Without spark.checkpoint.dir, only a local-mode session gets a private folder."""
+    from types import SimpleNamespace
+
+    from laminar.session import storage_root
+
+    def session(master):
+        ctx = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=ctx)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage_root(session("yarn"))
+    assert storage_root(session("local[2]"))
