@@ -8,12 +8,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm.common import table
+from laminar.llm.common import materialise, table
 from laminar.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary_path(name: str) -> str:
+    """Place of a public vocabulary file; the package is installed on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.llm import packing
+    configure(spark)
+    return packed_digest(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), packing.CAPACITY)
+
+
+def packed_digest(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
+    from laminar.llm import packing
+    pieces = packing.tokenise(docs, vocabulary, capacity=capacity, end_id=0)
+    digest = pieces.select(F.col("id").alias("doc_id"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(materialise(digest, "pack-pieces"), capacity)
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.llm import pii
+    configure(spark)
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base = {k: F.col(k) for k in pii.KINDS}
+    return found.select(F.col("id").alias("doc_id"), *[F.size(k).cast("bigint").alias(f"n_{k}") for k in pii.KINDS],
+                        F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+                        pii.span_text(base | {"term": F.col("term")}).alias("spans"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.llm import quality_rules
     configure(spark)
@@ -24,6 +53,17 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "score")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from laminar.llm import byte_bpe
+    configure(spark)
+    ranks = vocabulary_path("byte_bpe_50k.tiktoken")
+    coded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    digest = coded.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
+    back = byte_bpe.decode(digest, ranks)
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.llm import simhash
     configure(spark)
@@ -32,10 +72,28 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.llm import url_filters
+    configure(spark)
+    return url_filters.judge(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.llm import ann
+    configure(spark)
+    found = ann.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0, top=5)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_best_fit_packing": op1_best_fit_packing,
+        "op2_pii": op2_pii,
         "op5_quality_rules": op5_quality_rules,
+        "op6_byte_bpe": op6_byte_bpe,
         "op7_simhash": op7_simhash,
+        "op9_url_filters": op9_url_filters,
+        "op10_ann": op10_ann,
     }
 
 
