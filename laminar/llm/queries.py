@@ -43,6 +43,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_text(base | {"term": F.col("term")}).alias("spans"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from laminar.llm import token_counts
+    configure(spark)
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.tiktoken"),
+                                     public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.llm import quality_rules
     configure(spark)
@@ -72,6 +80,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.llm import toxicity
+    configure(spark)
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.judge(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.llm import url_filters
     configure(spark)
@@ -89,9 +104,11 @@ def queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_pii": op2_pii,
+        "op4_token_counts": op4_token_counts,
         "op5_quality_rules": op5_quality_rules,
         "op6_byte_bpe": op6_byte_bpe,
         "op7_simhash": op7_simhash,
+        "op8_toxicity": op8_toxicity,
         "op9_url_filters": op9_url_filters,
         "op10_ann": op10_ann,
     }
