@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a table under the shared storage root and read it back.
 
     The written table cuts the lineage: a lost executor recomputes from these files,
@@ -27,7 +27,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_area(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -44,3 +44,14 @@ def bounded_batches(batches, max_bytes: int = 16 << 20):
         step = max(1, int(batch.num_rows * max_bytes / max(batch.nbytes, 1)))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+
+
+def worker_state(name: str, make):
+    """An object that outlives the task: made once per Python worker and kept in a module of
+    its own, as functions of this subpackage arrive by value with every task."""
+    import sys
+    import types
+    kept = sys.modules.setdefault("_laminar_worker_state", types.ModuleType("_laminar_worker_state")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]

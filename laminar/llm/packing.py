@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from laminar.llm.common import bounded_batches, materialise
+from laminar.llm.common import bounded_batches, materialise, worker_state
 
 CAPACITY = 2048
 GROUP_BINS = 1024
@@ -39,7 +39,12 @@ FORWARD = 4
 
 
 # ---------------------------------------------------------------- token ids
-def word_encoder(vocabulary: str, cache_size: int = 400_000):
+def word_encoder(vocabulary: str):
+    """``make_encoder``'s function, made once per Python worker."""
+    return worker_state("encoder " + vocabulary, lambda: make_encoder(vocabulary))
+
+
+def make_encoder(vocabulary: str, cache_size: int = 700_000):
     """A function from a text's UTF-8 bytes to its ids as little-endian 32-bit integers.
 
     The vocabulary's splitting rule never crosses white space, so a text is encoded chunk
@@ -145,53 +150,74 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(give: np.ndarray, take: np.ndarray, free: int) -> tuple[list[int], list[int], int]:
-    """Best step from a donor (lengths ``give``) to a receiver (``take``) with ``free`` room:
-    positions that leave the donor, positions that come back, and the gain in fill."""
-    best: tuple[list[int], list[int], int] = ([], [], 0)
-    order = np.argsort(take, kind="stable")
-    sorted_take = take[order]
-    ones = np.unique(give, return_index=True)[1]
-    pairs = [(a, b) for x, a in enumerate(ones) for b in ones[x + 1:]][:512]
-    for out in [[int(a)] for a in ones] + [[int(a), int(b)] for a, b in pairs]:
-        size = int(give[out].sum())
-        if len(out) == 1 and best[2] < size <= free:
-            best = (out, [], size)                 # a move
-        # an exchange: the smallest length that makes room, if it is below ``size``
-        at = int(np.searchsorted(sorted_take, max(size - free, 1)))
-        if at < len(take) and 0 < (gain := size - int(sorted_take[at])) <= free and gain > best[2]:
-            best = (out, [int(order[at])], gain)
-    return best
-
-
 def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Steps that raise the sum of squared fills, until bins empty or none helps."""
-    need = -(-int(lengths.sum()) // capacity)
-    fill = [int(lengths[b].sum()) for b in bins]
-    live = {b for b in range(len(bins)) if bins[b]}
-    stuck: set[int] = set()
-    while len(live) > need:
-        donors = [b for b in live if fill[b] < capacity and b not in stuck]
-        if len(donors) < 2:
+    """Steps that raise the sum of squared fills, until bins empty or none helps.
+
+    The donor is the least full bin that is not stuck. Its best step over all receivers at
+    least as full (the largest gain in the receiver's fill) is taken: move one piece,
+    exchange one for one, or two for one. A donor's different sizes add up to at most
+    ``capacity``, so there are few of them and few pairs.
+    """
+    where = np.zeros(len(lengths), dtype=np.int64)
+    for b, rows in enumerate(bins):
+        where[rows] = b
+    fill = np.array([int(lengths[b].sum()) for b in bins], dtype=np.int64)
+    live, need = int((fill > 0).sum()), -(-int(lengths.sum()) // capacity)
+    open_ = (fill > 0) & (fill < capacity)
+    stuck = np.zeros(len(bins), dtype=bool)
+    while live > need:
+        donors = np.flatnonzero(open_ & ~stuck)
+        if not len(donors):
             break
-        a = min(donors, key=lambda b: (fill[b], b))
-        stepped = False
-        for b in sorted((b for b in live if b != a and fill[b] < capacity and fill[b] >= fill[a]),
-                        key=lambda b: (-fill[b], b)):
-            out, back, gain = _exchange(lengths[bins[a]], lengths[bins[b]], capacity - fill[b])
-            if gain:
-                gone, got = [bins[a][i] for i in out], [bins[b][i] for i in back]
-                bins[a] = [x for x in bins[a] if x not in gone] + got
-                bins[b] = [x for x in bins[b] if x not in got] + gone
-                fill[a] -= gain
-                fill[b] += gain
-                stepped = True
-                if not bins[a]:
-                    live.discard(a)
-                    break
-        if not stepped:
-            stuck.add(a)
-    return [bins[b] for b in sorted(live)]
+        a = donors[np.argmin(fill[donors])]
+        step = _best_step(a, where, lengths, fill, open_, capacity)
+        if step is None:
+            stuck[a] = True
+            continue
+        out, back, b = step
+        gain = int(lengths[out].sum()) - (0 if back is None else int(lengths[back]))
+        where[out] = b
+        if back is not None:
+            where[back] = a
+        fill[a] -= gain
+        fill[b] += gain
+        open_[a], open_[b] = fill[a] > 0, fill[b] < capacity
+        live -= int(fill[a] == 0)
+    order = np.argsort(where, kind="stable")
+    edges = np.flatnonzero(np.r_[True, np.diff(where[order]) != 0, True])
+    return [order[lo:hi].tolist() for lo, hi in zip(edges, edges[1:])]
+
+
+def _best_step(a: int, where: np.ndarray, lengths: np.ndarray, fill: np.ndarray, open_: np.ndarray,
+               capacity: int) -> tuple[list[int], int | None, int] | None:
+    """(pieces that leave ``a``, piece that comes back or None, receiver) of the largest gain."""
+    takes = open_ & (fill >= fill[a])
+    takes[a] = False
+    receivers = np.flatnonzero(takes)
+    if not len(receivers):
+        return None
+    mine = np.flatnonzero(where == a)
+    sizes, first = np.unique(lengths[mine], return_index=True)
+    twice = np.flatnonzero(np.bincount(np.searchsorted(sizes, lengths[mine])) > 1)
+    singles = [[int(mine[i])] for i in first]
+    pairs = [[int(mine[i]), int(mine[j])] for x, i in enumerate(first) for j in first[x + 1:]]
+    pairs += [mine[lengths[mine] == sizes[i]][:2].tolist() for i in twice]
+    theirs = np.flatnonzero(takes[where])
+    room = capacity - fill[where[theirs]]
+    spare = capacity - fill[receivers]
+    best, gain = None, 0
+    for out in singles + pairs:
+        size = int(lengths[out].sum())
+        if len(out) == 1:
+            fits = np.flatnonzero(spare >= size)
+            if len(fits) and size > gain:                    # into the fullest bin that has room
+                best, gain = (out, None, int(receivers[fits[np.argmin(spare[fits])]])), size
+        gains = size - lengths[theirs]
+        gains[gains > room] = 0
+        at = int(np.argmax(gains))
+        if gains[at] > gain:
+            best, gain = (out, int(theirs[at]), int(where[theirs[at]])), int(gains[at])
+    return best
 
 
 def pack_group(lengths: np.ndarray, capacity: int) -> list[list[int]]:
