@@ -43,6 +43,13 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_text(base | {"term": F.col("term")}).alias("spans"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.llm import lm_scoring
+    configure(spark)
+    scored = lm_scoring.score(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from laminar.llm import token_counts
@@ -104,6 +111,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_pii": op2_pii,
+        "op3_lm_scoring": op3_lm_scoring,
         "op4_token_counts": op4_token_counts,
         "op5_quality_rules": op5_quality_rules,
         "op6_byte_bpe": op6_byte_bpe,
