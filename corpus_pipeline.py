@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm import quality_rules, simhash
+from laminar.llm import pii, quality_rules, simhash, toxicity
 from laminar.llm.common import materialise, table
+from laminar.llm.packing import CAPACITY
+from laminar.llm.queries import packed_digest, vocabulary_path
 from laminar.session import configure
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
@@ -23,6 +23,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, model).where("kept").select(*docs.columns)
 
 
+def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain calls toxic go."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.judge(docs, model).where("NOT is_toxic").select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the group's id.
 
@@ -35,7 +41,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
-STAGES = [("quality_rules", quality), ("simhash", near_duplicates)]
+def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that reveal it are replaced; ``n_chars`` follows the text."""
+    out = pii.sanitise(docs)
+    size = F.coalesce(F.length("text"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return out.withColumn("n_chars", size).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences."""
+    return packed_digest(docs, vocabulary_path("word_bpe_49k.json"), CAPACITY)
+
+
+STAGES = [("quality_rules", quality), ("toxicity", clean_of_toxicity), ("simhash", near_duplicates),
+          ("pii", privacy), ("packing", packed)]
 
 # The stages hold models and hashes that SQL cannot express; tests/llm compares run()
 # with a brute-force version.
