@@ -7,9 +7,9 @@ minimum rank until no pair is left. A pre-token that is itself in the vocabulary
 token. ``decode`` joins (document, position, token) rows with the vocabulary and puts the
 bytes together with an ordered aggregate.
 
-Two texts are never compared or shuffled: each task keeps an in-memory DuckDB of one
-thread and bounded memory, holding the fixed vocabulary and one batch at a time. Words of
-the current task already contracted are looked up in a cache of bounded size.
+No text is compared with another or shuffled: each Python worker keeps an in-memory DuckDB
+of one thread and bounded memory, holding the fixed vocabulary and one batch at a time.
+Words that the worker has contracted before are looked up in a cache of bounded size.
 
 Words over ``LONG`` bytes go through a keyed form of the query, which keeps one state per
 position instead of every round's and contracts all non-overlapping repeats of the
@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from laminar.llm.common import bounded_batches
+from laminar.llm.common import bounded_batches, worker_state
 
 LONG = 64                      # bytes of a word
-WORDS_PER_QUERY = 60_000
-CACHE = 300_000                # words
+WORDS_PER_QUERY = 20_000
+CACHE = 400_000                # words a worker remembers
 SHIFT = 1 << 32                # rank and position packed into one integer for the minimum
 
 START = "SELECT word, pos, tok FROM start"
@@ -141,9 +141,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     def run(batches):
         import regex
         split = regex.compile(pattern).findall
-        contractor, known = None, {}
-        for batch in bounded_batches(batches, 8 << 20):
-            contractor = contractor or Contractor(read_ranks(ranks_path))
+        contractor = worker_state("contractor " + ranks_path, lambda: Contractor(read_ranks(ranks_path)))
+        known = worker_state("contracted " + ranks_path, dict)
+        for batch in bounded_batches(batches, 4 << 20):
             found = [split(t or "") for t in batch.column(1).to_pylist()]
             if len(known) > CACHE:
                 known.clear()
@@ -157,20 +157,23 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     return rows.mapInArrow(run, "id bigint, n_tokens bigint, ids binary")
 
 
+def vocabulary_db(ranks_path: str):
+    ranks, db = read_ranks(ranks_path), _connect()
+    db.register("loaded", pa.table({"id": pa.array(ranks.values(), pa.int32()),
+                                    "bytes": pa.array(ranks.keys(), pa.binary())}))
+    db.execute("CREATE TABLE vocab AS SELECT * FROM loaded")
+    db.unregister("loaded")
+    return db
+
+
 def decode(coded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """The other columns of ``coded`` plus ``out_col``, the bytes of its ids."""
     others = [c for c in coded.columns if c != ids_col]
     schema = T.StructType([*coded.select(*others).schema.fields, T.StructField(out_col, T.BinaryType())])
 
     def run(batches):
-        db = None
-        for batch in bounded_batches(batches, 8 << 20):
-            if db is None:
-                ranks, db = read_ranks(ranks_path), _connect()
-                db.register("loaded", pa.table({"id": pa.array(ranks.values(), pa.int32()),
-                                                "bytes": pa.array(ranks.keys(), pa.binary())}))
-                db.execute("CREATE TABLE vocab AS SELECT * FROM loaded")
-                db.unregister("loaded")
+        db = worker_state("vocabulary " + ranks_path, lambda: vocabulary_db(ranks_path))
+        for batch in bounded_batches(batches, 4 << 20):
             ids = [np.frombuffer(x or b"", dtype="<u4") for x in batch.column(len(others)).to_pylist()]
             sizes = np.array([len(x) for x in ids])
             flat = np.concatenate([*ids, np.zeros(0, "<u4")]).astype(np.int32)
