@@ -7,10 +7,10 @@ Packing works in groups of about ``group_bins`` sequences, each in one task: a b
 start in falling order of length, then local search between underfull bins. A step moves
 a piece, or exchanges one for one or two for one, from a less full to a fuller bin, so
 the sum of squared fills rises strictly and the search ends; donors are taken from the
-least full bin up, until bins empty or the group's lower bound is reached. The few least
-full bins of every group (``forward``) are dealt anew into fewer groups in the next round,
-until one group is left: the loss against one big packing is a few bins in all, and no
-task ever holds more than about ``group_bins`` sequences.
+least full bin up, until bins empty or the group's lower bound is reached. The least full
+eighth of every group's bins (``forward``) is dealt anew into fewer groups in the next
+round, until one group is left: rounds shrink geometrically, the result comes close to one
+big packing, and no task ever holds more than about ``group_bins`` sequences.
 
 Groups are dealt by row number, not by content, so equal documents and hot sources
 spread evenly. Every round is written to shared storage before the next reads it.
@@ -35,7 +35,7 @@ from laminar.llm.common import bounded_batches, materialise, worker_state
 
 CAPACITY = 2048
 GROUP_BINS = 1024
-FORWARD = 4
+FORWARD = 0.125                # share of a group's sequences that the next round packs anew
 
 
 # ---------------------------------------------------------------- token ids
@@ -226,7 +226,7 @@ def pack_group(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 # ---------------------------------------------------------------- packing of a table
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_bins: int = GROUP_BINS,
-         forward: int = FORWARD) -> DataFrame:
+         forward: float = FORWARD) -> DataFrame:
     """``pieces`` (with ``length`` in 1..capacity) plus sequence_id and offset.
 
     ``pieces`` should be a written table: its rows are dealt by row number, which a
@@ -248,7 +248,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_bins: int = GROUP_BI
         rest, level = done.where("_pending").select(*columns), level + 1
 
 
-def _round(rest: DataFrame, capacity: int, groups: int, forward: int, level: int) -> DataFrame:
+def _round(rest: DataFrame, capacity: int, groups: int, forward: float, level: int) -> DataFrame:
     schema = T.StructType([*rest.schema.fields, T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType()), T.StructField("_pending", T.BooleanType())])
     base = level << 56
@@ -262,7 +262,7 @@ def _round(rest: DataFrame, capacity: int, groups: int, forward: int, level: int
         for n, rows in enumerate(bins):
             sequence[rows] = base + (int(key[0]) << 24) + n
             offset[rows] = np.cumsum(lengths[rows]) - lengths[rows]
-            pending[rows] = n < forward and lengths[rows].sum() < capacity
+            pending[rows] = n < forward * len(bins) and lengths[rows].sum() < capacity
         return pdf.assign(sequence_id=sequence, offset=offset, _pending=pending)
 
     group = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
