@@ -45,9 +45,3 @@ def half_up_units(num: Column | str, den: Column | str, scale: int) -> Column:
 def half_up_ratio(num: Column | str, den: Column | str, scale: int) -> Column:
     """num / den rounded half-up at ``scale`` digits, as a DOUBLE."""
     return half_up_units(num, den, scale).cast("double") / F.lit(float(10 ** scale))
-
-
-def safe_ratio(num: Column | str, den: Column | str) -> Column:
-    """num / den as a double, 0.0 when den is 0 or NULL."""
-    n, d = _c(num), _c(den)
-    return F.when(d > 0, n.cast("double") / d.cast("double")).otherwise(F.lit(0.0))

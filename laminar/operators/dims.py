@@ -84,6 +84,12 @@ def product_dimension(part: DataFrame, category_rules: Sequence[tuple[str, str]]
     )
 
 
+def one_row_per_product(products: DataFrame) -> DataFrame:
+    """``(product_id, category_id)`` with each product once: of repeated rows the one with
+    the least category, so a lookup never multiplies orders."""
+    return products.groupBy("product_id").agg(F.min("category_id").alias("category_id"))
+
+
 def sales_by_category(dwd_orders: DataFrame, products: DataFrame) -> DataFrame:
     """Order lines, amount and products per category, the category looked up in the
     product dimension ``(product_id, category_id)``; a product not in it is OTHER.
@@ -94,7 +100,7 @@ def sales_by_category(dwd_orders: DataFrame, products: DataFrame) -> DataFrame:
     """
     per_product = dwd_orders.groupBy("product_id").agg(
         F.count("order_id").alias("_lines"), F.sum("final_amount").alias("_amount"))
-    looked_up = per_product.join(products.select("product_id", "category_id"), "product_id", "left")
+    looked_up = per_product.join(one_row_per_product(products), "product_id", "left")
     return looked_up.groupBy(F.coalesce("category_id", F.lit(DEFAULT_CATEGORY)).alias("category_id")).agg(
         F.sum("_lines").cast("bigint").alias("order_lines"),
         F.sum("_amount").cast("decimal(20,2)").alias("total_amount"),
@@ -140,7 +146,9 @@ def sales_by_geography(dwd_orders: DataFrame, geo: DataFrame) -> DataFrame:
     """
     per_buyer = dwd_orders.groupBy("user_id").agg(
         F.count("order_id").alias("_lines"), F.sum("final_amount").alias("_amount"))
-    by_nation = per_buyer.join(geo, "user_id").groupBy("region", "nation").agg(
+    known = per_buyer.join(geo, "user_id", "left")          # a buyer without geography stays, as UNKNOWN
+    place = [F.coalesce(c, F.lit("UNKNOWN")).alias(c) for c in ("region", "nation")]
+    by_nation = known.groupBy(*place).agg(
         F.sum("_lines").alias("_lines"), F.sum("_amount").alias("_amount"), F.count(F.lit(1)).alias("_buyers"))
     # The ROLLUP expands its input once per grouping set; here that input is one
     # row per nation, not per order or buyer.
@@ -177,11 +185,11 @@ def behavior_fact(events: DataFrame) -> DataFrame:
     )
 
 
-def masked_users(dwd_users: DataFrame) -> DataFrame:
+def masked_users(dwd_users: DataFrame, salt: str = "") -> DataFrame:
     """Users with the e-mail replaced by its SHA-256 and the phone masked to its last 4."""
     return dwd_users.select(
         "user_id", "username",
-        hash_email("email").alias("email_sha256"),
+        hash_email("email", salt).alias("email_sha256"),
         mask_phone("phone").alias("phone_masked"),
         "status", "is_active", "user_level", "dt",
     )

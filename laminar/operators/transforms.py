@@ -18,6 +18,7 @@ from laminar.functions.parsing import lenient_date, lenient_timestamp
 from laminar.functions.rules import (
     DEFAULT_CATEGORY, REFERENCE_CATEGORY_RULES, keyword_classifier, status_is_active, user_level,
 )
+from laminar.operators.dims import one_row_per_product
 from laminar.schemas import MONEY
 
 
@@ -53,7 +54,7 @@ def clean_orders(ods: DataFrame, category_rules: Sequence[tuple[str, str]] = REF
     discount = F.lit(0).cast(MONEY)
     src = ods
     if products is not None:
-        dim = products.select("product_id", F.col("category_id").alias("_dim_category"))
+        dim = one_row_per_product(products).withColumnRenamed("category_id", "_dim_category")
         src = ods.join(dim, "product_id", "left")
         category = F.coalesce(F.col("_dim_category"), F.lit(DEFAULT_CATEGORY))
     else:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import SparkSession
 
-from laminar.schemas import DATABASES, TABLES, ddl
+from laminar.schemas import DATABASES, TABLES, TableSpec, ddl
 from laminar.sources.tables import table_path
 
 
@@ -27,6 +29,24 @@ def list_databases(spark: SparkSession) -> list[str]:
     return sorted(db.name for db in spark.catalog.listDatabases())
 
 
-def recover_partitions(spark: SparkSession, qualified: str) -> None:
-    """Register day folders written by path with the catalog table."""
-    spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
+def setup(spark: SparkSession, root: str, replace: bool = False) -> list[str]:
+    """Databases and tables over the storage root. With ``replace``, catalog entries of an
+    earlier root are dropped first; the tables are external, so no file is touched."""
+    if replace:
+        create_databases(spark)
+        for spec in TABLES.values():
+            spark.sql(f"DROP TABLE IF EXISTS {spec.qualified}")
+    return create_tables(spark, root)
+
+
+def register(spark: SparkSession, specs: Iterable[TableSpec], day: str | None = None) -> None:
+    """Make written day folders partitions of the catalog tables: the one of ``day``, or
+    all folders (for a backfill). Tables that the catalog does not have are left out."""
+    for spec in specs:
+        if not spec.partition_by or not spark.catalog.tableExists(spec.qualified):
+            continue
+        if day is not None and spec.partition_by == ("dt",):
+            spark.sql(f"ALTER TABLE {spec.qualified} ADD IF NOT EXISTS PARTITION (dt = '{day}')")
+        else:
+            spark.sql(f"ALTER TABLE {spec.qualified} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(spec.qualified)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from laminar.functions.rules import SCALE_CATEGORY_RULES
 from laminar.operators.aggregates import product_daily_stats, user_daily_stats
 from laminar.operators.transforms import clean_orders, clean_users
-from laminar.session import configure
+from laminar.session import configure, new_area
 from laminar.sources import testdata
 
 
@@ -50,6 +50,17 @@ class Warehouse:
     def dws_product_daily_stats(self) -> DataFrame:
         return product_daily_stats(self.dwd_order_info)
 
+    def staged(self) -> "Warehouse":
+        """This warehouse with its raw orders written once under the storage root and read
+        back. Reports that check raw, detail and both summaries then read the order lineage
+        (a join of the largest tables) once, and a lost executor restarts from the files."""
+        from laminar.sinks.partitioned import write_frame
+        path = new_area(self.spark, "staged-orders")
+        write_frame(self.ods_order_info, path)
+        out = Warehouse(self.spark, self.sf_dir)
+        out.__dict__["ods_order_info"] = self.spark.read.schema(self.ods_order_info.schema).parquet(path)
+        return out
+
     def layers(self) -> dict[str, DataFrame]:
         return {
             "ods_user_info": self.ods_user_info, "ods_order_info": self.ods_order_info,

@@ -96,9 +96,9 @@ def run_serving(spark: SparkSession, root: str, as_of: str, bad_statuses: Sequen
                 run_ts: str | None = None, holidays: DataFrame | None = None) -> dict[str, int]:
     """Rebuild the serving layer and the date dimension from the written order detail.
 
-    User behaviour and the date dimension are full snapshots (whole-table overwrite);
-    the sales trend is partitioned by (year, month) and overwrites only the months
-    it contains. Contracts are applied strictly: a value outside a declared DECIMAL
+    All three are full rebuilds that replace the whole table; the sales trend is
+    partitioned by (year, month), and a month that no longer has orders must go as
+    well. Contracts are applied strictly: a value outside a declared DECIMAL
     fails the write instead of being stored wrong.
     """
     from laminar.operators import dims, serving
@@ -110,7 +110,8 @@ def run_serving(spark: SparkSession, root: str, as_of: str, bad_statuses: Sequen
     behaviour, trend, dates = _concurrently(
         lambda: write_table(serving.user_behavior(detail, as_of, bad_statuses, run_ts), root,
                             ADS_USER_BEHAVIOR_ANALYSIS),
-        lambda: write_table(serving.sales_trend(detail, run_ts), root, ADS_SALES_TREND_ANALYSIS),
+        lambda: write_table(serving.sales_trend(detail, run_ts), root, ADS_SALES_TREND_ANALYSIS,
+                            dynamic=False),
         lambda: write_table(dims.date_dimension(dims.date_span(detail, "order_date"), holidays), root, DIM_DATE))
     return {ADS_USER_BEHAVIOR_ANALYSIS.name: behaviour, ADS_SALES_TREND_ANALYSIS.name: trend,
             DIM_DATE.name: dates}

@@ -1,6 +1,8 @@
 """Command-line jobs (spark-submit entry points).
 
-    spark-submit -m laminar.plans.jobs etl      --date 2024-12-26 [--root PATH]
+    spark-submit -m laminar.plans.jobs setup
+    spark-submit -m laminar.plans.jobs extract  --date 2024-12-26 --users PATH --orders PATH
+    spark-submit -m laminar.plans.jobs etl      --date 2024-12-26 [--root PATH] [--logins PATH] [--products PATH]
     spark-submit -m laminar.plans.jobs quality  --date 2024-12-26 [--as-of D] [--strict]
     spark-submit -m laminar.plans.jobs serving  --as-of 2024-12-26
     spark-submit -m laminar.plans.jobs report   --date 2024-12-26
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,17 +25,52 @@ from pyspark.sql import functions as F
 from laminar.functions.parsing import resolve_run_date
 from laminar.functions.rules import REFERENCE_CATEGORY_RULES
 from laminar.operators import quality, reports
-from laminar.plans import daily
+from laminar.plans import catalog, daily
 from laminar.schemas import (DWD_ORDER_INFO, DWD_USER_INFO, DWS_PRODUCT_DAILY_STATS, DWS_USER_DAILY_STATS,
                              ODS_ORDER_INFO, ODS_USER_INFO, TableSpec)
 from laminar.session import build_session, storage_root
-from laminar.sinks.partitioned import write_frame
+from laminar.sinks.partitioned import land, write_frame, write_range
 from laminar.sources.tables import read_table, table_path
 
 CHECKED_SPECS: tuple[TableSpec, ...] = (ODS_USER_INFO, ODS_ORDER_INFO, DWD_USER_INFO, DWD_ORDER_INFO,
                                         DWS_USER_DAILY_STATS, DWS_PRODUCT_DAILY_STATS)
 
 
+Source = Callable[[SparkSession, str], DataFrame]
+
+
+def extract(spark: SparkSession, root: str, day: str, sources: Mapping[str, Source]) -> dict[str, int]:
+    """Step 1: take one day's rows from each source and land them in the raw layer.
+
+    ``sources`` maps a raw table's name to a callable ``(spark, day) -> DataFrame``, e.g.
+    around ``read_jdbc`` with a predicate on the day. A table that the catalog has gets the
+    day's partition.
+    """
+    specs = {s.name: s for s in (ODS_USER_INFO, ODS_ORDER_INFO)}
+    unknown = set(sources) - set(specs)
+    if unknown:
+        raise ValueError(f"not a raw table: {sorted(unknown)}")
+    out = {name: land(read(spark, day), root, specs[name], day=day) for name, read in sources.items()}
+    catalog.register(spark, [specs[n] for n in sources], day)
+    return out
+
+
+def day_of_files(path: str) -> Source:
+    """A source over exported Parquet files: all rows, or those of the day if they carry ``dt``."""
+    def read(spark: SparkSession, day: str) -> DataFrame:
+        rows = spark.read.parquet(path)
+        return rows.where(F.col("dt") == F.lit(day)).drop("dt") if "dt" in rows.columns else rows
+    return read
+
+
+def run_etl(spark: SparkSession, root: str, day: str, logins: DataFrame | None = None,
+            products: DataFrame | None = None) -> dict[str, int]:
+    """The daily run, with the day registered in the catalog tables that exist."""
+    written = daily.run_daily(spark, root, day, category_rules=REFERENCE_CATEGORY_RULES, logins=logins, products=products)
+    catalog.register(spark, CHECKED_SPECS, day)
+    return written
+
+
 def quality_for_day(spark: SparkSession, root: str, day: str, as_of: str | None = None,
                     min_date: str = quality.DEFAULT_MIN_ORDER_DATE):
     """(findings, report) for one run day over the written tables; unreadable tables are FAIL."""
@@ -44,20 +82,21 @@ def quality_for_day(spark: SparkSession, root: str, day: str, as_of: str | None
             quality.report(tables, as_of, min_date, missing, run_days=[day]))
 
 
-FINDINGS_TABLE = "dq_enterprise.db/dq_findings"
+FINDINGS_TABLE = "dq.db/dq_findings"
 
 
-def persist_findings(found: DataFrame, root: str, day: str | None = None) -> str:
+def persist_findings(found: DataFrame, root: str, day: str | None = None,
+                     day_range: tuple[str | None, str | None] = (None, None)) -> str:
     """Write findings partitioned by check day.
 
     For a run ``day`` the day's folder is replaced outright, even when the day has
     no finding: a dynamic partition overwrite writes nothing for an empty day and
-    would keep the rows of an earlier run of it. Without ``day`` (a backfill), the
-    days present are replaced and other days are kept.
+    would keep the rows of an earlier run of it. Without ``day`` (a backfill over
+    ``day_range``), the range's days are replaced, those without a finding included.
     """
     path = f"{root.rstrip('/')}/{FINDINGS_TABLE}"
     if day is None:
-        write_frame(found, path, ("check_date",))
+        write_range(found, path, "check_date", day_range)
     else:
         write_frame(found.where(F.col("check_date") == F.lit(day)).drop("check_date"), f"{path}/check_date={day}")
     return path
@@ -95,11 +134,15 @@ def run_report(spark: SparkSession, root: str, day: str):
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="laminar")
-    p.add_argument("job", choices=["etl", "quality", "serving", "report"])
+    p.add_argument("job", choices=["setup", "extract", "etl", "quality", "serving", "report"])
     p.add_argument("--date", default=None)
     p.add_argument("--as-of", default=None)
     p.add_argument("--min-date", default=quality.DEFAULT_MIN_ORDER_DATE)
     p.add_argument("--root", default=None)
+    for name, what in (("users", "extract: exported user records"), ("orders", "extract: exported order records"),
+                       ("logins", "etl: logins (dt, user_id, login_count)"),
+                       ("products", "etl: product dimension (product_id, category_id)")):
+        p.add_argument(f"--{name}", default=None, help=f"{what}, a Parquet path")
     p.add_argument("--strict", action="store_true", help="quality: WARN also fails the gate")
     args = p.parse_args(argv)
     owned = SparkSession.getActiveSession() is None
@@ -107,9 +150,14 @@ def main(argv: list[str] | None = None) -> int:
     try:
         root = args.root or storage_root(spark)
         day = resolve_run_date(args.date)
-        if args.job == "etl":
-            written = daily.run_daily(spark, root, day, category_rules=REFERENCE_CATEGORY_RULES)
-            print(written)
+        if args.job == "setup":
+            print(catalog.setup(spark, root))
+        elif args.job == "extract":
+            given = {ODS_USER_INFO.name: args.users, ODS_ORDER_INFO.name: args.orders}
+            print(extract(spark, root, day, {n: day_of_files(path) for n, path in given.items() if path}))
+        elif args.job == "etl":
+            logins, products = (spark.read.parquet(x) if x else None for x in (args.logins, args.products))
+            print(run_etl(spark, root, day, logins, products))
             run_report(spark, root, day).orderBy("layer", "table_name").show(truncate=False)
         elif args.job == "quality":
             rep = run_quality(spark, root, day, args.as_of, args.min_date)

@@ -406,15 +406,30 @@ FROM (
 ) WHERE rn = 1"""
 
 GEO_ROLLUP = """
-SELECT g.region, g.nation, COUNT(o.order_id) AS order_lines,
-  CAST(SUM(o.final_amount) AS DECIMAL(20,2)) AS total_amount,
-  COUNT(DISTINCT o.user_id) AS buyers,
-  CAST(GROUPING(g.region, g.nation) AS BIGINT) AS grouping_level
-FROM dwd_order_info o JOIN (
-  SELECT CAST(c_custkey AS VARCHAR) AS user_id, r_name AS region, n_name AS nation
+SELECT p.region, p.nation, COUNT(p.order_id) AS order_lines,
+  CAST(SUM(p.final_amount) AS DECIMAL(20,2)) AS total_amount,
+  COUNT(DISTINCT p.user_id) AS buyers,
+  CAST(GROUPING(p.region, p.nation) AS BIGINT) AS grouping_level
+FROM (SELECT o.order_id, o.user_id, o.final_amount, COALESCE(g.region, 'UNKNOWN') AS region,
+        COALESCE(g.nation, 'UNKNOWN') AS nation
+      FROM dwd_order_info o LEFT JOIN (
+        SELECT CAST(c_custkey AS VARCHAR) AS user_id, r_name AS region, n_name AS nation
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+      ) g ON o.user_id = g.user_id) p
+GROUP BY ROLLUP (p.region, p.nation)"""
+
+DWD_BY_DIMENSION = """
+SELECT o.* REPLACE (COALESCE(d.category_id, 'OTHER') AS category_id)
+FROM dwd_order_info o LEFT JOIN dim_product d ON o.product_id = d.product_id"""
+
+ORDERS_BY_REGION = """
+SELECT strftime(o.order_date, '%Y-%m') AS month, COALESCE(g.region, 'UNKNOWN') AS region,
+  COUNT(*) AS order_lines, CAST(SUM(o.final_amount) AS DECIMAL(20,2)) AS total_amount
+FROM dwd_order_info o LEFT JOIN (
+  SELECT CAST(c_custkey AS VARCHAR) AS user_id, r_name AS region
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 ) g ON o.user_id = g.user_id
-GROUP BY ROLLUP (g.region, g.nation)"""
+GROUP BY strftime(o.order_date, '%Y-%m'), COALESCE(g.region, 'UNKNOWN')"""
 
 FACT_USER_BEHAVIOR = """
 SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type, ts AS event_ts,
@@ -459,8 +474,13 @@ def oracle_sql() -> dict[str, str]:
     out["dim_date"] = _dim_date_sql()
     out["ads_user_behavior"] = _ads_user_behavior_sql(r.ADS_AS_OF, r.ADS_BAD_STATUSES, r.ADS_RUN_TS)
     out["ads_sales_trend"] = _ads_sales_trend_sql(r.TREND_RUN_TS)
+    out["ads_sales_trend_written"] = (
+        "SELECT stat_date, total_orders, total_amount, new_users, active_users, retention_rate, growth_rate, year, month "
+        f"FROM ({out['ads_sales_trend']})")
     out["dim_product"] = "WITH " + _dim_product_cte() + "\nSELECT * FROM dim_product"
     out["product_category_sales"] = with_layers(PRODUCT_CATEGORY_SALES, [_dim_product_cte()])
+    out["dwd_order_info_by_dimension"] = with_layers(DWD_BY_DIMENSION, [_dim_product_cte()])
+    out["orders_by_region_orc"] = with_layers(ORDERS_BY_REGION)
     out["dim_user"] = with_layers(DIM_USER)
     out["geo_rollup"] = with_layers(GEO_ROLLUP)
     out["fact_user_behavior"] = FACT_USER_BEHAVIOR

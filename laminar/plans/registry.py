@@ -37,7 +37,7 @@ def preview_users_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh = Warehouse(spark, sf_dir)
+    wh = Warehouse(spark, sf_dir).staged()
     return reports.layer_row_counts({
         "dwd_user_info": ("DWD", wh.dwd_user_info),
         "dwd_order_info": ("DWD", wh.dwd_order_info),
@@ -55,7 +55,7 @@ DQ_MIN_DATE = "1996-01-01"
 
 def dq_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.operators import quality
-    layers = Warehouse(spark, sf_dir).layers()
+    layers = Warehouse(spark, sf_dir).staged().layers()
     out = None
     for name in quality.CHECKED_TABLES:
         part = quality.completeness(layers[name], name)
@@ -71,7 +71,7 @@ def dq_user_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_order_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.operators import quality
-    wh = Warehouse(spark, sf_dir)
+    wh = Warehouse(spark, sf_dir).staged()
     return quality.order_retention(wh.ods_order_info, wh.dwd_order_info)
 
 
@@ -82,12 +82,12 @@ def dq_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.operators import quality
-    return quality.findings(Warehouse(spark, sf_dir).layers(), DQ_AS_OF, DQ_MIN_DATE)
+    return quality.findings(Warehouse(spark, sf_dir).staged().layers(), DQ_AS_OF, DQ_MIN_DATE)
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.operators import quality
-    return quality.report(Warehouse(spark, sf_dir).layers(), DQ_AS_OF, DQ_MIN_DATE)
+    return quality.report(Warehouse(spark, sf_dir).staged().layers(), DQ_AS_OF, DQ_MIN_DATE)
 
 
 def dq_findings_persisted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,21 +95,22 @@ def dq_findings_persisted(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.operators import quality
     from laminar.plans.jobs import persist_findings, read_findings
     from laminar.session import new_area
-    found = quality.findings(Warehouse(spark, sf_dir).layers(), DQ_AS_OF, DQ_MIN_DATE)
+    found = quality.findings(Warehouse(spark, sf_dir).staged().layers(), DQ_AS_OF, DQ_MIN_DATE)
     return read_findings(spark, persist_findings(found, new_area(spark, "dq")))
 
 
 # ---------------------------------------------------------------- write path
 def etl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land every raw day, backfill detail + summary in one job per table, rerun the
-    latest day, and read the four tables back as per-day row counts.
+    latest day, and read the four tables back by their catalog names as per-day row counts.
 
-    The rerun must leave every count unchanged (idempotent, and other days kept).
+    The rerun must leave every count unchanged (idempotent, and other days kept), and the
+    written days must be partitions of the catalog tables.
     """
     from pyspark.sql import functions as F
 
     from laminar.functions.rules import SCALE_CATEGORY_RULES
-    from laminar.plans import daily
+    from laminar.plans import catalog, daily
     from laminar.schemas import (DWD_ORDER_INFO, DWD_USER_INFO, DWS_PRODUCT_DAILY_STATS,
                                  DWS_USER_DAILY_STATS, ODS_ORDER_INFO, ODS_USER_INFO)
     from laminar.session import new_area
@@ -118,14 +119,16 @@ def etl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     wh = Warehouse(spark, sf_dir)
     root = new_area(spark, "roundtrip")
+    catalog.setup(spark, root, replace=True)
     daily._concurrently(lambda: land(wh.ods_user_info, root, ODS_USER_INFO),
                         lambda: land(wh.ods_order_info, root, ODS_ORDER_INFO))
     daily.run(spark, root, daily.Days.every(), SCALE_CATEGORY_RULES)
     latest = read_table(spark, root, ODS_ORDER_INFO).agg(F.max("dt")).first()[0]
     if latest is not None:
         daily.run_daily(spark, root, latest, category_rules=SCALE_CATEGORY_RULES)
-    back = {spec.name: read_table(spark, root, spec) for spec in
-            (DWD_USER_INFO, DWD_ORDER_INFO, DWS_USER_DAILY_STATS, DWS_PRODUCT_DAILY_STATS)}
+    written = (DWD_USER_INFO, DWD_ORDER_INFO, DWS_USER_DAILY_STATS, DWS_PRODUCT_DAILY_STATS)
+    catalog.register(spark, written)
+    back = {spec.name: spark.table(spec.qualified) for spec in written}
     return reports.layer_row_counts({
         "dwd_user_info": ("DWD", back["dwd_user_info"]),
         "dwd_order_info": ("DWD", back["dwd_order_info"]),
@@ -169,6 +172,42 @@ def ads_sales_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.sales_trend(Warehouse(spark, sf_dir).dwd_order_info, TREND_RUN_TS)
 
 
+def ads_sales_trend_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales trend written by month, first with every order a year later, then as it
+    is: the rerun must leave no month of the first write."""
+    from pyspark.sql import functions as F
+
+    from laminar.operators import serving
+    from laminar.schemas import ADS_SALES_TREND_ANALYSIS as SPEC
+    from laminar.session import new_area
+    from laminar.sinks.partitioned import write_table
+    from laminar.sources.tables import read_table
+    orders, root = Warehouse(spark, sf_dir).staged().dwd_order_info, new_area(spark, "trend")
+    later = orders.withColumn("order_date", F.date_add("order_date", 366))
+    for o in (later, orders):
+        write_table(serving.sales_trend(o, TREND_RUN_TS), root, SPEC, dynamic=False)
+    rates = [F.col(c).cast("double").alias(c) for c in ("retention_rate", "growth_rate")]
+    return read_table(spark, root, SPEC).select("stat_date", "total_orders", "total_amount", "new_users", "active_users",
+                                                *rates, "year", "month")
+
+
+def orders_by_region_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail orders written as compressed ORC by month and region, read back and summed."""
+    from pyspark.sql import functions as F
+
+    from laminar.operators import dims
+    from laminar.session import new_area
+    from laminar.sinks.partitioned import write_frame
+    wh = Warehouse(spark, sf_dir)
+    geo = dims.geography(wh.table("customer"), wh.table("nation"), wh.table("region"))
+    tagged = dims.orders_with_region(wh.dwd_order_info, geo).withColumn("month", F.date_format("order_date", "yyyy-MM"))
+    path = new_area(spark, "orc")
+    write_frame(tagged, path, ("month", "region"), fmt="orc", compression="zstd")
+    back = spark.read.schema(tagged.schema).orc(path)
+    return back.groupBy("month", "region").agg(F.count(F.lit(1)).alias("order_lines"),
+                                               F.sum("final_amount").cast("decimal(20,2)").alias("total_amount"))
+
+
 # ---------------------------------------------------------------- tier C: dimensions, fact, masking
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.functions.rules import SCALE_CATEGORY_RULES
@@ -186,6 +225,15 @@ def product_category_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.sales_by_category(wh.dwd_order_info, dim)
 
 
+def dwd_order_info_by_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order detail with its category looked up in the product dimension; the dimension
+    lists every product twice, which must not multiply orders."""
+    from laminar.operators.transforms import clean_orders
+    wh = Warehouse(spark, sf_dir)
+    dim = dim_product(spark, sf_dir)
+    return clean_orders(wh.ods_order_info, products=dim.unionByName(dim))
+
+
 def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.operators import dims
     return dims.latest_users(Warehouse(spark, sf_dir).dwd_user_info)
@@ -256,10 +304,13 @@ def queries() -> dict[str, Query]:
         "dim_date": dim_date,
         "ads_user_behavior": ads_user_behavior,
         "ads_sales_trend": ads_sales_trend,
+        "ads_sales_trend_written": ads_sales_trend_written,
         # tier C
         "dim_product": dim_product,
         "product_category_sales": product_category_sales,
         "dim_user": dim_user,
+        "dwd_order_info_by_dimension": dwd_order_info_by_dimension,
+        "orders_by_region_orc": orders_by_region_orc,
         "geo_rollup": geo_rollup,
         "fact_user_behavior": fact_user_behavior,
         "masked_users": masked_users,

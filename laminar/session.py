@@ -8,7 +8,7 @@ a laptop), never on a cluster.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -24,11 +24,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Coalescing may go below 1 MB per partition. A partitioned write of small
-    # days costs per file, not per byte: with the 1 MB default, a thousand tiny
-    # days coalesce into one task that writes a thousand files one after another.
-    # At scale, partitions are far above this, so it changes nothing there.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    # A value that does not fit a contract must fail the write, not become NULL.
+    "spark.sql.ansi.enabled": "true",
     # A rerun of one day replaces that day only (never the whole table).
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -68,7 +65,7 @@ def storage_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
                              "(tables, stream checkpoints and lineage cuts are written there)")
         root = tempfile.mkdtemp(prefix="laminar-")
@@ -99,7 +96,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def ensure_dir(path: str) -> str:
-    if "://" not in path and not path.startswith("file:"):
-        os.makedirs(path, exist_ok=True)
-    return path
+def is_directory(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder, asked of the file system that serves it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())

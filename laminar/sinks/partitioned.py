@@ -15,7 +15,9 @@ job over the lineage.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -27,7 +29,10 @@ from laminar.sources.tables import table_path
 def write_frame(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
                 compression: str = "snappy", max_records_per_file: int = 5_000_000,
                 dynamic: bool = True) -> int:
-    """Write ``df`` to ``path``; returns the number of rows written."""
+    """Write ``df`` to ``path``; returns the number of rows written.
+
+    With ``dynamic`` only the partitions present in ``df`` are replaced, else the whole table.
+    """
     return int(_write(df, path, partition_by, fmt, compression, max_records_per_file, dynamic).get("rows", 0))
 
 
@@ -38,19 +43,51 @@ def _write(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "pa
     obs = Observation("written")
     metrics = [F.count(F.lit(1)).alias("rows")]
     if written_days:
-        metrics.append(F.collect_set("dt").alias("days"))     # at most one entry per day
-    out = df.observe(obs, *metrics)
-    out = out.hint("rebalance", *partition_by) if partition_by else out.hint("rebalance")
+        metrics.append(F.collect_set(partition_by[0]).alias("days"))     # at most one entry per day
+    out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+    # Observed behind the exchange, in the tasks that write: a map stage that runs again
+    # after a lost executor is not counted twice.
+    out = out.observe(obs, *metrics)
     writer = (out.write.mode("overwrite").format(fmt).option("compression", compression)
               .option("maxRecordsPerFile", str(max_records_per_file)))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-        if dynamic:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.save(path)
+        writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    with _sized(df.sparkSession, bool(partition_by)):
+        writer.save(path)
     return _observed(obs)
 
 
+# Settings of one write, by whether it is partitioned. A write of one folder makes files of
+# the advisory size. A partitioned write of small days costs per file, and every day is in
+# one task anyway, so its tasks may be small.
+WRITE_CONF = {
+    False: {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"},
+    True: {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"},
+}
+_lock = threading.Lock()
+_active: dict[str, list] = {}                 # setting -> [value before, writes that hold it]
+
+
+@contextmanager
+def _sized(spark, partitioned: bool):
+    """Hold the write's settings while it runs; concurrent writes share them."""
+    conf = WRITE_CONF[partitioned]
+    with _lock:
+        for key, value in conf.items():
+            _active.setdefault(key, [spark.conf.get(key, None), 0])[1] += 1
+            spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        with _lock:
+            for key in conf:
+                _active[key][1] -= 1
+                if _active[key][1] == 0:
+                    before = _active.pop(key)[0]
+                    spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def _observed(obs: Observation) -> dict:
     """Metrics seen by the write. When partition pruning leaves no input at all, no
     task reports metrics and the observation stays empty: that is zero rows."""
@@ -62,15 +99,24 @@ def _observed(obs: Observation) -> dict:
         raise
 
 
-def _day_folders(spark, table_dir: str) -> list[str]:
-    """The ``dt=`` folder names under a table folder (one listing call on the driver)."""
+def _folder_of(spark, column: str, value: str) -> str:
+    """The folder name Spark gives a partition value (it escapes some characters)."""
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{column}={utils.escapePathName(value)}"
+
+
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"          # folder of rows whose day is NULL or empty
+
+
+def _day_folders(spark, table_dir: str, column: str = "dt") -> list[str]:
+    """The day folder names under a table folder (one listing call on the driver)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(table_dir)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
         return []
     return [st.getPath().getName() for st in fs.listStatus(p)
-            if st.isDirectory() and st.getPath().getName().startswith("dt=")]
+            if st.isDirectory() and st.getPath().getName().startswith(f"{column}=")]
 
 
 def _delete(spark, path: str) -> None:
@@ -97,13 +143,29 @@ def write_table(df: DataFrame, root: str, spec: TableSpec, day: str | None = Non
     if day is not None:
         one_day = out.where(F.col("dt") == F.lit(day)).drop("dt")
         return write_frame(one_day, f"{path}/dt={day}", **kwargs)
-    seen = _write(out, path, ("dt",), written_days=True, **kwargs)
+    return write_range(out, path, "dt", day_range, **kwargs)
+
+
+def write_range(df: DataFrame, path: str, column: str, day_range: tuple[str | None, str | None] = (None, None),
+                **kwargs) -> int:
+    """Write days of ``column`` and clear the range's other day folders.
+
+    Only folders that were there before the write can go, and only those that the write
+    did not replace. Names are compared as Spark writes them. The folder of rows without
+    a day is never removed, and nothing is if the write's observation did not arrive,
+    unless the frame is empty.
+    """
+    spark = df.sparkSession
+    before = _day_folders(spark, path, column)
+    seen = _write(df, path, (column,), written_days=True, **kwargs)
+    if "days" not in seen and not df.isEmpty():
+        return int(seen.get("rows", 0))
     first, last = day_range
-    written = set(seen.get("days") or [])
-    for folder in _day_folders(df.sparkSession, path):
-        d = folder[len("dt="):]
-        if (first is None or d >= first) and (last is None or d <= last) and d not in written:
-            _delete(df.sparkSession, f"{path}/{folder}")
+    kept = {_folder_of(spark, column, d) for d in seen.get("days") or []} | {f"{column}={NO_DAY}"}
+    for folder in set(before) - kept:
+        d = folder[len(column) + 1:]
+        if (first is None or d >= first) and (last is None or d <= last):
+            _delete(spark, f"{path}/{folder}")
     return int(seen.get("rows", 0))
 
 

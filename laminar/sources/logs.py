@@ -15,10 +15,15 @@ EVENT_LOG_SCHEMA = T.StructType([
     T.StructField("props", T.StringType()),
 ])
 
+MALFORMED = "malformed_line"
+
 
 def read_event_log(spark: SparkSession, path: str, schema: T.StructType = EVENT_LOG_SCHEMA) -> DataFrame:
-    """Malformed lines become NULL rows instead of failing the day."""
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    """Malformed lines become NULL rows with their text in ``malformed_line``, instead of
+    failing the day."""
+    kept = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+    return (spark.read.schema(kept).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", MALFORMED).json(path))
 
 
 # Events land as gzip JSON lines. A gzip file is read whole by one task, so the
@@ -31,6 +36,7 @@ def land_event_log(events: DataFrame, path: str, lines_per_file: int = LOG_LINES
     out = events.select(*EVENT_LOG_SCHEMA.fieldNames()).withColumn("ts", F.col("ts").cast("timestamp"))
     (out.withColumn("dt", F.date_format("ts", "yyyy-MM-dd")).hint("rebalance", "dt")
         .write.mode("overwrite").partitionBy("dt").option("compression", "gzip")
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         .option("maxRecordsPerFile", str(lines_per_file)).json(path))
     return path
 

@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.session import new_area
-from laminar.streaming.source import event_stream, prefer_rocksdb_state
+from laminar.session import new_area, path_exists
+from laminar.streaming.source import event_stream, finish, prefer_rocksdb_state
 
 VALUE = "decimal(12,2)"
+ACTIVITY_SCHEMA = ("window_start timestamp, window_end timestamp, user_id string, event_count bigint, "
+                   "view_count bigint, purchase_count bigint, total_value decimal(22,2)")
 
 
 def _measures() -> list[Column]:
@@ -40,10 +42,12 @@ def daily_activity(events: DataFrame) -> DataFrame:
 
 
 def run_daily_activity(spark: SparkSession, folder: str, out: str | None = None,
-                       delay: str = "1 hour") -> str:
+                       delay: str = "1 hour", max_bytes_per_trigger: int | None = None,
+                       allow_late: bool = False) -> str:
+    """Run over all files present; raises if the watermark dropped rows (unless allowed)."""
     prefer_rocksdb_state(spark)
     area = out or new_area(spark, "stream-activity")
-    stream = event_stream(spark, folder)
+    stream = event_stream(spark, folder, max_bytes_per_trigger=max_bytes_per_trigger)
     agg = _shape(stream.withWatermark("ts", delay).groupBy(F.window("ts", "1 day"), "user_id").agg(*_measures()))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -52,12 +56,14 @@ def run_daily_activity(spark: SparkSession, folder: str, out: str | None = None,
 
     q = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
          .option("checkpointLocation", f"{area}/_checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
+    finish(q, allow_late)
     return f"{area}/data"
 
 
 def latest_versions(spark: SparkSession, path: str) -> DataFrame:
     """Newest emitted version of each (window, user): max over (batch_id, measures)."""
+    if not path_exists(spark, path):         # no batch ran
+        return spark.createDataFrame([], ACTIVITY_SCHEMA)
     emitted = spark.read.parquet(path)
     measures = ["event_count", "view_count", "purchase_count", "total_value"]
     newest = emitted.groupBy("window_start", "window_end", "user_id").agg(

@@ -67,8 +67,8 @@ def test_serving_tables_and_jobs(spark, area, capsys):
     assert (d.date_key, d.weekday, d.weekday_name, d.season, d.is_holiday) == ("20241225", 3, "Wednesday", "winter", False)
     found, rep = jobs.quality_for_day(s, area, SEED_DAY)
     assert rep.first().overall_status == "PASS"
-    write_frame(found, f"{area}/dq_enterprise.db/dq_findings", ("check_date",))
-    assert s.read.parquet(f"{area}/dq_enterprise.db/dq_findings").where(f"check_date = '{SEED_DAY}'").count() == 2
+    write_frame(found, f"{area}/dq.db/dq_findings", ("check_date",))
+    assert s.read.parquet(f"{area}/dq.db/dq_findings").where(f"check_date = '{SEED_DAY}'").count() == 2
     # a day with nothing landed fails the gate with exit status 1
     assert jobs.main(["quality", "--date", "2024-12-30", "--root", area]) == 1
 
