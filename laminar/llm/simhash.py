@@ -194,4 +194,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_linked = linked.join(by_root, "root").select("fp", "component_id")
     of_all = (distinct.join(of_linked, "fp", "left")
               .select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
+    # Written, so that the join below stands alone and adaptive execution can split the
+    # fingerprint of a large group of copies.
+    of_all = materialise(of_all, "simhash-labels")
     return marked.join(of_all, "fp").select("id", "fp", "component_id")
