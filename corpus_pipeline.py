@@ -11,10 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laminar.llm import pii, quality_rules, simhash, toxicity
-from laminar.llm.common import materialise, table
+from laminar.llm.common import configure, materialise, table
 from laminar.llm.packing import CAPACITY
 from laminar.llm.queries import packed_digest, vocabulary_path
-from laminar.session import configure
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

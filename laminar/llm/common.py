@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laminar.session import configure as base_configure
 from laminar.session import new_area
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
@@ -46,6 +47,22 @@ def bounded_batches(batches, max_bytes: int = 16 << 20):
             yield batch.slice(at, step)
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """The warehouse's settings, and Arrow batches of fewer rows: rows here are texts, and
+    a batch of ten thousand long ones would not fit beside the executor's heap."""
+    base_configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
+def forget(prefix: str) -> None:
+    """Drop the worker's objects whose name starts with ``prefix``."""
+    import sys
+    kept = getattr(sys.modules.get("_laminar_worker_state"), "__dict__", {})
+    for name in [n for n in kept if n.startswith(prefix)]:
+        del kept[name]
+
+
 def worker_state(name: str, make):
     """An object that outlives the task: made once per Python worker and kept in a module of
     its own, as functions of this subpackage arrive by value with every task."""

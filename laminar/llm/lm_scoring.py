@@ -39,19 +39,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laminar.llm.common import WORD_BREAK, bounded_batches, materialise
+from laminar.llm.common import bounded_batches, forget, materialise
 from laminar.llm.packing import word_encoder
 
 VOCABULARY = 49408             # ids of the vocabulary, its two special ids included
 START, END = 49406, 49407
 ALPHA = 0.1                    # of the base score
-CLASSES = 256
+CLASSES = 192
 SINGLE = 40                    # most frequent ids, one class each
 CONTEXTS = 160                 # frequent ids whose pairs describe an id
 DIM = 16
 STRIDE, OVERLAP = 24, 8
-BATCH = 512                    # windows per step
-SCORED = 128                   # windows scored at once
+BATCH = 256                    # windows per step
+SCORED = 64                    # windows scored at once
+EVERY = 6                      # a step takes every sixth position of its windows
 
 
 def held_out(id_: Column) -> Column:
@@ -111,36 +112,46 @@ def windows(classes: list[np.ndarray], start_class: int) -> tuple[np.ndarray, np
 DISTANCE = (np.arange(STRIDE)[:, None] + OVERLAP) - np.arange(STRIDE + OVERLAP)[None, :]
 
 
+def bounded(a: np.ndarray, b: np.ndarray, extra: float = 0.0) -> bool:
+    """Whether products of rows of ``a`` and ``b`` are small enough to take exponentials of."""
+    longest = (float(np.sqrt((x * x).sum(axis=1).max())) for x in (a, b))
+    return np.prod(list(longest)) + extra < 60
+
+
 def attend(parts: tuple[np.ndarray, ...], inputs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     """Attention of the query positions ``at`` of every window: weights and outputs."""
     q, k, v, _, bias = parts
     dist = DISTANCE[at]
     shown = np.where(inputs < 0, 0, inputs)
     last = shown[:, OVERLAP + at]
-    qs, ks, vs = q[last], k[shown], v[shown]
+    scaled = q * np.float32(DIM ** -0.5)
+    qs, ks, vs = scaled[last], k[shown], v[shown]
     scores = np.matmul(qs, ks.transpose(0, 2, 1))
-    scores *= np.float32(DIM ** -0.5)
     scores += np.where(dist >= 0, bias[np.maximum(dist, 0)], np.float32(-1e9))
-    scores += np.where(inputs < 0, np.float32(-1e9), np.float32(0))[:, None, :]
-    scores -= scores.max(axis=2, keepdims=True)
+    padded = np.flatnonzero(inputs[:, 0] < 0)               # padding stands before a text's first window only
+    scores[padded] += np.where(inputs[padded] < 0, np.float32(-1e9), np.float32(0))[:, None, :]
+    if not bounded(scaled, k, float(np.abs(bias).max())):
+        scores -= scores.max(axis=2, keepdims=True)
     np.exp(scores, out=scores)
     scores /= scores.sum(axis=2, keepdims=True)
     return scores, np.matmul(scores, vs), last, shown, qs, ks, vs
 
 
-def log_probabilities(parts: tuple[np.ndarray, ...], share: np.ndarray, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
+def log_probabilities(parts: tuple[np.ndarray, ...], share: np.ndarray, inputs: np.ndarray, targets: np.ndarray,
+                      work: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """Natural log p(class) of every target (0 where there is none); ``share`` is the
-    bigram table as probabilities."""
+    bigram table as probabilities. ``work`` is two buffers of (positions, classes)."""
     _, out, last, *_ = attend(parts, inputs, np.arange(STRIDE))
     real = targets >= 0
     out, last, goal = out[real], last[real], targets[real]
-    logits = out @ parts[3]
-    top = logits.max() if len(goal) else 0.0
-    if top > 60:                                            # keeps the exponentials finite
+    n = len(goal)
+    logits, rows = work if work is not None else (np.empty((n, share.shape[1]), dtype=np.float32) for _ in range(2))
+    logits, rows = np.matmul(out, parts[3], out=logits[:n]), np.take(share, last, axis=0, out=rows[:n], mode="clip")
+    if n and not bounded(parts[2], parts[3].T):             # the output is a mean of value rows
         logits -= logits.max(axis=1, keepdims=True)
-    picked = logits[np.arange(len(goal)), goal]
+    picked = logits[np.arange(n), goal]
     np.exp(logits, out=logits)
-    total = np.einsum("ij,ij->i", logits, share[last])
+    total = np.einsum("ij,ij->i", logits, rows)
     got = np.zeros(targets.shape, dtype=np.float64)
     got[real] = picked.astype(np.float64) + np.log(share[last, goal], dtype=np.float64) - np.log(total, dtype=np.float64)
     return got
@@ -173,9 +184,8 @@ def gradient(weights: np.ndarray, classes: int, bigram: np.ndarray, inputs: np.n
     dist = DISTANCE[at]
     ahead = dist >= 0
     d_bias = np.bincount(dist[ahead], weights=d_s.sum(axis=0)[ahead], minlength=len(bias))
-    d_s *= np.float32(DIM ** -0.5)
-    d_q = np.matmul(d_s, ks)
-    d_k = np.matmul(d_s.transpose(0, 2, 1), qs)
+    d_q = np.matmul(d_s, ks) * np.float32(DIM ** -0.5)
+    d_k = np.matmul(d_s.transpose(0, 2, 1), qs)             # the queries are scaled already
 
     def gather(rows: np.ndarray, grads: np.ndarray) -> np.ndarray:
         cells = (rows.reshape(-1, 1).astype(np.int64) * DIM + np.arange(DIM)).ravel()
@@ -321,6 +331,7 @@ def _round(rows: DataFrame, cls: np.ndarray, bigram: np.ndarray, weights: np.nda
 
     def run(batches):
         cls_, bigram_, start = shared.value
+        forget("encoder")
         opt, done = Adam(start, rate / (1 + number)), 0
         rng = np.random.default_rng(number)
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -332,8 +343,8 @@ def _round(rows: DataFrame, cls: np.ndarray, bigram: np.ndarray, weights: np.nda
             whole = len(order) if last else len(order) // BATCH * BATCH
             for at in range(0, whole, BATCH):
                 pick = order[at:at + BATCH]
-                # Every window gives a quarter of its positions, another quarter each step.
-                places = np.arange((opt.t + number) % 4, STRIDE, 4)
+                # Every window gives a share of its positions, another share each step.
+                places = np.arange((opt.t + number) % EVERY, STRIDE, EVERY)
                 opt.step(gradient(opt.w, classes, bigram_, inputs[pick], targets[pick], places))
                 done += len(pick)
             rest = order[whole:]
@@ -345,7 +356,7 @@ def _round(rows: DataFrame, cls: np.ndarray, bigram: np.ndarray, weights: np.nda
             mine = numbers % rounds == number
             if mine.any():
                 held.append((inputs[mine], targets[mine]))
-            if sum(len(h[0]) for h in held) >= 4 * BATCH:
+            if sum(len(h[0]) for h in held) >= 8 * BATCH:
                 steps(False)
         if held:
             steps(True)
@@ -364,12 +375,30 @@ def _round(rows: DataFrame, cls: np.ndarray, bigram: np.ndarray, weights: np.nda
 
 
 # ---------------------------------------------------------------- base counts and scores
-def word_counts(train_rows: DataFrame) -> DataFrame:
-    """(word, c) over all training texts, A-Z lower-cased, without the end."""
-    raw = train_rows.select(F.explode(F.split("text", WORD_BREAK)).alias("w")).where("w <> ''")
-    counted = raw.groupBy("w").agg(F.count(F.lit(1)).alias("c"))
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return counted.groupBy(F.translate("w", upper, lower).alias("word")).agg(F.sum("c").alias("c"))
+def word_counts(train_rows: DataFrame, limit: int = 400_000) -> DataFrame:
+    """(word, c) over all training texts, A-Z lower-cased, without the end. A task adds up
+    its words in bounded state before the shuffle."""
+    schema = pa.schema([("word", pa.string()), ("c", pa.int64())])
+
+    def run(batches):
+        from collections import Counter
+        counts: Counter = Counter()
+
+        def send():
+            out = pa.RecordBatch.from_arrays([pa.array(list(counts.keys()), pa.binary()).cast(pa.string()),
+                                              pa.array(list(counts.values()), pa.int64())], schema=schema)
+            counts.clear()
+            return out
+
+        for batch in bounded_batches(batches):
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
+                counts.update(text.lower().split())
+            if len(counts) > limit:
+                yield send()
+        if counts:
+            yield send()
+
+    return train_rows.select("text").mapInArrow(run, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
@@ -411,6 +440,8 @@ def _score_rows(encoded: DataFrame, model: Model, heavy: dict[bytes, int], ends:
         cls, log_share, bigram, weights, frequent = shared.value
         parts, share = unpack(weights, classes), np.exp(bigram)
         log_of = {w: float(np.log10(c + ALPHA)) for w, c in frequent.items()}
+        work = tuple(np.empty((SCORED * STRIDE, classes), dtype=np.float32) for _ in range(2))
+        forget("encoder")                                   # its cache is of no use from here on
         unknown, norm = float(np.log10(ALPHA)), float(np.log10(down))
         for batch in bounded_batches(batches, 4 << 20):
             sizes, knowns, bases, rares = [], [], [], []
@@ -434,7 +465,7 @@ def _score_rows(encoded: DataFrame, model: Model, heavy: dict[bytes, int], ends:
             totals = np.array([log_share[i].sum() for i in ids])
             inputs, targets, texts, _ = windows([cls[i] for i in ids], int(cls[START]))
             for at in range(0, len(inputs), SCORED):
-                logs = log_probabilities(parts, share, inputs[at:at + SCORED], targets[at:at + SCORED])
+                logs = log_probabilities(parts, share, inputs[at:at + SCORED], targets[at:at + SCORED], work)
                 totals += np.bincount(texts[at:at + SCORED], weights=logs.sum(axis=1) / np.log(10), minlength=len(ids))
             edges = np.cumsum([0, *map(len, rares)]).astype(np.int32)
             flat = [x for r in rares for x in r]

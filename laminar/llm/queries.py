@@ -8,8 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm.common import materialise, table
-from laminar.session import configure
+from laminar.llm.common import configure, materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
