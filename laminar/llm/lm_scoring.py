@@ -4,11 +4,13 @@ Texts become ids of a public subword vocabulary, then an end id. The model predi
 next id in two steps, p(id | past) = p(class | past) p(id | class):
 
 - Classes are clusters of ids by the ids that stand next to them, from the corpus-wide
-  counts of adjacent pairs; the most frequent ids have classes of their own.
+  counts of adjacent pairs; the most frequent ids have classes of their own. Similar
+  classes share a block.
 - p(id | class) is the smoothed share of the id in its class, from the same counts.
-- p(class | past) is a softmax over the class bigram statistics of the last id plus a
-  causal self-attention layer over the window (queries, keys and values per class, a
-  learned bias per distance). Its weights are trained by gradient steps.
+- p(class | past) = p(block | past) p(class | block, past), each a softmax over the class
+  bigram statistics of the last id plus the output of a causal self-attention layer over
+  the window (queries, keys and values per class, a learned bias per distance). Its
+  weights are trained by gradient steps. Two small softmaxes cost a tenth of one large one.
 
 Windows overlap: each holds ``stride`` positions to predict and ``overlap`` positions of
 context before them, so every id is scored once. Windows are scored in batches; a mask
@@ -45,14 +47,15 @@ from laminar.llm.packing import word_encoder
 VOCABULARY = 49408             # ids of the vocabulary, its two special ids included
 START, END = 49406, 49407
 ALPHA = 0.1                    # of the base score
-CLASSES = 192
-SINGLE = 40                    # most frequent ids, one class each
+BLOCKS, BLOCK = 16, 24         # classes are BLOCKS blocks of BLOCK
+CLASSES = BLOCKS * BLOCK
+SINGLE = 2 * BLOCK             # most frequent ids, one class each
 CONTEXTS = 160                 # frequent ids whose pairs describe an id
-DIM = 16
-STRIDE, OVERLAP = 24, 8
-BATCH = 256                    # windows per step
-SCORED = 64                    # windows scored at once
-EVERY = 6                      # a step takes every sixth position of its windows
+DIM = 8
+STRIDE, OVERLAP = 32, 8
+BATCH = 512                    # windows per step
+ATTENDED, SCORED = 128, 2048   # windows whose attention, and whose softmax, is computed at once
+EVERY = 16                     # a step takes every sixteenth position of its windows
 
 
 def held_out(id_: Column) -> Column:
@@ -64,22 +67,32 @@ def held_out(id_: Column) -> Column:
 class Model:
     cls: np.ndarray            # class per id
     log_share: np.ndarray      # log10 p(id | class)
-    bigram: np.ndarray         # log p(class | last class), natural
-    weights: np.ndarray        # flat: queries, keys, values (classes x dim), output (dim x classes), distance bias
+    tables: tuple[np.ndarray, np.ndarray]   # p(block | last class); per block, p(class | block, last class)
+    weights: np.ndarray        # flat: see unpack
 
 
-def unpack(weights: np.ndarray, classes: int) -> tuple[np.ndarray, ...]:
-    n = classes * DIM
+def bigram_tables(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the blocks, and of the classes in their block, per last class."""
+    blocks = counts.reshape(CLASSES, BLOCKS, BLOCK).sum(axis=2)
+    inside = counts / np.repeat(np.maximum(blocks, 1e-30), BLOCK, axis=1)
+    inside = np.ascontiguousarray(inside.reshape(CLASSES, BLOCKS, BLOCK).transpose(1, 0, 2), dtype=np.float32)
+    return (blocks / blocks.sum(axis=1, keepdims=True)).astype(np.float32), inside
+
+
+def unpack(weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Queries, keys, values (classes x dim), output to classes and to blocks (dim x ...), distance bias."""
+    n = CLASSES * DIM
     q, k, v, u = (weights[i * n:(i + 1) * n] for i in range(4))
-    return q.reshape(classes, DIM), k.reshape(classes, DIM), v.reshape(classes, DIM), u.reshape(DIM, classes), weights[4 * n:]
+    top = weights[4 * n:4 * n + DIM * BLOCKS].reshape(DIM, BLOCKS)
+    return q.reshape(CLASSES, DIM), k.reshape(CLASSES, DIM), v.reshape(CLASSES, DIM), u.reshape(DIM, CLASSES), top, weights[4 * n + top.size:]
 
 
-def first_weights(classes: int, seed: int = 7) -> np.ndarray:
+def first_weights(seed: int = 7) -> np.ndarray:
     rng = np.random.default_rng(seed)
-    n = classes * DIM
-    q, k, v = (rng.standard_normal(n) * s for s in (0.3, 0.3, 0.3))
-    u = rng.standard_normal(n) * 0.05
-    return np.concatenate([q, k, v, u, np.zeros(STRIDE + OVERLAP)]).astype(np.float32)
+    n = CLASSES * DIM
+    parts = [rng.standard_normal(n) * 0.3 for _ in range(3)]
+    out = [rng.standard_normal(m) * 0.05 for m in (n, DIM * BLOCKS)]
+    return np.concatenate([*parts, *out, np.zeros(STRIDE + OVERLAP)]).astype(np.float32)
 
 
 def windows(classes: list[np.ndarray], start_class: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -120,7 +133,7 @@ def bounded(a: np.ndarray, b: np.ndarray, extra: float = 0.0) -> bool:
 
 def attend(parts: tuple[np.ndarray, ...], inputs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     """Attention of the query positions ``at`` of every window: weights and outputs."""
-    q, k, v, _, bias = parts
+    q, k, v, _, _, bias = parts
     dist = DISTANCE[at]
     shown = np.where(inputs < 0, 0, inputs)
     last = shown[:, OVERLAP + at]
@@ -137,47 +150,82 @@ def attend(parts: tuple[np.ndarray, ...], inputs: np.ndarray, at: np.ndarray) ->
     return scores, np.matmul(scores, vs), last, shown, qs, ks, vs
 
 
-def log_probabilities(parts: tuple[np.ndarray, ...], share: np.ndarray, inputs: np.ndarray, targets: np.ndarray,
-                      work: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
-    """Natural log p(class) of every target (0 where there is none); ``share`` is the
-    bigram table as probabilities. ``work`` is two buffers of (positions, classes)."""
-    _, out, last, *_ = attend(parts, inputs, np.arange(STRIDE))
-    real = targets >= 0
-    out, last, goal = out[real], last[real], targets[real]
-    n = len(goal)
-    logits, rows = work if work is not None else (np.empty((n, share.shape[1]), dtype=np.float32) for _ in range(2))
-    logits, rows = np.matmul(out, parts[3], out=logits[:n]), np.take(share, last, axis=0, out=rows[:n], mode="clip")
-    if n and not bounded(parts[2], parts[3].T):             # the output is a mean of value rows
+def by_block(goal: np.ndarray):
+    """(block, positions) of the targets of each block."""
+    blocks = goal // BLOCK
+    order = np.argsort(blocks, kind="stable")
+    edges = np.searchsorted(blocks[order], np.arange(BLOCKS + 1))
+    for b, (lo, hi) in enumerate(zip(edges, edges[1:])):
+        if lo < hi:
+            yield b, order[lo:hi]
+
+
+def softmax_logs(out: np.ndarray, u: np.ndarray, share: np.ndarray, goal: np.ndarray, small: bool) -> np.ndarray:
+    """log of ``share * exp(out @ u)``, normalised, at ``goal``; ``small`` says that no
+    exponential can overflow."""
+    logits = out @ u
+    if not small:
         logits -= logits.max(axis=1, keepdims=True)
-    picked = logits[np.arange(n), goal]
+    n = np.arange(len(goal))
+    picked = logits[n, goal] + np.log(share[n, goal])
     np.exp(logits, out=logits)
-    total = np.einsum("ij,ij->i", logits, rows)
+    logits *= share
+    return picked - np.log(logits @ np.ones(logits.shape[1], dtype=np.float32))
+
+
+def log_probabilities(parts: tuple[np.ndarray, ...], tables: tuple[np.ndarray, np.ndarray], inputs: np.ndarray,
+                      targets: np.ndarray) -> np.ndarray:
+    """Natural log p(class) of every target (0 where there is none)."""
+    outs, lasts = [], []
+    for at in range(0, len(inputs), ATTENDED):
+        _, out, last, *_ = attend(parts, inputs[at:at + ATTENDED], np.arange(STRIDE))
+        mine = targets[at:at + ATTENDED] >= 0
+        outs.append(out[mine])
+        lasts.append(last[mine])
     got = np.zeros(targets.shape, dtype=np.float64)
-    got[real] = picked.astype(np.float64) + np.log(share[last, goal], dtype=np.float64) - np.log(total, dtype=np.float64)
+    if not outs:
+        return got
+    real = targets >= 0
+    out, last, goal = np.concatenate(outs), np.concatenate(lasts), targets[real]
+    small = [bounded(parts[2], u.T) for u in (parts[4], parts[3])]      # an output is a mean of value rows
+    logs = softmax_logs(out, parts[4], tables[0][last], goal // BLOCK, small[0])
+    for b, rows in by_block(goal):
+        cut = slice(b * BLOCK, (b + 1) * BLOCK)
+        logs[rows] += softmax_logs(out[rows], parts[3][:, cut], tables[1][b][last[rows]], goal[rows] - b * BLOCK, small[1])
+    got[real] = logs
     return got
 
 
-def gradient(weights: np.ndarray, classes: int, bigram: np.ndarray, inputs: np.ndarray, targets: np.ndarray,
+def gradient(weights: np.ndarray, tables: tuple[np.ndarray, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
              at: np.ndarray) -> np.ndarray:
     """Gradient of the mean negative log-probability over the query positions ``at``."""
-    parts = unpack(weights, classes)
-    q, k, v, u, bias = parts
+    parts = unpack(weights)
+    q, k, v, u, top, bias = parts
     scores, out, last, shown, qs, ks, vs = attend(parts, inputs, at)
     goals = targets[:, at]
     real = goals >= 0
-    n = max(1, int(real.sum()))
-    logits = out @ u
-    logits += bigram[last]
-    logits -= logits.max(axis=2, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=2, keepdims=True)
-    w, i = np.nonzero(real)
-    logits[w, i, goals[w, i]] -= 1
-    logits[~real] = 0
-    logits /= n
-    flat = logits.reshape(-1, classes)
-    d_u = out.reshape(-1, DIM).T @ flat
-    d_out = (flat @ u.T).reshape(out.shape)
+    rows_out, rows_last, goal = out[real], last[real], goals[real]
+    n = max(1, len(goal))
+
+    def error(o, w, share, g):
+        p = o @ w
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
+        p *= share
+        p /= p.sum(axis=1, keepdims=True)
+        p[np.arange(len(g)), g] -= 1
+        p /= n
+        return p
+
+    e = error(rows_out, top, tables[0][rows_last], goal // BLOCK)
+    d_top, d_rows, d_u = rows_out.T @ e, e @ top.T, np.zeros_like(u)
+    for b, rows in by_block(goal):
+        cut = slice(b * BLOCK, (b + 1) * BLOCK)
+        e = error(rows_out[rows], u[:, cut], tables[1][b][rows_last[rows]], goal[rows] - b * BLOCK)
+        d_u[:, cut] = rows_out[rows].T @ e
+        d_rows[rows] += e @ u[:, cut].T
+    d_out = np.zeros_like(out)
+    d_out[real] = d_rows
     d_a = np.matmul(d_out, vs.transpose(0, 2, 1))
     d_v = np.matmul(scores.transpose(0, 2, 1), d_out)
     d_s = scores * (d_a - (d_a * scores).sum(axis=2, keepdims=True))
@@ -189,9 +237,10 @@ def gradient(weights: np.ndarray, classes: int, bigram: np.ndarray, inputs: np.n
 
     def gather(rows: np.ndarray, grads: np.ndarray) -> np.ndarray:
         cells = (rows.reshape(-1, 1).astype(np.int64) * DIM + np.arange(DIM)).ravel()
-        return np.bincount(cells, weights=grads.ravel(), minlength=classes * DIM)
+        return np.bincount(cells, weights=grads.ravel(), minlength=CLASSES * DIM)
 
-    return np.concatenate([gather(last, d_q), gather(shown, d_k), gather(shown, d_v), d_u.ravel(), d_bias]).astype(np.float32)
+    return np.concatenate([gather(last, d_q), gather(shown, d_k), gather(shown, d_v), d_u.ravel(), d_top.ravel(),
+                           d_bias]).astype(np.float32)
 
 
 class Adam:
@@ -256,7 +305,24 @@ def pair_counts(train: DataFrame) -> DataFrame:
     return train.select("ids").mapInArrow(run, "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def cluster(counts: np.ndarray, pairs: np.ndarray, classes: int, seed: int = 11) -> np.ndarray:
+def in_order(centres: np.ndarray, parts: int) -> np.ndarray:
+    """An order of the centres in which ``parts`` even runs hold similar ones: halved again
+    and again along the direction of largest spread."""
+    if parts <= 1 or len(centres) < 3:
+        return np.arange(len(centres))
+    flat = centres - centres.mean(axis=0)
+    line = np.ones(flat.shape[1])
+    for _ in range(20):
+        line = flat.T @ (flat @ line)
+        line /= max(np.linalg.norm(line), 1e-30)
+    order = np.argsort(flat @ line, kind="stable")
+    half = parts // 2
+    cut = len(order) * half // parts
+    left, right = order[:cut], order[cut:]
+    return np.concatenate([left[in_order(centres[left], half)], right[in_order(centres[right], parts - half)]])
+
+
+def cluster(counts: np.ndarray, pairs: np.ndarray, seed: int = 11) -> np.ndarray:
     """Class per id: singletons for the most frequent, k-means on neighbour profiles for the rest.
 
     ``pairs`` (rows a, b, n) hold at least one of the ``CONTEXTS`` most frequent ids.
@@ -267,7 +333,7 @@ def cluster(counts: np.ndarray, pairs: np.ndarray, classes: int, seed: int = 11)
     frequent = np.full(len(counts), -1)
     frequent[order[:CONTEXTS]] = np.arange(CONTEXTS)
     seen = np.setdiff1d(np.flatnonzero(counts > 0), single)
-    k = classes - SINGLE - 1
+    k = CLASSES - SINGLE - 1
     profile = np.zeros((len(counts), 2 * CONTEXTS), dtype=np.float32)
     a, b, n = pairs
     for me, other, shift in ((a, b, 0), (b, a, CONTEXTS)):
@@ -286,15 +352,16 @@ def cluster(counts: np.ndarray, pairs: np.ndarray, classes: int, seed: int = 11)
             sums = np.zeros_like(centres)
             np.add.at(sums, near, rows * weight[:, None])
             centres = np.where(mass[:, None] > 0, sums / np.maximum(mass, 1e-9)[:, None], centres)
+        centres = centres[in_order(centres, BLOCKS - SINGLE // BLOCK)]
         cls[seen] = SINGLE + np.argmax(rows @ centres.T - 0.5 * (centres ** 2).sum(axis=1), axis=1)
     else:
         cls[seen] = SINGLE + np.arange(len(seen))
-    cls[counts == 0] = classes - 1                          # ids that training never saw
+    cls[counts == 0] = CLASSES - 1                          # ids that training never saw
     cls[single] = np.arange(SINGLE)
     return cls
 
 
-def train(encoded: DataFrame, classes: int = CLASSES, rounds: int = 2, rate: float = 0.01) -> Model:
+def train(encoded: DataFrame, rounds: int = 2, rate: float = 0.01) -> Model:
     """Counts, classes and weights from all training rows."""
     spark = encoded.sparkSession
     rows = encoded.where("NOT held_out")
@@ -303,34 +370,35 @@ def train(encoded: DataFrame, classes: int = CLASSES, rounds: int = 2, rate: flo
     for r in pairs.groupBy("b").agg(F.sum("n").alias("n")).collect():       # at most one row per id
         unigram[r["b"]] = r["n"]
     if unigram.sum() == 0:
+        only = np.zeros((CLASSES, CLASSES))
+        only[:, 0] = 1                                      # one class that holds every id
         return Model(np.zeros(VOCABULARY, dtype=np.int32), np.full(VOCABULARY, -np.log10(VOCABULARY)),
-                     np.zeros((1, 1), dtype=np.float32), first_weights(1))
+                     bigram_tables(only), np.zeros_like(first_weights()))
     top = [int(i) for i in np.argsort(-unigram, kind="stable")[:CONTEXTS]]
     near = pairs.where(F.col("a").isin(top) | F.col("b").isin(top)).select("a", "b", "n").toArrow()
-    cls = cluster(unigram, np.stack([near.column(c).to_numpy().astype(np.int64) for c in ("a", "b", "n")]), classes)
-    size = np.bincount(cls, minlength=classes)
-    mass = np.bincount(cls, weights=unigram, minlength=classes)
+    cls = cluster(unigram, np.stack([near.column(c).to_numpy().astype(np.int64) for c in ("a", "b", "n")]))
+    size = np.bincount(cls, minlength=CLASSES)
+    mass = np.bincount(cls, weights=unigram, minlength=CLASSES)
     log_share = np.log10((unigram + 0.5) / (mass + 0.5 * size)[cls])
     of = spark.createDataFrame(list(enumerate(cls.tolist())), "id int, c int")
     left, right = F.broadcast(of.toDF("a", "ca")), F.broadcast(of.toDF("b", "cb"))   # one row per id of the vocabulary
-    table = np.full((classes, classes), 0.5)
+    table = np.full((CLASSES, CLASSES), 0.5)
     for r in pairs.join(left, "a").join(right, "b").groupBy("ca", "cb").agg(F.sum("n").alias("n")).collect():
         table[r["ca"], r["cb"]] += r["n"]
-    bigram = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
-    weights = first_weights(classes)
+    tables, weights = bigram_tables(table), first_weights()
     for r in range(rounds):
-        weights = _round(rows, cls, bigram, weights, classes, r, rounds, rate)
-    return Model(cls, log_share, bigram, weights)
+        weights = _round(rows, cls, tables, weights, r, rounds, rate)
+    return Model(cls, log_share, tables, weights)
 
 
-def _round(rows: DataFrame, cls: np.ndarray, bigram: np.ndarray, weights: np.ndarray, classes: int, number: int,
+def _round(rows: DataFrame, cls: np.ndarray, tables: tuple[np.ndarray, np.ndarray], weights: np.ndarray, number: int,
            rounds: int, rate: float) -> np.ndarray:
     """One round: steps in every task over the windows of this round, then the average."""
     schema = pa.schema([("weight", pa.float64()), ("values", pa.list_(pa.float64()))])
-    shared = rows.sparkSession.sparkContext.broadcast((cls, bigram, weights))
+    shared = rows.sparkSession.sparkContext.broadcast((cls, tables, weights))
 
     def run(batches):
-        cls_, bigram_, start = shared.value
+        cls_, tables_, start = shared.value
         forget("encoder")
         opt, done = Adam(start, rate / (1 + number)), 0
         rng = np.random.default_rng(number)
@@ -345,7 +413,7 @@ def _round(rows: DataFrame, cls: np.ndarray, bigram: np.ndarray, weights: np.nda
                 pick = order[at:at + BATCH]
                 # Every window gives a share of its positions, another share each step.
                 places = np.arange((opt.t + number) % EVERY, STRIDE, EVERY)
-                opt.step(gradient(opt.w, classes, bigram_, inputs[pick], targets[pick], places))
+                opt.step(gradient(opt.w, tables_, inputs[pick], targets[pick], places))
                 done += len(pick)
             rest = order[whole:]
             held = [(inputs[rest], targets[rest])] if len(rest) else []
@@ -356,7 +424,7 @@ def _round(rows: DataFrame, cls: np.ndarray, bigram: np.ndarray, weights: np.nda
             mine = numbers % rounds == number
             if mine.any():
                 held.append((inputs[mine], targets[mine]))
-            if sum(len(h[0]) for h in held) >= 8 * BATCH:
+            if sum(len(h[0]) for h in held) >= 4 * BATCH:
                 steps(False)
         if held:
             steps(True)
@@ -402,7 +470,7 @@ def word_counts(train_rows: DataFrame, limit: int = 400_000) -> DataFrame:
 
 
 def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-          heavy_share: float = 4e-6, classes: int = CLASSES, rounds: int = 2) -> DataFrame:
+          heavy_share: float = 1e-6, rounds: int = 2) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row."""
     spark = docs.sparkSession
     encoded = encode(docs, vocabulary, id_col, text_col)
@@ -413,7 +481,7 @@ def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
     total, kinds = size["n"] + ends, size["v"] + (1 if ends else 0)
     limit = total * heavy_share                              # so there are at most 1 / heavy_share heavy words
     heavy = {r["word"].encode(): r["c"] for r in counts.where(F.col("c") > limit).collect()}
-    model = train(encoded, classes, rounds)
+    model = train(encoded, rounds)
     down = total + ALPHA * (kinds + 1)
     scored = materialise(_score_rows(encoded, model, heavy, ends, down), "lm-scored", compression="zstd")
     # The other words meet their counts by a join; none of them is frequent.
@@ -432,40 +500,34 @@ def _score_rows(encoded: DataFrame, model: Model, heavy: dict[bytes, int], ends:
     rare_type = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
     schema = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                         ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("rare", rare_type)])
-    classes = model.bigram.shape[0]
-    shared = encoded.sparkSession.sparkContext.broadcast((model.cls, model.log_share, model.bigram, model.weights, heavy))
+    shared = encoded.sparkSession.sparkContext.broadcast((model.cls, model.log_share, model.tables, model.weights, heavy))
 
     def run(batches):
         from collections import Counter
-        cls, log_share, bigram, weights, frequent = shared.value
-        parts, share = unpack(weights, classes), np.exp(bigram)
-        log_of = {w: float(np.log10(c + ALPHA)) for w, c in frequent.items()}
-        work = tuple(np.empty((SCORED * STRIDE, classes), dtype=np.float32) for _ in range(2))
+        from itertools import compress, repeat
+        cls, log_share, tables, weights, frequent = shared.value
+        parts = unpack(weights)
+        log_of = {w: float(np.log10(c + ALPHA)) for w, c in frequent.items()}.get
         forget("encoder")                                   # its cache is of no use from here on
         unknown, norm = float(np.log10(ALPHA)), float(np.log10(down))
         for batch in bounded_batches(batches, 4 << 20):
             sizes, knowns, bases, rares = [], [], [], []
             for text in batch.column(3).cast(pa.binary()).to_pylist():
-                words = Counter(text.lower().split())
-                n = sum(words.values())
-                known, base, rare = (1 if ends else 0), float(np.log10(ends + ALPHA)), []
-                for w, k in words.items():
-                    got = log_of.get(w)
-                    if got is None:
-                        rare.append((w, k))
-                        base += k * unknown
-                    else:
-                        known += k
-                        base += k * got
+                words = text.lower().split()
+                n = len(words)
+                logs = np.fromiter(map(log_of, words, repeat(np.nan)), dtype=np.float64, count=n)
+                absent = np.isnan(logs)
+                k = int(absent.sum())
+                rare = list(Counter(compress(words, absent.tolist())).items())
                 sizes.append(n + 1)
-                knowns.append(known)
-                bases.append(base - (n + 1) * norm)
+                knowns.append(n - k + (1 if ends else 0))
+                bases.append(float(np.nansum(logs)) + k * unknown + float(np.log10(ends + ALPHA)) - (n + 1) * norm)
                 rares.append(rare)
             ids = [np.frombuffer(x, dtype="<u2") for x in batch.column(4).to_pylist()]
             totals = np.array([log_share[i].sum() for i in ids])
             inputs, targets, texts, _ = windows([cls[i] for i in ids], int(cls[START]))
             for at in range(0, len(inputs), SCORED):
-                logs = log_probabilities(parts, share, inputs[at:at + SCORED], targets[at:at + SCORED], work)
+                logs = log_probabilities(parts, tables, inputs[at:at + SCORED], targets[at:at + SCORED])
                 totals += np.bincount(texts[at:at + SCORED], weights=logs.sum(axis=1) / np.log(10), minlength=len(ids))
             edges = np.cumsum([0, *map(len, rares)]).astype(np.int32)
             flat = [x for r in rares for x in r]

@@ -44,7 +44,7 @@ def word_encoder(vocabulary: str):
     return worker_state("encoder " + vocabulary, lambda: make_encoder(vocabulary))
 
 
-def make_encoder(vocabulary: str, cache_size: int = 500_000):
+def make_encoder(vocabulary: str, cache_size: int = 300_000):
     """A function from a text's UTF-8 bytes to its ids as little-endian 32-bit integers.
 
     The vocabulary's splitting rule never crosses white space, so a text is encoded chunk

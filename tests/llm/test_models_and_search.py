@@ -142,47 +142,68 @@ def test_base_scores_match_brute_force(spark):
         assert r["score"] < 0 and math.isfinite(r["score"])
 
 
+def random_tables(rng):
+    return lm_scoring.bigram_tables(rng.random((lm_scoring.CLASSES, lm_scoring.CLASSES)))
+
+
 def test_every_id_is_scored_once_and_later_ids_are_hidden():
     rng = np.random.default_rng(0)
-    texts = [rng.integers(0, 9, n) for n in (1, 2, 23, 24, 25, 100)]
+    texts = [rng.integers(0, 9, n) for n in (1, 2, 31, 32, 33, 100)]
     inputs, targets, owner, numbers = lm_scoring.windows(texts, 9)
     for i, t in enumerate(texts):
         mine = targets[owner == i]
         assert mine[mine >= 0].tolist() == t.tolist()
         assert numbers[owner == i].tolist() == list(range(-(-len(t) // lm_scoring.STRIDE)))
-    weights, share = lm_scoring.first_weights(10) * 3, np.full((10, 10), 0.1, dtype=np.float32)
-    parts = lm_scoring.unpack(weights, 10)
-    before = lm_scoring.log_probabilities(parts, share, inputs, targets)
+    parts, tables = lm_scoring.unpack(lm_scoring.first_weights() * 3), random_tables(rng)
+    before = lm_scoring.log_probabilities(parts, tables, inputs, targets)
     changed = texts[-1].copy()
     changed[60:] = (changed[60:] + 1) % 9
     a, b, _, _ = lm_scoring.windows([changed], 9)
-    after = lm_scoring.log_probabilities(parts, share, a, b)
+    after = lm_scoring.log_probabilities(parts, tables, a, b)
     same = before[owner == 5].ravel()[:60], after.ravel()[:60]
-    assert np.allclose(*same, atol=1e-5) and not np.allclose(before[owner == 5].ravel()[61:100], after.ravel()[61:100])
+    assert np.allclose(*same, atol=1e-4) and not np.allclose(before[owner == 5].ravel()[61:100], after.ravel()[61:100])
+
+
+def test_windows_score_alike_in_any_batch():
+    rng = np.random.default_rng(3)
+    inputs, targets, _, _ = lm_scoring.windows([rng.integers(0, lm_scoring.CLASSES, n) for n in (500, 3, 90)], 0)
+    parts, tables = lm_scoring.unpack(lm_scoring.first_weights() * 8), random_tables(rng)
+    together = lm_scoring.log_probabilities(parts, tables, inputs, targets)
+    single = [lm_scoring.log_probabilities(parts, tables, inputs[i:i + 1], targets[i:i + 1])[0] for i in range(len(inputs))]
+    assert np.allclose(together, np.stack(single), atol=1e-3)
+    assert lm_scoring.log_probabilities(parts, tables, inputs[:0], targets[:0]).shape == (0, lm_scoring.STRIDE)
 
 
 def test_class_probabilities_sum_to_one_and_gradient_is_right():
     rng = np.random.default_rng(1)
-    classes = 6
-    table = rng.random((classes, classes))
-    bigram = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
-    weights = (lm_scoring.first_weights(classes) * 2).astype(np.float32)
-    inputs, targets, _, _ = lm_scoring.windows([rng.integers(0, classes, 30)], 0)
-    parts, share = lm_scoring.unpack(weights, classes), np.exp(bigram)
-    total = sum(np.exp(lm_scoring.log_probabilities(parts, share, inputs, np.where(targets >= 0, c, -1))) for c in range(classes))
-    assert np.allclose(total[targets >= 0], 1, atol=1e-5)
+    weights, tables = (lm_scoring.first_weights() * 2).astype(np.float32), random_tables(rng)
+    inputs, targets, _, _ = lm_scoring.windows([rng.integers(0, 12, 30)], 0)
+    parts = lm_scoring.unpack(weights)
+    total = sum(np.exp(lm_scoring.log_probabilities(parts, tables, inputs, np.where(targets >= 0, c, -1)))
+                for c in range(lm_scoring.CLASSES))
+    assert np.allclose(total[targets >= 0], 1, atol=1e-4)
 
     def loss(w):
-        logs = lm_scoring.log_probabilities(lm_scoring.unpack(w, classes), share, inputs, targets)
+        logs = lm_scoring.log_probabilities(lm_scoring.unpack(w), tables, inputs, targets)
         return -logs.sum() / (targets >= 0).sum()
 
-    grad = lm_scoring.gradient(weights, classes, bigram, inputs, targets, np.arange(lm_scoring.STRIDE))
-    for i in rng.choice(len(weights), 40, replace=False):
+    grad = lm_scoring.gradient(weights, tables, inputs, targets, np.arange(lm_scoring.STRIDE))
+    largest = np.argsort(-np.abs(grad))[:60]
+    for i in [*largest, *rng.choice(len(weights), 20, replace=False)]:
         step = np.zeros_like(weights)
         step[i] = 1e-2
         assert (loss(weights + step) - loss(weights - step)) / 2e-2 == pytest.approx(grad[i], abs=2e-3)
 
 
+def test_similar_centres_share_a_block():
+    rng = np.random.default_rng(0)
+    far = np.repeat(np.eye(4) * 10, 6, axis=0) + rng.standard_normal((24, 4)) * 0.01
+    mixed = rng.permutation(24)
+    order = lm_scoring.in_order(far[mixed], 4)
+    assert sorted(order) == list(range(24))
+    assert all(len(set(mixed[order[i:i + 6]] // 6)) == 1 for i in range(0, 24, 6))
+
+
 def test_attention_learns_what_bigrams_cannot():
     """Texts alternate a filler with words of one of two groups: the group is further back."""
     rng = np.random.default_rng(0)
@@ -193,17 +214,17 @@ def test_attention_learns_what_bigrams_cannot():
         return t
 
     train, held = ([text() for _ in range(n)] for n in (600, 100))
-    pairs = np.full((8, 8), 0.5)
+    pairs = np.full((lm_scoring.CLASSES, lm_scoring.CLASSES), 1e-6)
     for t in train:
         np.add.at(pairs, (np.r_[7, t[:-1]], t), 1)
-    bigram = np.log(pairs / pairs.sum(axis=1, keepdims=True)).astype(np.float32)
+    tables = lm_scoring.bigram_tables(pairs)
     inputs, targets, _, _ = lm_scoring.windows(train, 7)
-    opt = lm_scoring.Adam(lm_scoring.first_weights(8), 0.02)
+    opt = lm_scoring.Adam(lm_scoring.first_weights(), 0.02)
     for step in range(300):
         pick = rng.choice(len(inputs), 128)
-        opt.step(lm_scoring.gradient(opt.w, 8, bigram, inputs[pick], targets[pick], np.arange(step % 4, lm_scoring.STRIDE, 4)))
+        opt.step(lm_scoring.gradient(opt.w, tables, inputs[pick], targets[pick], np.arange(step % 4, lm_scoring.STRIDE, 4)))
     inputs, targets, _, _ = lm_scoring.windows(held, 7)
-    scores = [lm_scoring.log_probabilities(lm_scoring.unpack(w, 8), np.exp(bigram), inputs, targets).sum()
+    scores = [lm_scoring.log_probabilities(lm_scoring.unpack(w), tables, inputs, targets).sum()
               for w in (opt.w, np.zeros_like(opt.w))]
     assert scores[0] > 0.75 * scores[1]            # about log 3 instead of log 6 for every second word
 
@@ -219,7 +240,7 @@ def test_lm_edges(spark):
     docs = frame(spark, texts, [None, 1, 2, 3, 4, 5, 6, 6]).withColumn("row", F.lit("clash"))
     vocabulary = queries.vocabulary_path("word_bpe_49k.json")
     for share in (4e-6, 0.5):                                 # all words heavy, and most by the join
-        got = lm_scoring.score(docs, vocabulary, heavy_share=share, classes=64).collect()
+        got = lm_scoring.score(docs, vocabulary, heavy_share=share).collect()
         assert Counter(r["n_tokens"] for r in got) == Counter([1, 1, 1, 2, 8001, 4, 3, 3])
         keep = [(i, t) for i, t in zip([None, 1, 2, 3, 4, 5, 6, 6], texts) if zlib.crc32(str("" if i is None else i).encode()) % 10]
         count = Counter(w for _, t in keep for w in [*(t or "").lower().split(), None])
