@@ -18,12 +18,14 @@ from laminar.llm.queries import packed_digest, vocabulary_path
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
+    configure(spark)
     model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
     return quality_rules.judge(docs, model).where("kept").select(*docs.columns)
 
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain calls toxic go."""
+    configure(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.judge(docs, model).where("NOT is_toxic").select(*docs.columns)
 
@@ -34,6 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows without an id belong to no group and stay; of repeated rows with the same id,
     one stays.
     """
+    configure(spark)
     found = simhash.near_duplicates(docs, shingle=3, max_bits=3)
     first = found.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -42,6 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the terms that reveal it are replaced; ``n_chars`` follows the text."""
+    configure(spark)
     out = pii.sanitise(docs)
     size = F.coalesce(F.length("text"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return out.withColumn("n_chars", size).select(*docs.columns)
@@ -49,6 +53,7 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences."""
+    configure(spark)
     return packed_digest(docs, vocabulary_path("word_bpe_49k.json"), CAPACITY)
 
 

@@ -37,7 +37,7 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), "")
 
 
-def bounded_batches(batches, max_bytes: int = 16 << 20):
+def bounded_batches(batches, max_bytes: int = 4 << 20):
     """Slices of Arrow record batches of about ``max_bytes`` at most (one row at least)."""
     for batch in batches:
         if batch.num_rows == 0:

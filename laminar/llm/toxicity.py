@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         features: int = 1024, alarm_rate: float = 0.002) -> Model:
     def spread(batches):
         schema = pa.schema([("id", pa.int64()), ("y", pa.int32()), ("terms", pa.list_(pa.string()))])
-        for batch in bounded_batches(batches, 4 << 20):
+        for batch in bounded_batches(batches, 1 << 20):
             found = [list(terms(t)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int32()), pa.array(found, pa.list_(pa.string()))],
                                              schema=schema)
@@ -216,7 +216,7 @@ def judge(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
 
     def run(batches):
         known = model.features
-        for batch in bounded_batches(batches, 4 << 20):
+        for batch in bounded_batches(batches, 1 << 20):
             texts = batch.column(len(columns)).to_pylist()
             found = [[known[t] for t in terms(text) & known.keys()] if known else [] for text in texts]
             earlier = apply_chain(rows_of(found, len(known)), model.weights)
