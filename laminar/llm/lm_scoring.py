@@ -17,9 +17,10 @@ context before them, so every id is scored once. Windows are scored in batches;
 hides later positions and the padding before a text's start.
 
 Only training rows (CRC-32 of the id's decimal text, modulo 10, not 0) give counts and
-gradients, and all of them do. Training is data-parallel: in each of ``rounds`` rounds
-every task makes steps over its own share of windows, starting from the same weights,
-and an aggregate averages the results by the number of windows behind them.
+gradients, and all of them do: every id of a training text is a target of one step.
+Training is data-parallel: in each of ``rounds`` rounds every task makes steps over its
+own share of windows (each window has one round), starting from the same weights, and an
+aggregate averages the results by the number of windows behind them.
 
 Scale: ids are made once and written; every later pass reads that table. What reaches the
 driver is bounded by the vocabulary and the model: class statistics, pair counts with a
@@ -55,7 +56,6 @@ DIM = 8
 STRIDE, OVERLAP = 32, 8
 BATCH = 512                    # windows per step
 ATTENDED, SCORED = 128, 2048   # windows whose attention, and whose softmax, is computed at once
-EVERY = 16                     # a step takes every sixteenth position of its windows
 
 
 def held_out(id_: Column) -> Column:
@@ -411,9 +411,7 @@ def _round(rows: DataFrame, cls: np.ndarray, tables: tuple[np.ndarray, np.ndarra
             whole = len(order) if last else len(order) // BATCH * BATCH
             for at in range(0, whole, BATCH):
                 pick = order[at:at + BATCH]
-                # Every window gives a share of its positions, another share each step.
-                places = np.arange((opt.t + number) % EVERY, STRIDE, EVERY)
-                opt.step(gradient(opt.w, tables_, inputs[pick], targets[pick], places))
+                opt.step(gradient(opt.w, tables_, inputs[pick], targets[pick], np.arange(STRIDE)))
                 done += len(pick)
             rest = order[whole:]
             held = [(inputs[rest], targets[rest])] if len(rest) else []

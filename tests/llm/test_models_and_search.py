@@ -229,6 +229,21 @@ def test_attention_learns_what_bigrams_cannot():
     assert scores[0] > 0.75 * scores[1]            # about log 3 instead of log 6 for every second word
 
 
+def test_every_position_of_a_training_window_is_a_target(spark):
+    rng = np.random.default_rng(2)
+    cls, tables, weights = np.arange(lm_scoring.VOCABULARY) % lm_scoring.CLASSES, random_tables(rng), lm_scoring.first_weights()
+    ids = rng.integers(0, 300, 70).astype("<u2")
+    rows = spark.createDataFrame([(ids.tobytes(),)], "ids binary").coalesce(1)
+    inputs, targets, _, _ = lm_scoring.windows([cls[ids]], int(cls[lm_scoring.START]))
+    for number in (0, 1):                                     # windows 0 and 2, then window 1
+        mine = np.flatnonzero(np.arange(3) % 2 == number)
+        mine = mine[np.random.default_rng(number).permutation(len(mine))]
+        want = lm_scoring.Adam(weights, 0.01 / (1 + number))
+        want.step(lm_scoring.gradient(weights, tables, inputs[mine], targets[mine], np.arange(lm_scoring.STRIDE)))
+        got = lm_scoring._round(rows, cls, tables, weights, number, 2, 0.01)
+        assert np.allclose(got, want.w, atol=1e-6)
+
+
 def test_model_beats_unigram_words_on_held_out_text(spark):
     sf = SF_SMALL.replace("0.001", "0.1")
     held = queries.op3_lm_scoring(spark, sf).where("held_out").agg(F.sum("score").alias("m"), F.sum("base_score").alias("b")).first()
