@@ -372,6 +372,16 @@ def test_templates_generalise_merge_and_reject(spark):
     assert {r["template"] for r in url_filters.judge(pages).collect()} == {"/de|en/*"}
 
 
+def test_templates_reach_below_the_third_segment(spark):
+    rules = (url_filters.Rule("block", "h.org", "/a/b/c/ads/1"), url_filters.Rule("allow", "h.org", "/a/b/c/news/1"))
+    urls = [f"http://h.org/a/b/c/{kind}/{i}" for kind in ("ads", "news") for i in range(100, 300)] + ["http://k.org/" + "z/" * 50] * 6
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    rows = {r["path"]: r for r in url_filters.judge(pages, rules=rules).collect()}
+    assert (rows["/a/b/c/ads/250"]["template"], rows["/a/b/c/ads/250"]["verdict"]) == ("/a/b/c/ads/*", "block")
+    assert (rows["/a/b/c/news/250"]["template"], rows["/a/b/c/news/250"]["verdict"]) == ("/a/b/c/news/*", "allow")
+    assert rows["/" + "z/" * 50]["template"] == "/" + "z/" * 50
+
+
 # ---------------------------------------------------------------- vector search
 def brute_nearest(rows, divisor, top=5):
     """query id -> exact sorted list of (-score, id)."""
