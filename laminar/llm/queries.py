@@ -106,6 +106,12 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.llm import filter_audit
+    configure(spark)
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -118,8 +124,10 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_url_filters": op9_url_filters,
         "op10_ann": op10_ann,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from laminar.llm import filter_audit
+    return {"op13_filter_audit": filter_audit.ORACLE_SQL}
