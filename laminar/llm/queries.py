@@ -106,6 +106,14 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.llm import decontamination
+    configure(spark)
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.llm import filter_audit
     configure(spark)
@@ -124,10 +132,11 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_url_filters": op9_url_filters,
         "op10_ann": op10_ann,
+        "op11_decontamination": op11_decontamination,
         "op13_filter_audit": op13_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from laminar.llm import filter_audit
-    return {"op13_filter_audit": filter_audit.ORACLE_SQL}
+    from laminar.llm import decontamination, filter_audit
+    return {"op11_decontamination": decontamination.ORACLE_SQL, "op13_filter_audit": filter_audit.ORACLE_SQL}
