@@ -114,6 +114,12 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.llm import whitening
+    configure(spark)
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.llm import filter_audit
     configure(spark)
@@ -133,6 +139,7 @@ def queries() -> dict[str, Query]:
         "op9_url_filters": op9_url_filters,
         "op10_ann": op10_ann,
         "op11_decontamination": op11_decontamination,
+        "op12_whitening": op12_whitening,
         "op13_filter_audit": op13_filter_audit,
     }
 
