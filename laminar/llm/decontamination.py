@@ -184,7 +184,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         named = here.join(F.broadcast(member), "window")
     else:
         salt = F.pmod(F.xxhash64("row"), F.lit(SALTS)).alias("salt")
-        each = member.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint").alias("salt"))
+        each = member.select("*", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)])).alias("salt"))
         named = here.select("*", salt).join(each, ["window", "salt"])
     listed = named.groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
     out = per_row.join(listed, "row", "left")

@@ -18,8 +18,8 @@ all sums are taken over ``x - 1000000``.
    as a block for a multiple root, made orthogonal to the components before.
 
 Only sums of size ``d * d`` and ``d`` coefficients per prime reach the driver, whatever the
-number of vectors. Vectors are read three times (sums, check of the identity, output) and
-never shuffled.
+number of vectors. Vectors are read four times (lengths, sums, check of the identity, output)
+and never shuffled.
 
 Defined results: vectors that are NULL, empty, or hold a NULL, a NaN, an infinity or an entry
 of 2**56 and more (its integer is no BIGINT) are dropped, as are vectors of another length
