@@ -57,6 +57,13 @@ def user_behavior(orders: DataFrame, as_of: str, bad_statuses: Sequence[str],
         F.min(F.struct((-F.col("n")).alias("k1"), (-F.col("amt")).alias("k2"),
                        F.col("category_id").alias("k3"))).alias("_pref"),
     )
+    return behavior_rows(per_user.withColumn("preferred_category", F.col("_pref.k3")), as_of, run_ts)
+
+
+def behavior_rows(per_user: DataFrame, as_of: str, run_ts: str | None = None) -> DataFrame:
+    """The serving rows from one row per user: ``total_orders, total_amount, first_order_date,
+    last_order_date, bad_orders, preferred_category``."""
+    as_of_d = F.lit(as_of).cast("date")
     n = F.col("total_orders")
     since_first = F.datediff(as_of_d, F.col("first_order_date"))
     since_last = F.datediff(as_of_d, F.col("last_order_date"))
@@ -71,7 +78,7 @@ def user_behavior(orders: DataFrame, as_of: str, bad_statuses: Sequence[str],
          .when(since_last <= ACTIVE_WITHIN_DAYS, "active")
          .when(since_last <= DORMANT_WITHIN_DAYS, "dormant")
          .otherwise("churned").alias("user_lifecycle"),
-        F.col("_pref.k3").alias("preferred_category"),
+        "preferred_category",
         F.when(bad * 2 > n, "high").when(bad * 5 > n, "medium").otherwise("low").alias("risk_level"),
         _ts(run_ts or f"{as_of} 00:00:00").alias("create_time"),
     )
@@ -113,6 +120,12 @@ def sales_trend(orders: DataFrame, run_ts: str) -> DataFrame:
         F.count_if("_first_day").alias("new_users"),
         F.count_if("_returned").alias("retained"),
     )
+    return trend_rows(daily, run_ts)
+
+
+def trend_rows(daily: DataFrame, run_ts: str) -> DataFrame:
+    """The serving rows from one row per day: ``stat_date, total_orders, total_amount, _n``
+    (amounts counted), ``active_users, new_users, retained``."""
     previous_day = Window.orderBy(F.unix_date("stat_date")).rangeBetween(-1, -1)
     j = daily.select("*", F.max("active_users").over(previous_day).alias("prev_users"),
                      F.max("total_amount").over(previous_day).alias("prev_amount"))

@@ -4,7 +4,8 @@
     spark-submit -m laminar.plans.jobs extract  --date 2024-12-26 --users PATH --orders PATH
     spark-submit -m laminar.plans.jobs etl      --date 2024-12-26 [--root PATH] [--logins PATH] [--products PATH]
     spark-submit -m laminar.plans.jobs quality  --date 2024-12-26 [--as-of D] [--strict]
-    spark-submit -m laminar.plans.jobs serving  --as-of 2024-12-26
+    spark-submit -m laminar.plans.jobs serving  --as-of 2024-12-26      # full rebuild
+    spark-submit -m laminar.plans.jobs serving  --date 2024-12-26 --incremental
     spark-submit -m laminar.plans.jobs report   --date 2024-12-26
 
 ``--date`` defaults to yesterday. ``--root`` defaults to the shared folder named by
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from laminar.functions.parsing import resolve_run_date
 from laminar.functions.rules import REFERENCE_CATEGORY_RULES
 from laminar.operators import quality, reports
-from laminar.plans import catalog, daily
+from laminar.plans import catalog, daily, incremental
 from laminar.schemas import (DWD_ORDER_INFO, DWD_USER_INFO, DWS_PRODUCT_DAILY_STATS, DWS_USER_DAILY_STATS,
                              ODS_ORDER_INFO, ODS_USER_INFO, TableSpec)
 from laminar.session import build_session, storage_root
@@ -143,6 +144,7 @@ def main(argv: list[str] | None = None) -> int:
                        ("logins", "etl: logins (dt, user_id, login_count)"),
                        ("products", "etl: product dimension (product_id, category_id)")):
         p.add_argument(f"--{name}", default=None, help=f"{what}, a Parquet path")
+    p.add_argument("--incremental", action="store_true", help="serving: apply the day's detail to the serving state")
     p.add_argument("--strict", action="store_true", help="quality: WARN also fails the gate")
     args = p.parse_args(argv)
     owned = SparkSession.getActiveSession() is None
@@ -167,6 +169,8 @@ def main(argv: list[str] | None = None) -> int:
             except quality.QualityGateError as exc:
                 print(exc, file=sys.stderr)
                 return 1
+        elif args.job == "serving" and args.incremental:
+            print(incremental.run_serving(spark, root, day))
         elif args.job == "serving":
             print(daily.run_serving(spark, root, args.as_of or day))
         else:

@@ -474,6 +474,8 @@ def oracle_sql() -> dict[str, str]:
     out["dim_date"] = _dim_date_sql()
     out["ads_user_behavior"] = _ads_user_behavior_sql(r.ADS_AS_OF, r.ADS_BAD_STATUSES, r.ADS_RUN_TS)
     out["ads_sales_trend"] = _ads_sales_trend_sql(r.TREND_RUN_TS)
+    out["ads_user_behavior_incremental"] = out["ads_user_behavior"]
+    out["ads_sales_trend_incremental"] = out["ads_sales_trend"]
     out["ads_sales_trend_written"] = (
         "SELECT stat_date, total_orders, total_amount, new_users, active_users, retention_rate, growth_rate, year, month "
         f"FROM ({out['ads_sales_trend']})")
