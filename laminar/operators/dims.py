@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from laminar.functions.masking import hash_email, mask_phone
 from laminar.functions.rules import DEFAULT_CATEGORY, keyword_classifier
 from laminar.schemas import MONEY
+from laminar.session import new_area
+from laminar.sinks.partitioned import write_frame
 
 # Fixed values (ours): fixed-date public holidays as MM-dd, used when no holiday
 # calendar is supplied: New Year's Day, Labour Day, National Day.
@@ -90,6 +92,66 @@ def one_row_per_product(products: DataFrame) -> DataFrame:
     return products.groupBy("product_id").agg(F.min("category_id").alias("category_id"))
 
 
+def written_lookup(products: DataFrame) -> DataFrame:
+    """``one_row_per_product`` written under the shared root and read back.
+
+    With the aggregate in the join's own stage, no exchange stands directly below the join on
+    that side, and AQE cannot split a hot product's orders. Read from files, the dimension
+    has its own exchange and the split works.
+    """
+    lookup = one_row_per_product(products)
+    path = new_area(products.sparkSession, "product-lookup")
+    write_frame(lookup, path)
+    return products.sparkSession.read.schema(lookup.schema).parquet(path)
+
+
+def write_lookup_table(products: DataFrame, name: str, path: str, buckets: int | None = None) -> str:
+    """The deduplicated dimension as a catalog table bucketed by product: joins with it do not
+    shuffle it. There are as many buckets as shuffle partitions (fewer would be shuffled again).
+    """
+    spark = products.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # One task per bucket, so one file per bucket.
+    rows = one_row_per_product(products).repartition(buckets, "product_id")
+    (rows.write.bucketBy(buckets, "product_id").sortBy("product_id").mode("overwrite").option("path", path)
+     .saveAsTable(name))
+    return name
+
+
+HOT_SHARE = 0.001             # of the orders; fewer than 1 / HOT_SHARE products can hold more
+SPREAD = 1024                 # places for the rows of hot products and of none
+
+
+def hot_products(orders: DataFrame, share: float = HOT_SHARE) -> DataFrame:
+    """Products that hold more than ``share`` of the orders: fewer than ``1 / share`` rows."""
+    per_product = orders.where("product_id IS NOT NULL").groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+    least = int(share * orders.count())
+    return per_product.where(F.col("n") > least).select("product_id")
+
+
+def with_category(orders: DataFrame, lookup: DataFrame, share: float = HOT_SHARE, into: str = "_dim_category") -> DataFrame:
+    """``orders`` with the product's category (NULL if it has none), ``lookup`` being a bucketed
+    dimension that is not shuffled.
+
+    A join whose one side is bucketed cannot be split by AQE, so the rows of hot products are
+    taken out of it: they get their category from a broadcast of those products (fewer than
+    ``1 / share``), and in the join they carry a key of their own that matches nothing and
+    spreads them. Orders without a product are spread the same way.
+    """
+    spark = orders.sparkSession
+    hot = hot_products(orders, share).join(lookup, "product_id").select("product_id", F.col("category_id").alias("_hot"))
+    path = new_area(spark, "hot-products")
+    write_frame(hot, path)
+    hot = spark.read.schema(hot.schema).parquet(path)
+    tagged = orders.join(F.broadcast(hot), "product_id", "left")
+    apart = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*[F.col(c) for c in orders.columns]), F.lit(SPREAD)).cast("string"))
+    keyed = tagged.withColumn("_key", F.when(F.col("_hot").isNotNull() | F.col("product_id").isNull(), apart)
+                              .otherwise(F.col("product_id")))
+    dim = lookup.select(F.col("product_id").alias("_key"), F.col("category_id").alias("_cold"))
+    joined = keyed.join(dim, "_key", "left")
+    return joined.select(*orders.columns, F.coalesce("_hot", "_cold").alias(into))
+
+
 def sales_by_category(dwd_orders: DataFrame, products: DataFrame) -> DataFrame:
     """Order lines, amount and products per category, the category looked up in the
     product dimension ``(product_id, category_id)``; a product not in it is OTHER.

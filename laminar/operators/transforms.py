@@ -18,7 +18,7 @@ from laminar.functions.parsing import lenient_date, lenient_timestamp
 from laminar.functions.rules import (
     DEFAULT_CATEGORY, REFERENCE_CATEGORY_RULES, keyword_classifier, status_is_active, user_level,
 )
-from laminar.operators.dims import one_row_per_product
+from laminar.operators.dims import with_category, written_lookup
 from laminar.schemas import MONEY
 
 
@@ -42,19 +42,25 @@ def clean_users(ods: DataFrame) -> DataFrame:
 
 
 def clean_orders(ods: DataFrame, category_rules: Sequence[tuple[str, str]] = REFERENCE_CATEGORY_RULES,
-                 products: DataFrame | None = None) -> DataFrame:
+                 products: DataFrame | None = None, lookup: str | None = None) -> DataFrame:
     """Type the raw order record, classify its product, keep valid orders only.
 
     Valid: order id and user id present and a positive total. The category comes
-    from product-name keyword rules, or, when a product dimension
-    ``(product_id, category_id)`` is given, from a left lookup into it (unknown -> OTHER).
-    The lookup is a plain equi-join: the planner broadcasts the dimension only when
-    its measured size is under the broadcast threshold, and sort-merges otherwise.
+    from product-name keyword rules, or from a left lookup into a product dimension
+    (unknown -> OTHER), which is given either as rows ``products`` ``(product_id, category_id)``
+    or as the name ``lookup`` of a bucketed table (``dims.write_lookup_table``).
+    With ``products`` the lookup is a plain equi-join with the deduplicated rows, written
+    first: the planner broadcasts them only when their size is under the broadcast threshold,
+    and else sort-merges, splitting a hot product. With ``lookup`` the dimension is not
+    shuffled, and hot products go beside the join (``dims.with_category``).
     """
     discount = F.lit(0).cast(MONEY)
     src = ods
-    if products is not None:
-        dim = one_row_per_product(products).withColumnRenamed("category_id", "_dim_category")
+    if lookup is not None:
+        src = with_category(ods, ods.sparkSession.table(lookup))
+        category = F.coalesce(F.col("_dim_category"), F.lit(DEFAULT_CATEGORY))
+    elif products is not None:
+        dim = written_lookup(products).withColumnRenamed("category_id", "_dim_category")
         src = ods.join(dim, "product_id", "left")
         category = F.coalesce(F.col("_dim_category"), F.lit(DEFAULT_CATEGORY))
     else:

@@ -482,6 +482,7 @@ def oracle_sql() -> dict[str, str]:
     out["dim_product"] = "WITH " + _dim_product_cte() + "\nSELECT * FROM dim_product"
     out["product_category_sales"] = with_layers(PRODUCT_CATEGORY_SALES, [_dim_product_cte()])
     out["dwd_order_info_by_dimension"] = with_layers(DWD_BY_DIMENSION, [_dim_product_cte()])
+    out["dwd_order_info_by_lookup_table"] = out["dwd_order_info_by_dimension"]
     out["orders_by_region_orc"] = with_layers(ORDERS_BY_REGION)
     out["dim_user"] = with_layers(DIM_USER)
     out["geo_rollup"] = with_layers(GEO_ROLLUP)

@@ -271,6 +271,21 @@ def dwd_order_info_by_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_orders(wh.ods_order_info, products=dim.unionByName(dim))
 
 
+def dwd_order_info_by_lookup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the dimension kept as a table bucketed by product, which the join does
+    not shuffle. The table's catalog entry has a name of its own and goes with the query."""
+    from laminar.operators import dims
+    from laminar.operators.transforms import clean_orders
+    from laminar.session import new_area
+    wh = Warehouse(spark, sf_dir)
+    dim = dim_product(spark, sf_dir)
+    path = new_area(spark, "product-table")
+    name = dims.write_lookup_table(dim.unionByName(dim), "laminar_lookup_" + path.rsplit("-", 1)[-1], path)
+    out = clean_orders(wh.ods_order_info, lookup=name)
+    spark.sql(f"DROP TABLE {name}")             # external: its files stay for the query
+    return out
+
+
 def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.operators import dims
     return dims.latest_users(Warehouse(spark, sf_dir).dwd_user_info)
@@ -349,6 +364,7 @@ def queries() -> dict[str, Query]:
         "product_category_sales": product_category_sales,
         "dim_user": dim_user,
         "dwd_order_info_by_dimension": dwd_order_info_by_dimension,
+        "dwd_order_info_by_lookup_table": dwd_order_info_by_lookup_table,
         "orders_by_region_orc": orders_by_region_orc,
         "geo_rollup": geo_rollup,
         "fact_user_behavior": fact_user_behavior,

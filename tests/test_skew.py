@@ -26,6 +26,8 @@ FORCED_SKEW = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    # several map tasks even for this tiny input: a split is by map tasks
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
 }
 
 
@@ -89,6 +91,44 @@ def test_results_equal_under_forced_skew_split(spark, skewed):
     assert "skew=true" in plan          # the hot product's join partition was split
 
 
+def _above(plan, leaf, root):
+    """The operators of a plan between the first line with ``leaf`` and its ancestor ``root``."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if leaf in line)
+    depth, out = lines[at].index("- "), []
+    for line in reversed(lines[:at]):
+        here = line.index("- ") if "- " in line else 0
+        if here < depth:
+            out.append(line)
+            depth = here
+            if root in line:
+                return out
+    return []
+
+
+def test_bucketed_lookup_is_not_shuffled_and_hot_products_stay_out_of_its_join(spark, skewed, area):
+    dim = dims.product_dimension(table(spark, SF_SMALL, "part"), SCALE_CATEGORY_RULES)
+    known = dim.where("product_id % 10 <> 3")                       # some orders have an unknown product
+    orders = skewed.withColumn("product_id", F.when(F.col("quantity") == 7, None).otherwise(F.col("product_id")))
+    expected = _rows(clean_orders(orders, products=known))
+    with conf(spark, FORCED_SKEW):
+        name = dims.write_lookup_table(known.unionByName(known), "lookup_of_the_skew_test", area)
+        found = clean_orders(orders, lookup=name)
+        assert _rows(found) == expected
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        above = _above(plan, "Bucketed: true", "SortMergeJoin [_key")
+        assert above and not [line for line in above if "Exchange" in line]
+        keyed = spark.table(name)
+        hot = dims.with_category(orders, keyed, share=0.05)
+        assert _rows(hot) == _rows(dims.with_category(orders, keyed, share=1.0))
+        # The rows of one task of the join: the hot product's orders are dealt over all of them.
+        sides = dims.with_category(orders, keyed).groupBy(F.spark_partition_id().alias("p")).count()
+        counts = [r["count"] for r in sides.collect()]
+        assert max(counts) < 2 * sum(counts) / len(counts)
+    assert {r["product_id"] for r in dims.hot_products(orders, 0.05).collect()} == {HOT_PRODUCT}
+    spark.sql("DROP TABLE lookup_of_the_skew_test")
+
+
 def test_hot_user_totals_match_brute_force(spark, skewed):
     detail = clean_orders(skewed, SCALE_CATEGORY_RULES)
     hot = detail.where(F.col("user_id") == HOT_USER)
