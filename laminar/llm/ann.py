@@ -15,6 +15,8 @@ Scale
   ``block`` queries, every entry against every query, so no candidate is dropped.
 - A group returns each query's best ``top + 1`` entries, not its candidate pairs; the
   lists of all buckets and tables are merged per query.
+- A query that finds fewer than ``top + 1`` ids in its buckets (an outlier, or a small table)
+  is compared with every entry, in chunks and blocks of the same size.
 
 The hash family depends on the dimension and the seed alone, so nothing is fitted, and
 every row is indexed. The number of probes is a parameter; the tests measure recall
@@ -23,7 +25,7 @@ against brute force.
 Defined results: rows with a NULL id, or a vector that is NULL, zero, of another length
 than the most frequent one, or holds a NULL or non-finite component take no part.
 Repeated rows count once. A query's own id is never among its results; queries get all
-candidates found if there are fewer than ``top``. Ties go to the smaller id.
+candidates if there are fewer than ``top``. Ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -166,7 +168,10 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
     group = ["tab", "key", "chunk", "block"]
     both = (left.select(*group, F.lit(0).alias("side"), "gid", "vec")
             .unionByName(right.select(*group, F.lit(1).alias("side"), "gid", "vec")))
-    ordered = both.repartition(*group).sortWithinPartitions(*group, "side")
+
+    def dealt(rows):
+        return rows.repartition(*group).sortWithinPartitions(*group, "side")
+
     schema = pa.schema([("query", pa.int64()), ("entry", pa.int64()), ("score", pa.float64())])
 
     def rerank(batches):
@@ -208,8 +213,24 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
         if found[0]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(f)) for f in found], schema=schema)
 
-    scored = ordered.mapInArrow(rerank, "query bigint, entry bigint, score double")
-    merged = materialise(best_entries(scored, keep), "ann-merged")
+    layout = "query bigint, entry bigint, score double"
+    merged = materialise(best_entries(dealt(both).mapInArrow(rerank, layout), keep), "ann-merged")
+    ids = index.select(F.col("gid").alias("entry"), F.size("ids").alias("n"))
+    found = merged.join(ids, "entry").groupBy("query").agg(F.sum("n").alias("n"))
+    short = asked.select("gid").distinct().join(found, F.col("gid") == F.col("query"), "left")
+    short = materialise(short.where(F.coalesce("n", F.lit(0)) < keep).select("gid"), "ann-short")
+    n_short = short.count()
+    if n_short:
+        chunks, blocks = -(-index.count() // chunk), -(-n_short // block)
+        every = index.select(F.lit(-1).alias("tab"), F.lit(0).cast("bigint").alias("key"), "gid", "vec",
+                             F.pmod(salt, F.lit(chunks)).cast("int").alias("chunk"),
+                             F.pmod(salt, F.lit(blocks)).cast("int").alias("block"))
+        left = every.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        right = every.join(short, "gid").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+        both = (left.select(*group, F.lit(0).alias("side"), "gid", "vec")
+                .unionByName(right.select(*group, F.lit(1).alias("side"), "gid", "vec")))
+        exact = dealt(both).mapInArrow(rerank, layout)
+        merged = materialise(best_entries(merged.unionByName(exact.select(*merged.columns)), keep), "ann-merged")
     ids = merged.join(index.select(F.col("gid").alias("entry"), "ids"), "entry").select(
         "query", "score", F.explode("ids").alias("id"))
     nearest = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "id"))), 1, keep)

@@ -434,6 +434,20 @@ def test_search_edges(spark):
     assert ann.search(table.limit(0), lambda c: c % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_small_tables_return_all_candidates_at_production_parameters(spark, seed):
+    """Few vectors in many dimensions seldom share a probed bucket; none may be lost."""
+    rng = np.random.default_rng(seed)
+    rows = [(i, rng.standard_normal(64).tolist()) for i in range(0, 300, 50)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    want = brute_nearest(rows, 50)
+    got = defaultdict(list)
+    for r in ann.search(table, lambda c: c % 50 == 0, chunk=4, block=3).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["id"], round(r["score"], 9)))
+    assert {q: len(v) for q, v in got.items()} == {i: 5 for i, _ in rows}
+    assert all(got[q] == [(i, round(-s, 9)) for s, i in want[q][:5]] for q in got)
+
+
 def test_probes_come_in_order_of_estimated_success():
     place = np.array([0.1, 0.45, 0.8])
     got = ann.probe_buckets(place, 27)
