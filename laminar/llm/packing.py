@@ -153,7 +153,9 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
     """Steps that raise the sum of squared fills, until bins empty or none helps.
 
-    The donor is the least full bin that is not stuck. Its best step over all receivers at
+    The donor is the least full bin that is not stuck. When all are, those steps that landed
+    since may have made room, so every bin is tried again; the search ends when a whole round
+    lands no step. Its best step over all receivers at
     least as full (the largest gain in the receiver's fill) is taken: move one piece,
     exchange one for one, or two for one. A donor's different sizes add up to at most
     ``capacity``, so there are few of them and few pairs.
@@ -164,17 +166,21 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> l
     fill = np.array([int(lengths[b].sum()) for b in bins], dtype=np.int64)
     live, need = int((fill > 0).sum()), -(-int(lengths.sum()) // capacity)
     open_ = (fill > 0) & (fill < capacity)
-    stuck = np.zeros(len(bins), dtype=bool)
+    stuck, landed = np.zeros(len(bins), dtype=bool), False
     while live > need:
         donors = np.flatnonzero(open_ & ~stuck)
         if not len(donors):
-            break
+            if not landed:
+                break
+            stuck[:], landed = False, False
+            continue
         a = donors[np.argmin(fill[donors])]
         step = _best_step(a, where, lengths, fill, open_, capacity)
         if step is None:
             stuck[a] = True
             continue
         out, back, b = step
+        landed = True
         gain = int(lengths[out].sum()) - (0 if back is None else int(lengths[back]))
         where[out] = b
         if back is not None:
