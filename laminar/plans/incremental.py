@@ -26,6 +26,7 @@ from laminar.functions.parsing import resolve_run_date
 from laminar.operators import serving, serving_state as ss
 from laminar.schemas import ADS_SALES_TREND_ANALYSIS, ADS_USER_BEHAVIOR_ANALYSIS, DWD_ORDER_INFO
 from laminar.session import configure
+from laminar.sinks import files
 from laminar.sinks.partitioned import write_frame, write_table
 from laminar.sources.tables import read_days
 
@@ -50,18 +51,10 @@ class State:
     waiting: str | None = None
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def _manifests(spark: SparkSession, root: str) -> dict[int, str]:
     """Published manifests by version, by one listing of their folder."""
-    fs, p = _fs(spark, f"{root.rstrip('/')}/{FOLDER}/manifest")
-    if not fs.exists(p):
-        return {}
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return {int(n[1:-5]): f"{p.toString()}/{n}" for n in names if n.startswith("v") and n.endswith(".json")}
+    folder = f"{root.rstrip('/')}/{FOLDER}/manifest"
+    return {int(n[1:-5]): f"{folder}/{n}" for n in files.names(spark, folder) if n.startswith("v") and n.endswith(".json")}
 
 
 def load(spark: SparkSession, root: str, buckets: int = BUCKETS) -> State:
@@ -69,28 +62,14 @@ def load(spark: SparkSession, root: str, buckets: int = BUCKETS) -> State:
     found = _manifests(spark, root)
     if not found:
         return State(buckets=buckets)
-    fs, p = _fs(spark, found[max(found)])
-    stream = fs.open(p)
-    try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    m = json.loads(text)
+    m = json.loads(files.read_text(spark, found[max(found)]))
     return State(**m | {"bad_statuses": tuple(m["bad_statuses"]), "users": {int(k): v for k, v in m["users"].items()}})
 
 
 def _publish(spark: SparkSession, root: str, state: State) -> None:
-    """Write the manifest beside its place, then rename it there; a version is published once."""
-    base = f"{root.rstrip('/')}/{FOLDER}/manifest"
-    fs, part = _fs(spark, f"{base}/.{_token()}.part")
-    out = fs.create(part, False)
-    try:
-        out.write(bytearray(json.dumps(asdict(state)).encode()))
-    finally:
-        out.close()
-    _, place = _fs(spark, f"{base}/v{state.version:08d}.json")
-    if fs.exists(place) or not fs.rename(part, place):
-        fs.delete(part, False)
+    """A version is published once: of two updates that race, one is refused."""
+    place = f"{root.rstrip('/')}/{FOLDER}/manifest/v{state.version:08d}.json"
+    if not files.publish_text(spark, place, json.dumps(asdict(state))):
         raise StateError(f"another update has published version {state.version}; apply the days again")
 
 
@@ -218,7 +197,7 @@ def vacuum(spark: SparkSession, root: str) -> list[str]:
     if not state.version:
         return []
     base = f"{root.rstrip('/')}/{FOLDER}/data"
-    fs, data = _fs(spark, base)
+    fs, data = files.file_system(spark, base)
     needed = {p[p.index(f"/{FOLDER}/data/"):] for p in
               [*state.users.values(), *state.days.values(), state.trend, state.waiting] if p}
     gone = []
@@ -234,5 +213,5 @@ def vacuum(spark: SparkSession, root: str) -> list[str]:
                     fs.delete(leaf.getPath(), True)
     for version, path in _manifests(spark, root).items():
         if version != state.version:
-            fs.delete(_fs(spark, path)[1], False)
+            files.remove(spark, path)
     return gone

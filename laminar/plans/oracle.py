@@ -457,6 +457,12 @@ SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1
 FROM events
 GROUP BY date_trunc('day', ts), CAST(user_id AS VARCHAR)"""
 
+STREAM_ODS_LANDING = """
+SELECT strftime(ts, '%Y-%m-%d') AS dt, COUNT(*) AS orders, COUNT(DISTINCT event_id) AS order_ids,
+  CAST(SUM(CAST(value AS DECIMAL(10,2))) AS DECIMAL(20,2)) AS total_amount
+FROM events WHERE event_type = 'purchase'
+GROUP BY strftime(ts, '%Y-%m-%d')"""
+
 EVENT_LOG_DAILY = """
 SELECT strftime(ts, '%Y-%m-%d') AS dt, event_type, COUNT(*) AS events, COUNT(DISTINCT user_id) AS users,
   CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS total_value
@@ -490,5 +496,7 @@ def oracle_sql() -> dict[str, str]:
     out["masked_users"] = with_layers(MASKED_USERS)
     out["stream_dedup_ingest"] = STREAM_DEDUP_INGEST
     out["stream_user_daily"] = STREAM_USER_DAILY
+    out["stream_user_daily_bounded"] = STREAM_USER_DAILY
+    out["stream_ods_landing"] = STREAM_ODS_LANDING
     out["event_log_daily"] = EVENT_LOG_DAILY
     return out

@@ -329,6 +329,55 @@ def stream_user_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_versions(spark, run_daily_activity(spark, sf_dir))
 
 
+def _delivered(spark: SparkSession, sf_dir: str, copies: int, count: int) -> tuple[str, int]:
+    """The events delivered ``copies`` times over ``count`` shuffled files of a new folder, and
+    a byte bound that makes a batch of about a fifth of them."""
+    from pyspark.sql import functions as F
+
+    from laminar.session import new_area
+    from laminar.sinks import files
+    folder = new_area(spark, "collector")
+    events = Warehouse(spark, sf_dir).table("events")
+    again = events.withColumn("_copy", F.explode(F.array(*[F.lit(i) for i in range(copies)])))
+    place = F.pmod(F.xxhash64("event_id", "_copy"), F.lit(count)).cast("int")
+    dealt = again.repartitionByRange(count, place).drop("_copy")
+    dealt.write.parquet(f"{folder}/events.parquet")
+    return folder, max(1, files.size(spark, f"{folder}/events.parquet") // 5)
+
+
+def stream_ods_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases delivered twice over shuffled files, landed in the raw order table by
+    several batches; the last batch's commit is lost, so it runs again. Rows per day."""
+    from pyspark.sql import functions as F
+
+    from laminar.schemas import ODS_ORDER_INFO
+    from laminar.session import new_area
+    from laminar.sinks import files
+    from laminar.sources.tables import read_table
+    from laminar.sources.testdata import raw_orders_from_purchases
+    from laminar.streaming import landing
+    folder, bound = _delivered(spark, sf_dir, copies=2, count=10)
+    to = landing.Landing(new_area(spark, "stream-ods"), ODS_ORDER_INFO, "order_id")
+    done = landing.run_landing(spark, folder, raw_orders_from_purchases, to, max_bytes_per_trigger=bound)
+    commits = f"{to.area}/checkpoint/commits"
+    for name in (str(max(done)), f".{max(done)}.crc"):
+        files.remove(spark, f"{commits}/{name}")
+    landing.run_landing(spark, folder, raw_orders_from_purchases, to, max_bytes_per_trigger=bound)
+    landed = read_table(spark, to.root, ODS_ORDER_INFO)
+    return landed.groupBy("dt").agg(F.count(F.lit(1)).alias("orders"), F.countDistinct("order_id").alias("order_ids"),
+                                    F.sum("total_amount").cast("decimal(20,2)").alias("total_amount"))
+
+
+def stream_user_daily_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily activity from shuffled files in several bounded batches, late rows included."""
+    from laminar.session import new_area
+    from laminar.streaming.activity import merged_activity, run_bounded_activity
+    folder, bound = _delivered(spark, sf_dir, copies=1, count=8)
+    out = new_area(spark, "stream-bounded")
+    run_bounded_activity(spark, folder, out, max_bytes_per_trigger=bound)
+    return merged_activity(spark, out)
+
+
 def queries() -> dict[str, Query]:
     return {
         # raw, detail, summary
@@ -373,4 +422,6 @@ def queries() -> dict[str, Query]:
         # streaming
         "stream_dedup_ingest": stream_dedup_ingest,
         "stream_user_daily": stream_user_daily,
+        "stream_user_daily_bounded": stream_user_daily_bounded,
+        "stream_ods_landing": stream_ods_landing,
     }

@@ -136,3 +136,15 @@ def event_activity(events: DataFrame) -> DataFrame:
         "dt",
         "event_type",
     )
+
+
+def raw_orders_from_purchases(events: DataFrame) -> DataFrame:
+    """``purchase`` events as raw order records (contract columns, day) with their event time."""
+    ev = typed_events(events).where(F.col("event_type") == "purchase")
+    when, none = F.date_format("ts", TS_FORMAT), F.lit(None).cast("string")
+    amount = F.col("value").cast(MONEY)
+    return ev.select(
+        F.col("event_id").cast("string").alias("order_id"), F.col("user_id").cast("string").alias("user_id"),
+        none.alias("product_id"), none.alias("product_name"), F.lit(1).alias("quantity"), amount.alias("unit_price"),
+        amount.alias("total_amount"), F.lit("completed").alias("order_status"), none.alias("payment_method"),
+        when.alias("order_time"), none.alias("payment_time"), when.alias("create_time"), "dt", F.col("ts").alias("event_time"))

@@ -9,10 +9,14 @@ the newest version of each (window, user).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from laminar.session import new_area, path_exists
+from laminar.sinks.partitioned import write_frame
+from laminar.streaming.ledger import Ledger
 from laminar.streaming.source import event_stream, finish, prefer_rocksdb_state
 
 VALUE = "decimal(12,2)"
@@ -60,6 +64,43 @@ def run_daily_activity(spark: SparkSession, folder: str, out: str | None = None,
     return f"{area}/data"
 
 
+def run_bounded_activity(spark: SparkSession, folder: str, out: str, table: str = "events.parquet",
+                         max_bytes_per_trigger: int = 1 << 30, delay: dt.timedelta = dt.timedelta(hours=1)) -> dict[int, dict]:
+    """Daily activity by batches of bounded size, with no row dropped.
+
+    The measures add up, so a batch writes its partial sums to a folder of its own
+    (overwritten if it runs again) and ``merged_activity`` adds the batches. No state is
+    kept, files may come in any order, and a late row counts in its window like any other;
+    late rows (behind the largest event time of earlier batches less ``delay``) are also
+    kept in ``out/late``. Returns the ledger of the batches.
+    """
+    ledger = Ledger(spark, f"{out}/ledger")
+
+    def write_batch(batch: DataFrame, number: int) -> None:
+        events = batch.observe(seen := Observation(), F.max("ts").alias("t"))
+        rows = write_frame(daily_activity(events), f"{out}/data/batch_id={number}")
+        latest, late = ledger.latest_time(number), 0
+        if latest is not None:
+            late = write_frame(batch.where(F.col("ts") < F.lit(latest - delay)), f"{out}/late/batch_id={number}")
+        ledger.write(number, done=True, rows=rows, late=late, latest=ledger.later(number, seen.get["t"] if rows else None))
+
+    stream = event_stream(spark, folder, table, max_bytes_per_trigger)
+    query = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", f"{out}/_checkpoint")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return ledger.batches()
+
+
+def merged_activity(spark: SparkSession, out: str) -> DataFrame:
+    """The sum of all batches' partial sums per (window, user)."""
+    if not path_exists(spark, f"{out}/data"):
+        return spark.createDataFrame([], ACTIVITY_SCHEMA)
+    parts = spark.read.schema(ACTIVITY_SCHEMA).parquet(f"{out}/data")
+    return parts.groupBy("window_start", "window_end", "user_id").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("event_count", "view_count", "purchase_count")],
+        F.sum("total_value").cast("decimal(22,2)").alias("total_value"))
+
+
 def latest_versions(spark: SparkSession, path: str) -> DataFrame:
     """Newest emitted version of each (window, user): max over (batch_id, measures)."""
     if not path_exists(spark, path):         # no batch ran

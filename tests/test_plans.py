@@ -35,7 +35,8 @@ ORDER_LINEAGE_READS = {
 EVENT_READS = {"login_count": 1, "fact_user_behavior": 1, "event_log_daily": 0}
 
 # queries whose work is in the jobs they run; their plan only reads the result
-WRITTEN_BY_JOBS = ("etl_roundtrip", "stream_dedup_ingest", "stream_user_daily", "ads_user_behavior_incremental",
+WRITTEN_BY_JOBS = ("etl_roundtrip", "stream_dedup_ingest", "stream_user_daily", "stream_user_daily_bounded",
+                   "stream_ods_landing", "ads_user_behavior_incremental",
                    "ads_sales_trend_incremental")
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
