@@ -24,7 +24,8 @@ from laminar.schemas import (
     DWD_ORDER_INFO, DWD_USER_INFO, DWS_PRODUCT_DAILY_STATS, DWS_USER_DAILY_STATS, TableSpec,
 )
 from laminar.session import configure
-from laminar.sinks.partitioned import write_table
+from laminar.sinks.partitioned import write_table as plain_write
+from laminar.sinks.publish import publish_day
 from laminar.sources.tables import read_days
 
 
@@ -62,10 +63,22 @@ def _concurrently(*jobs):
         return [f.result() for f in [pool.submit(j) for j in jobs]]
 
 
+def _writer(publish: bool, target: dict):
+    if not publish:
+        return plain_write
+    if "day" not in target:
+        raise ValueError("only a single day can be published")
+    return publish_day
+
+
 def run(spark: SparkSession, root: str, days: Days,
         category_rules: Sequence[tuple[str, str]] = REFERENCE_CATEGORY_RULES,
-        logins: DataFrame | None = None, products: DataFrame | None = None) -> dict[str, int]:
-    """Run the detail and summary layers for ``days``; returns rows written per table."""
+        logins: DataFrame | None = None, products: DataFrame | None = None, publish: bool = False) -> dict[str, int]:
+    """Run the detail and summary layers for ``days``; returns rows written per table.
+
+    With ``publish`` (one day only) each table's day is written apart and switched to when it
+    is complete (``sinks.publish``), so a failed run leaves the day as it was.
+    """
     configure(spark)
     from laminar.schemas import ODS_ORDER_INFO, ODS_USER_INFO
     # One day replaces that day's folder; a range also clears its days that now produce no rows.
@@ -73,6 +86,7 @@ def run(spark: SparkSession, root: str, days: Days,
         target = {"day": days.first}
     else:
         target = {"day_range": (days.first, days.last)}
+    write_table = _writer(publish, target)
     users, orders = _concurrently(
         lambda: write_table(clean_users(_read(spark, root, ODS_USER_INFO, days)), root, DWD_USER_INFO, **target),
         lambda: write_table(clean_orders(_read(spark, root, ODS_ORDER_INFO, days), category_rules, products),
@@ -108,10 +122,10 @@ def run_serving(spark: SparkSession, root: str, as_of: str, bad_statuses: Sequen
     run_ts = run_ts or f"{as_of} 00:00:00"
     detail = read_days(spark, root, DWD_ORDER_INFO, None, as_of)
     behaviour, trend, dates = _concurrently(
-        lambda: write_table(serving.user_behavior(detail, as_of, bad_statuses, run_ts), root,
+        lambda: plain_write(serving.user_behavior(detail, as_of, bad_statuses, run_ts), root,
                             ADS_USER_BEHAVIOR_ANALYSIS),
-        lambda: write_table(serving.sales_trend(detail, run_ts), root, ADS_SALES_TREND_ANALYSIS,
+        lambda: plain_write(serving.sales_trend(detail, run_ts), root, ADS_SALES_TREND_ANALYSIS,
                             dynamic=False),
-        lambda: write_table(dims.date_dimension(dims.date_span(detail, "order_date"), holidays), root, DIM_DATE))
+        lambda: plain_write(dims.date_dimension(dims.date_span(detail, "order_date"), holidays), root, DIM_DATE))
     return {ADS_USER_BEHAVIOR_ANALYSIS.name: behaviour, ADS_SALES_TREND_ANALYSIS.name: trend,
             DIM_DATE.name: dates}

@@ -65,9 +65,10 @@ def day_of_files(path: str) -> Source:
 
 
 def run_etl(spark: SparkSession, root: str, day: str, logins: DataFrame | None = None,
-            products: DataFrame | None = None) -> dict[str, int]:
+            products: DataFrame | None = None, publish: bool = False) -> dict[str, int]:
     """The daily run, with the day registered in the catalog tables that exist."""
-    written = daily.run_daily(spark, root, day, category_rules=REFERENCE_CATEGORY_RULES, logins=logins, products=products)
+    written = daily.run_daily(spark, root, day, category_rules=REFERENCE_CATEGORY_RULES, logins=logins, products=products,
+                              publish=publish)
     catalog.register(spark, CHECKED_SPECS, day)
     return written
 
@@ -145,6 +146,7 @@ def main(argv: list[str] | None = None) -> int:
                        ("products", "etl: product dimension (product_id, category_id)")):
         p.add_argument(f"--{name}", default=None, help=f"{what}, a Parquet path")
     p.add_argument("--incremental", action="store_true", help="serving: apply the day's detail to the serving state")
+    p.add_argument("--publish", action="store_true", help="etl: write the day apart and switch to it when complete")
     p.add_argument("--strict", action="store_true", help="quality: WARN also fails the gate")
     args = p.parse_args(argv)
     owned = SparkSession.getActiveSession() is None
@@ -159,7 +161,7 @@ def main(argv: list[str] | None = None) -> int:
             print(extract(spark, root, day, {n: day_of_files(path) for n, path in given.items() if path}))
         elif args.job == "etl":
             logins, products = (spark.read.parquet(x) if x else None for x in (args.logins, args.products))
-            print(run_etl(spark, root, day, logins, products))
+            print(run_etl(spark, root, day, logins, products, args.publish))
             run_report(spark, root, day).orderBy("layer", "table_name").show(truncate=False)
         elif args.job == "quality":
             rep = run_quality(spark, root, day, args.as_of, args.min_date)

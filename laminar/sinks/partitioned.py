@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from laminar.schemas import TableSpec, conform
-from laminar.sources.tables import table_path
+from laminar.sources.tables import pointers, table_path
 
 
 def write_frame(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
@@ -138,6 +138,12 @@ def write_table(df: DataFrame, root: str, spec: TableSpec, day: str | None = Non
     """
     out = conform(df, spec)
     path = table_path(root, spec)
+    if pointers(df.sparkSession, path):
+        # A plain write would lie unread beside the published version of its day.
+        if day is None:
+            raise ValueError(f"{spec.qualified} has published days: publish each day, or retire them first")
+        from laminar.sinks.publish import publish_day
+        return publish_day(out, root, spec, day, **kwargs)
     if spec.partition_by != ("dt",) or (day is None and day_range is None):
         return write_frame(out, path, spec.partition_by, **kwargs)
     if day is not None:
