@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def hash_email(c: Column | str, salt: str = "") -> Column:
+def hash_email(c: Column | str, salt: str) -> Column:
     """SHA-256 hex digest of salt and address (NULL stays NULL). Without a secret salt the
     digest of a guessed address can be compared, so give one outside tests."""
     return F.sha2(F.concat(F.lit(salt), F.col(c) if isinstance(c, str) else c), 256)

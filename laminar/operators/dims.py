@@ -247,8 +247,9 @@ def behavior_fact(events: DataFrame) -> DataFrame:
     )
 
 
-def masked_users(dwd_users: DataFrame, salt: str = "") -> DataFrame:
-    """Users with the e-mail replaced by its SHA-256 and the phone masked to its last 4."""
+def masked_users(dwd_users: DataFrame, salt: str) -> DataFrame:
+    """Users with the e-mail replaced by its SHA-256 and the phone masked to its last 4.
+    There is no default salt: without a secret one the digest of a guessed address is known."""
     return dwd_users.select(
         "user_id", "username",
         hash_email("email", salt).alias("email_sha256"),

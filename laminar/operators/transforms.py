@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laminar.functions.parsing import lenient_date, lenient_timestamp
@@ -41,6 +41,11 @@ def clean_users(ods: DataFrame) -> DataFrame:
     ).where(F.col("user_id").isNotNull())
 
 
+def valid_order() -> Column:
+    """Order id and user id present and a positive total."""
+    return F.col("order_id").isNotNull() & F.col("user_id").isNotNull() & (F.col("total_amount") > 0)
+
+
 def clean_orders(ods: DataFrame, category_rules: Sequence[tuple[str, str]] = REFERENCE_CATEGORY_RULES,
                  products: DataFrame | None = None, lookup: str | None = None) -> DataFrame:
     """Type the raw order record, classify its product, keep valid orders only.
@@ -76,4 +81,4 @@ def clean_orders(ods: DataFrame, category_rules: Sequence[tuple[str, str]] = REF
         lenient_date("payment_time").alias("payment_date"),
         lenient_timestamp("create_time").alias("create_time"),
         *_partitions(ods),
-    ).where(F.col("order_id").isNotNull() & F.col("user_id").isNotNull() & (F.col("total_amount") > 0))
+    ).where(valid_order())

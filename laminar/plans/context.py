@@ -7,9 +7,11 @@ is a lazy DataFrame, and Catalyst plans and prunes the combined lineage.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from laminar.functions.rules import SCALE_CATEGORY_RULES
 from laminar.operators.aggregates import product_daily_stats, user_daily_stats
@@ -50,15 +52,22 @@ class Warehouse:
     def dws_product_daily_stats(self) -> DataFrame:
         return product_daily_stats(self.dwd_order_info)
 
-    def staged(self) -> "Warehouse":
+    def staged(self, columns: Sequence[str] | None = None) -> "Warehouse":
         """This warehouse with its raw orders written once under the storage root and read
         back. Reports that check raw, detail and both summaries then read the order lineage
-        (a join of the largest tables) once, and a lost executor restarts from the files."""
+        (a join of the largest tables) once, and a lost executor restarts from the files.
+
+        With ``columns`` only these are written (and read from the sources); the others are
+        NULL in the staged orders, for reports that do not look at them."""
         from laminar.sinks.partitioned import write_frame
         path = new_area(self.spark, "staged-orders")
-        write_frame(self.ods_order_info, path)
+        orders = self.ods_order_info
+        chosen = orders if columns is None else orders.select(*columns)
+        write_frame(chosen, path)
+        back = self.spark.read.schema(chosen.schema).parquet(path)
         out = Warehouse(self.spark, self.sf_dir)
-        out.__dict__["ods_order_info"] = self.spark.read.schema(self.ods_order_info.schema).parquet(path)
+        out.__dict__["ods_order_info"] = back.select(*[
+            f.name if f.name in chosen.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in orders.schema])
         return out
 
     def layers(self) -> dict[str, DataFrame]:

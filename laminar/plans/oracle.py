@@ -439,7 +439,7 @@ SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type, ts AS event_ts
 FROM events"""
 
 MASKED_USERS = """
-SELECT user_id, username, sha256(email) AS email_sha256,
+SELECT user_id, username, sha256('{salt}' || email) AS email_sha256,
   CASE WHEN length(phone) > 4 THEN repeat('*', length(phone) - 4) || right(phone, 4)
        ELSE repeat('*', length(phone)) END AS phone_masked,
   status, is_active, user_level, dt
@@ -493,7 +493,7 @@ def oracle_sql() -> dict[str, str]:
     out["dim_user"] = with_layers(DIM_USER)
     out["geo_rollup"] = with_layers(GEO_ROLLUP)
     out["fact_user_behavior"] = FACT_USER_BEHAVIOR
-    out["masked_users"] = with_layers(MASKED_USERS)
+    out["masked_users"] = with_layers(MASKED_USERS.replace("{salt}", r.TEST_SALT))
     out["stream_dedup_ingest"] = STREAM_DEDUP_INGEST
     out["stream_user_daily"] = STREAM_USER_DAILY
     out["stream_user_daily_bounded"] = STREAM_USER_DAILY

@@ -37,7 +37,7 @@ def preview_users_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh = Warehouse(spark, sf_dir).staged()
+    wh = Warehouse(spark, sf_dir).staged(("dt", "order_id", "user_id", "product_id", "product_name", "total_amount"))
     return reports.layer_row_counts({
         "dwd_user_info": ("DWD", wh.dwd_user_info),
         "dwd_order_info": ("DWD", wh.dwd_order_info),
@@ -71,8 +71,8 @@ def dq_user_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_order_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.operators import quality
-    wh = Warehouse(spark, sf_dir).staged()
-    return quality.order_retention(wh.ods_order_info, wh.dwd_order_info)
+    from laminar.operators.transforms import valid_order
+    return quality.order_retention_one_pass(Warehouse(spark, sf_dir).ods_order_info, valid_order())
 
 
 def dq_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +119,9 @@ def etl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     wh = Warehouse(spark, sf_dir)
     root = new_area(spark, "roundtrip")
-    catalog.setup(spark, root, replace=True)
+    # Databases of this run alone: the session's own tables stay as they are.
+    mine = f"roundtrip_{root.rsplit('-', 1)[-1]}_"
+    catalog.create_tables(spark, root, mine)
     daily._concurrently(lambda: land(wh.ods_user_info, root, ODS_USER_INFO),
                         lambda: land(wh.ods_order_info, root, ODS_ORDER_INFO))
     daily.run(spark, root, daily.Days.every(), SCALE_CATEGORY_RULES)
@@ -127,14 +129,24 @@ def etl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     if latest is not None:
         daily.run_daily(spark, root, latest, category_rules=SCALE_CATEGORY_RULES)
     written = (DWD_USER_INFO, DWD_ORDER_INFO, DWS_USER_DAILY_STATS, DWS_PRODUCT_DAILY_STATS)
-    catalog.register(spark, written)
-    back = {spec.name: spark.table(spec.qualified) for spec in written}
-    return reports.layer_row_counts({
+    catalog.register(spark, written, prefix=mine)
+    back = {spec.name: spark.table(mine + spec.qualified) for spec in written}
+    counts = reports.layer_row_counts({
         "dwd_user_info": ("DWD", back["dwd_user_info"]),
         "dwd_order_info": ("DWD", back["dwd_order_info"]),
         "dws_user_daily_stats": ("DWS", back["dws_user_daily_stats"]),
         "dws_product_daily_stats": ("DWS", back["dws_product_daily_stats"]),
     })
+    found = materialised_counts(counts, root)
+    catalog.drop_databases(spark, mine)           # the tables are external: no file goes with them
+    return found
+
+
+def materialised_counts(counts: DataFrame, root: str) -> DataFrame:
+    """Counts written and read back, so that they outlive the catalog entries they came from."""
+    from laminar.sinks.partitioned import write_frame
+    write_frame(counts, f"{root}/counts")
+    return counts.sparkSession.read.schema(counts.schema).parquet(f"{root}/counts")
 
 
 # ---------------------------------------------------------------- tier B: serving and date dimension
@@ -219,7 +231,8 @@ def ads_sales_trend_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.session import new_area
     from laminar.sinks.partitioned import write_table
     from laminar.sources.tables import read_table
-    orders, root = Warehouse(spark, sf_dir).staged().dwd_order_info, new_area(spark, "trend")
+    staged = Warehouse(spark, sf_dir).staged(("dt", "order_id", "user_id", "order_time", "total_amount"))
+    orders, root = staged.dwd_order_info, new_area(spark, "trend")
     later = orders.withColumn("order_date", F.date_add("order_date", 366))
     for o in (later, orders):
         write_table(serving.sales_trend(o, TREND_RUN_TS), root, SPEC, dynamic=False)
@@ -303,9 +316,12 @@ def fact_user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.behavior_fact(Warehouse(spark, sf_dir).table("events"))
 
 
+TEST_SALT = "a salt for the driver tables only"
+
+
 def masked_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.operators import dims
-    return dims.masked_users(Warehouse(spark, sf_dir).dwd_user_info)
+    return dims.masked_users(Warehouse(spark, sf_dir).dwd_user_info, TEST_SALT)
 
 
 def event_log_daily(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 from laminar.plans import registry
 from laminar.plans.context import Warehouse
+from laminar.session import storage_root
 
 # query -> how many times it may read lineitem (each read is the whole order lineage)
 ORDER_LINEAGE_READS = {
@@ -23,11 +24,11 @@ ORDER_LINEAGE_READS = {
     "ads_sales_trend": 1,
     "geo_rollup": 1,
     "dq_accuracy": 1,
+    "dq_order_retention": 1,
     # these read the orders that ``Warehouse.staged`` has written from one read of the lineage
     "dq_completeness": 0,
     "dq_findings": 0,
     "dq_report": 0,
-    "dq_order_retention": 0,
     "layer_row_counts": 0,
 }
 
@@ -61,6 +62,15 @@ def test_staging_reads_the_order_lineage_once(spark):
     assert _reads(plan)["lineitem.parquet"] == 1
 
 
+def test_row_counts_stage_only_the_columns_they_count(spark):
+    """The staged orders hold six columns, and the sources are read for these alone."""
+    plan = _plan(spark, "layer_row_counts")
+    staged = set(re.findall(r"staged-orders-[0-9a-f]+", plan))
+    assert len(staged) == 1
+    written = spark.read.parquet(f"{storage_root(spark)}/laminar/{staged.pop()}")
+    assert sorted(written.columns) == ["dt", "order_id", "product_id", "product_name", "total_amount", "user_id"]
+
+
 @pytest.mark.parametrize("name,limit", sorted(EVENT_READS.items()))
 def test_event_read_count(spark, name, limit):
     assert _reads(_plan(spark, name))["events.parquet"] == limit
