@@ -72,7 +72,9 @@ def make_encoder(vocabulary: str, cache_size: int = 300_000):
     hidden = [b for b in range(256) if b not in shown]
     table = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
     letters = [table[b] for b in range(256)]
+    # Two generations: a full one becomes the older, from which chunks met again come back.
     chunks: dict[bytes, bytes] = {}
+    older: dict[bytes, bytes] = {}
     parts: dict[str, bytes] = {}
 
     def part(p: str) -> bytes:
@@ -84,7 +86,13 @@ def make_encoder(vocabulary: str, cache_size: int = 300_000):
 
     def chunk(raw: bytes) -> bytes:
         if len(chunks) > cache_size:
+            older.clear()
+            older.update(chunks)
             chunks.clear()
+        known = older.get(raw)
+        if known is not None:
+            chunks[raw] = known
+            return known
         text = raw.decode()
         if plain(text) and unicodedata.is_normalized("NFC", text):
             out = b"".join([parts.get(p) or part(p) for p in split(text.lower())])
