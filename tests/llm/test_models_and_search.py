@@ -372,6 +372,20 @@ def test_templates_generalise_merge_and_reject(spark):
     assert {r["template"] for r in url_filters.judge(pages).collect()} == {"/de|en/*"}
 
 
+def test_a_blocked_section_does_not_block_its_neighbours(spark):
+    """Sixty sections beside one blocked one; a host of three urls; many alike sections."""
+    urls = [f"http://big.net/sec{chr(97 + i // 26)}{chr(97 + i % 26)}/p{j}x" for i in range(60) for j in range(10)]
+    clean = len(urls)
+    urls += [f"http://big.net/es/p{j}x" for j in range(10)] + ["http://b.net/es/x", "http://b.net/about/x", "http://b.net/help/x"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    rows = {r["id"]: r for r in url_filters.judge(pages).collect()}
+    assert len(rows) == len(urls)
+    assert {rows[i]["verdict"] for i in range(clean)} == {"allow"}
+    assert {rows[i]["verdict"] for i in range(clean, clean + 11)} == {"block"}
+    assert rows[clean + 11]["verdict"] == rows[clean + 12]["verdict"] == "allow"
+    assert {rows[i]["template"] for i in range(clean)} == {"/secaa|secab|secac|secad|secae|secaf|secag|secah|+52/*"}
+
+
 def test_templates_reach_below_the_third_segment(spark):
     rules = (url_filters.Rule("block", "h.org", "/a/b/c/ads/1"), url_filters.Rule("allow", "h.org", "/a/b/c/news/1"))
     urls = [f"http://h.org/a/b/c/{kind}/{i}" for kind in ("ads", "news") for i in range(100, 300)] + ["http://k.org/" + "z/" * 50] * 6
