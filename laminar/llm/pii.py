@@ -1,32 +1,35 @@
 """Personal data: base patterns plus information-theoretic sanitisation.
 
 Base spans (email, ip, card, phone) are found by regular expressions. They are the
-protected entities. A term near an entity's spans may reveal it as well: over the whole
-corpus, with documents as events,
+protected entities. Any other term of a text that holds an entity may reveal it as well.
+With the different texts of the corpus as events (copies of one text are one event),
 
     IC(c)    = log2(N / n(c))                     information of entity c
     PMI(c;t) = log2(n(c,t) N / (n(c) n(t)))       what term t tells about c
     d(c;t)   = PMI(c;t) / IC(c)                   share of c's information, at most 1
 
-where n(t) counts the documents with term t anywhere and n(c,t) those with t in a
-context window of c. With support from at least ``support`` different texts, a term with
-d >= ``remove`` is removed and one with d >= ``generalise`` is replaced by a class,
-wherever it stands in a window of that entity. Support counts different texts, so the
-copies of one text are no evidence of their own.
+where n(c), n(t) and n(c,t) count the texts with the entity, the term, and both anywhere
+in them. All four counts leave one text out (1 is taken from each): what the other texts
+tell is the evidence, as in its own text every word comes with the entity. So a pair
+needs two texts and no further support. A term with d >= ``remove`` is removed and one
+with d >= ``generalise`` is replaced by its class (``<CODE>`` with a digit, ``<NAME>`` with
+a capital first, else ``<WORD>``), at each of its places in every text with that entity.
 
 All of it is DataFrame expressions. Matches are cut from the row by ``split`` and
-``regexp_extract_all``, and positions (code points) are sums of piece lengths. Windows
-reach to the neighbouring span at most, so the context rows are linear in the text. The
-statistics are aggregates combined before the shuffle; the flagged terms join back on
-(entity, term), a sort-merge join that adaptive execution splits when one entity is hot.
+``regexp_extract_all``, and positions (code points) are sums of piece lengths. Counts are
+combined before the shuffle. As n(c,t) is at most n(c) and n(t), a pair can reach
+``generalise`` only if log2(N / max(n(c), n(t))) does: other pairs, and entities or terms of
+one text, are left out before entities meet terms (an exact bound). They meet by a join on
+the text, so no row holds all pairs of a text. Counts and flagged terms are written before
+they are joined, so that adaptive execution can split a hot entity, term or copied text.
 
 Java's matcher recurses on repeated groups, so the patterns below are possessive forms
 that find the same spans without recursion or quadratic retries.
 
 Defined results: a NULL or empty text has no spans. A NULL id is a row like any other.
-Repeated rows count as often as they come and each gets the spans. Other columns are
-kept by ``sanitise`` and ignored by ``find``; their names may clash with nothing here,
-as the working columns start with an underscore.
+Repeated rows and copies count once, and each gets the spans. A term that overlaps a base span
+is not added. Other columns are kept by ``sanitise`` and ignored by ``find``; their names may
+clash with nothing here, as the working columns start with an underscore.
 """
 
 from __future__ import annotations
@@ -46,8 +49,8 @@ PATTERNS = {
 IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.|\z)){4}"
 TERM = r"[\p{L}\p{N}]+"
 LABELS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>"}
-WINDOW = 80                    # code points on either side of a span
 SPAN = "array<struct<start:bigint,end:bigint,value:string>>"
+PLACES = "array<struct<start:bigint,end:bigint,action:string,label:string>>"
 
 
 def _spans(text: Column, pattern: str) -> Column:
@@ -108,45 +111,25 @@ def _validator(kind: str):
     return lambda s: _valid(kind, s["value"])
 
 
-def _terms(context: Column, at: Column, cut_left: Column, cut_right: Column, entity: Column) -> Column:
-    """Terms of a context with their places in the text; a term that the window cuts is left out."""
-    size = F.length(context)
-    inside = F.filter(_spans(context, TERM), lambda s: s["value"].rlike(r"\p{L}") & ~(
-        cut_left & (s["start"] == 0)) & ~(cut_right & (s["end"] == size)))
-    return F.transform(inside, lambda s: F.struct(entity.alias("entity"), F.lower(s["value"]).alias("term"),
-                                                  (at + s["start"]).alias("start"), (at + s["end"]).alias("end")))
+def terms(text: Column) -> Column:
+    """The different terms of a text outside its addresses, lower-cased one by one (the other
+    kinds of spans hold no letters). Terms without a letter are still among them."""
+    rest = F.when(text.contains("@"), F.regexp_replace(text, PATTERNS["email"], " ")).otherwise(text)
+    return F.array_distinct(F.transform(F.array_distinct(F.split(rest, r"[^\p{L}\p{N}]+")), F.lower))
 
 
-def contexts(text: Column, marks: Column, window: int = WINDOW) -> Column:
-    """Terms around every mark (sorted by start), up to the neighbouring marks."""
-    size = F.length(text).cast("bigint")
-
-    def of(m, k):
-        before = F.coalesce(F.get(marks, k - 1)["end"], F.lit(0).cast("bigint"))
-        after = F.coalesce(F.get(marks, k + 1)["start"], size)
-        lo = F.least(F.greatest(before, m["start"] - window), m["start"])
-        hi = F.greatest(F.least(after, m["end"] + window), m["end"])
-        left = F.substr(text, (lo + 1).cast("int"), (m["start"] - lo).cast("int"))
-        right = F.substr(text, (m["end"] + 1).cast("int"), (hi - m["end"]).cast("int"))
-        # A window that stops before the neighbouring mark may stop inside a term.
-        return F.concat(_terms(left, lo, lo > before, F.lit(False), m["entity"]),
-                        _terms(right, m["end"], F.lit(False), hi < after, m["entity"]))
-
-    return F.flatten(F.transform(marks, of))
-
-
-def _marked(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """One row per document: its key, base spans per kind and context terms (no text)."""
+def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: its key and base spans per kind; with spans, also its text and marks."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_text"))
     spans = base_spans(F.col("_text"))
     found = rows.select("_id", "_text", *[spans[k].alias(f"_{k}") for k in KINDS])
     marks = F.array_sort(F.concat(*[F.transform(f"_{k}", _mark(k)) for k in KINDS]))
     plain = {k: F.transform(f"_{k}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS}
-    near = F.transform(F.array(marks), lambda m: contexts(F.col("_text"), m, window)).getItem(0)
     some = sum((F.size(f"_{k}") for k in KINDS), F.lit(0)) > 0
     return found.select("_id", row_key(F.col("_id"), F.col("_text")).alias("_key"), F.xxhash64("_text").alias("_of"),
-                        *[plain[k].alias(f"_{k}") for k in KINDS], F.when(some, near).alias("_near"))
+                        *[plain[k].alias(f"_{k}") for k in KINDS], F.when(some, marks).alias("_marks"),
+                        F.when(some, F.col("_text")).alias("_text"))
 
 
 def _mark(kind: str):
@@ -158,48 +141,97 @@ def row_key(id_: Column, text: Column) -> Column:
     return F.struct(F.coalesce(id_.cast("string"), F.lit("")).alias("id"), F.xxhash64(text).alias("h"))
 
 
-def flagged_terms(docs: DataFrame, marked: DataFrame, text_col: str = "text", support: int = 3,
-                  generalise: float = 0.6, remove: float = 0.8) -> DataFrame:
+def _holders(marked: DataFrame) -> DataFrame:
+    """One row per different text with an entity: its hash, text and marks."""
+    return marked.where("_marks IS NOT NULL").select("_of", "_text", "_marks").dropDuplicates(["_of"])
+
+
+def _letters(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("term").rlike(r"\p{L}"))
+
+
+def cooccurrences(docs: DataFrame, marked: DataFrame, holders: DataFrame, text_col: str = "text",
+                  generalise: float = 0.6) -> DataFrame:
+    """(_of, entity, term, n_c, n_t, total) of every text's pairs that may reach ``generalise``."""
+    total = marked.select(F.countDistinct("_of")).first()[0]
+    held = holders.select("_of", F.explode(F.array_distinct(F.transform("_marks", lambda m: m["entity"]))).alias("entity"))
+    of_entity = materialise(held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
+                            .where((F.col("n_c") >= 2) & (F.col("n_c") < total)), "pii-entities")
+    most = of_entity.agg(F.max("n_c")).first()[0] or 1
+    # The bound below, solved for n(t) with the most frequent entity.
+    limit = 2 + 1.000001 * (max(total - 1, 0) ** (1 - generalise)) * ((most - 1) ** generalise)
+    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    texts = texts.select(F.xxhash64("_text").alias("_of"), "_text").dropDuplicates(["_of"])
+    of_term = materialise(_letters(texts.select(F.explode(terms(F.col("_text"))).alias("term"))).groupBy("term")
+                          .agg(F.count(F.lit(1)).alias("n_t")).where((F.col("n_t") >= 2) & (F.col("n_t") <= limit)),
+                          "pii-term-counts")
+    said = _letters(holders.select("_of", F.explode(terms(F.col("_text"))).alias("term")))
+    others = F.lit(float(max(total - 1, 1)))
+    reach = (F.log2(others / (F.greatest("n_c", "n_t") - 1))
+             >= (generalise - 1e-9) * F.log2(others / (F.col("n_c") - 1)))
+    return (held.join(of_entity, "entity").join(said.join(of_term, "term"), "_of").where(reach)
+            .select("_of", "entity", "term", "n_c", "n_t", F.lit(total).cast("bigint").alias("total")))
+
+
+def flagged_terms(pairs: DataFrame, generalise: float = 0.6, remove: float = 0.8) -> DataFrame:
     """(entity, term, action, disclosure) of the terms that reveal an entity."""
-    pairs = marked.where("_near IS NOT NULL").select("_of", F.explode(F.array_distinct(F.transform(
-        "_near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("p"))
-    both = (pairs.groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("n_ct"),
-                                                    F.countDistinct("_of").alias("texts"))
-            .where(F.col("texts") >= support))
-    entity = (marked.where("_near IS NOT NULL").select(F.explode(F.array_distinct(F.transform(
-        "_near", lambda x: x["entity"]))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_c")))
-    terms = F.split(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+")
-    seen = (docs.select(F.explode(F.array_distinct(terms)).alias("term")).groupBy("term")
-            .agg(F.count(F.lit(1)).alias("n_t")))
-    total = F.lit(marked.count()).cast("double")
-    share = (F.log2(F.col("n_ct") * total / (F.col("n_c") * F.col("n_t")))
-             / F.log2(F.when(F.col("n_c") < total, total / F.col("n_c"))))
-    return (both.join(entity, "entity").join(seen, "term")
-            .select("entity", "term", share.alias("disclosure"))
-            .where(F.col("disclosure") >= generalise)
+    both = (pairs.groupBy("entity", "term", "n_c", "n_t", "total").agg(F.count(F.lit(1)).alias("n_ct"))
+            .where("n_ct >= 2"))
+    n_ct, n_c, n_t, total = [(F.col(c) - 1).cast("double") for c in ("n_ct", "n_c", "n_t", "total")]
+    share = F.log2(n_ct * total / (n_c * n_t)) / F.log2(total / n_c)
+    return (both.select("entity", "term", share.alias("disclosure")).where(F.col("disclosure") >= generalise)
             .withColumn("action", F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise")))
 
 
-def _added(marked: DataFrame, flagged: DataFrame) -> DataFrame:
-    """(_key, _added): the flagged term spans of every row that has some."""
-    near = (marked.where("_near IS NOT NULL").select("_key", F.explode("_near").alias("x"))
-            .select("_key", "x.entity", "x.term", "x.start", "x.end"))
-    hit = near.join(flagged.select("entity", "term", "action"), ["entity", "term"])
-    # A term between two spans may be flagged twice; removal wins.
-    one = hit.groupBy("_key", "start", "end").agg(F.max("action").alias("action"))
-    return one.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "action"))).alias("_added"))
+def _term_class(term: Column) -> Column:
+    return (F.when(term.rlike(r"\p{N}"), "<CODE>").when(term.rlike(r"^\p{Lu}"), "<NAME>").otherwise("<WORD>"))
+
+
+def _places(text: Column, marks: Column, actions: Column) -> Column:
+    """(start, end, action, label) of every place of the terms in the map ``actions``, outside the marks."""
+    found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    sizes = F.zip_with(F.slice(F.split(text, TERM, -1), 1, F.size(found)), found,
+                       lambda g, m: F.struct(F.length(g).cast("bigint").alias("gap"), m.alias("m")))
+    none = F.array().cast(PLACES)
+
+    def step(acc, x):
+        begin = acc["at"] + x["gap"]
+        end = begin + F.length(x["m"])
+        action = F.try_element_at(actions, F.lower(x["m"]))
+        free = ~F.exists(marks, lambda m: (m["start"] < end) & (begin < m["end"]))
+        label = F.when(action == "remove", "").otherwise(_term_class(x["m"]))
+        place = F.array(F.struct(begin.alias("start"), end.alias("end"), action.alias("action"), label.alias("label")))
+        # Only a flagged term adds to the array, so the walk is linear in the text.
+        return F.struct(end.alias("at"), F.when(action.isNotNull() & free, F.concat(acc["out"], place.cast(PLACES)))
+                        .otherwise(acc["out"]).alias("out"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))
+    return F.aggregate(sizes, start, step, lambda acc: acc["out"])
+
+
+def _added(pairs: DataFrame, flagged: DataFrame, holders: DataFrame) -> DataFrame:
+    """(_of, _added): the places of flagged terms of every text that has some."""
+    hit = pairs.select("_of", "entity", "term").join(flagged.select("entity", "term", "action"), ["entity", "term"])
+    # A term may be flagged for two entities of a text; removal wins.
+    one = hit.groupBy("_of", "term").agg(F.max("action").alias("action"))
+    actions = one.groupBy("_of").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("_actions"))
+    return holders.join(actions, "_of").select("_of", _places(F.col("_text"), F.col("_marks"), F.col("_actions")).alias("_added"))
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-         support: int = 3, generalise: float = 0.6, remove: float = 0.8) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = 0.6,
+         remove: float = 0.8) -> DataFrame:
     """One row per document: id, a span array per kind (``email`` .. ``phone``) and ``term``
-    (start, end, action), all in code points with exclusive ends."""
-    marked = materialise(_marked(docs, id_col, text_col, window), "pii-marked")
-    flagged = materialise(flagged_terms(docs, marked, text_col, support, generalise, remove), "pii-terms")
-    joined = marked.join(_added(marked, flagged).withColumnRenamed("_key", "_k"), F.col("_key") == F.col("_k"), "left")
-    none = F.array().cast("array<struct<start:bigint,end:bigint,action:string>>")
-    return joined.select(F.col("_id").alias("id"), "_key", *[F.col(f"_{k}").alias(k) for k in KINDS],
-                         F.coalesce("_added", none).alias("term"))
+    (start, end, action, label), all in code points with exclusive ends."""
+    marked = materialise(_marked(docs, id_col, text_col), "pii-marked")
+    holders = materialise(_holders(marked), "pii-holders")
+    pairs = materialise(cooccurrences(docs, marked, holders, text_col, generalise), "pii-pairs")
+    flagged = materialise(flagged_terms(pairs, generalise, remove), "pii-terms")
+    added = materialise(_added(pairs, flagged, holders), "pii-places")
+    base = ["_key", *[F.col(f"_{k}").alias(k) for k in KINDS]]
+    none = F.array().cast(PLACES)
+    held = marked.where("_marks IS NOT NULL").drop("_text", "_marks").join(added, "_of", "left")
+    return (held.select(F.col("_id").alias("id"), *base, F.coalesce("_added", none).alias("term"))
+            .unionByName(marked.where("_marks IS NULL").select(F.col("_id").alias("id"), *base, none.alias("term"))))
 
 
 def span_text(spans: dict[str, Column]) -> Column:
@@ -246,10 +278,9 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
         return lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(LABELS[kind]).alias("label"))
 
     edits = [F.transform(k, edit(k)) for k in KINDS]
-    terms = F.transform("term", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(
-        s["action"] == "remove", F.lit("")).otherwise(F.lit("<TERM>")).alias("label")))
+    told = F.transform("term", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["label"].alias("label")))
     some = sum((F.size(k) for k in KINDS), F.lit(0)) > 0
-    table = found.where(some).select(F.col("_key").alias("_k"), F.array_sort(F.concat(*edits, terms)).alias("_edits"))
+    table = found.where(some).select(F.col("_key").alias("_k"), F.array_sort(F.concat(*edits, told)).alias("_edits"))
     table = materialise(table.groupBy("_k").agg(F.first("_edits").alias("_edits")), "pii-edits")
     plain = F.coalesce(F.col(text_col), F.lit(""))
     # The same patterns decide which rows have spans, without a join.

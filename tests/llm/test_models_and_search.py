@@ -91,10 +91,45 @@ def test_terms_that_reveal_an_entity(spark):
         assert named == {"zanzibo", "quark"}
         assert all(s["action"] == "remove" for s in rows[i]["term"])
     assert all(not rows[i]["term"] for i in range(6, 46))
-    # What each flagged term tells, by the definition over documents.
-    marked = pii.materialise(pii._marked(docs, "doc_id", "text", pii.WINDOW), "test-marked")
-    told_by = {r["term"]: r["disclosure"] for r in pii.flagged_terms(docs, marked).collect()}
-    assert told_by["quark"] == pytest.approx(math.log2(6 * 46 / (6 * 6)) / math.log2(46 / 6)) == 1.0
+
+
+def flagged(docs):
+    marked = pii.materialise(pii._marked(docs, "doc_id", "text"), "test-marked")
+    pairs = pii.cooccurrences(docs, marked, pii._holders(marked))
+    return {(r["entity"], r["term"]): r["disclosure"] for r in pii.flagged_terms(pairs).collect()}
+
+
+def test_disclosure_by_its_definition(spark):
+    told, rest = revealing(spark)
+    # "quark" stands in two other texts as well: 6 of its 8 texts hold the address.
+    docs = frame(spark, told + [rest[0] + " quark", rest[1] + " Quark", *rest[2:]])
+    got = flagged(docs)
+    assert got["email:jo@ex.org", "zanzibo"] == pytest.approx(1.0)
+    assert got["email:jo@ex.org", "quark"] == pytest.approx(math.log2(5 * 45 / (5 * 7)) / math.log2(45 / 5))
+    assert got["email:jo@ex.org", "quark"] > 0.8 and len(got) == 2
+
+
+def test_a_far_name_in_every_text_goes(spark):
+    filler = "the and of it wrote plain text about rest note " * 4
+    told = [f"Zanzibarius {filler} part{i} jo@ex.org, +49 30 1234567 {filler} note zanzibarius" for i in range(5)]
+    docs = frame(spark, told + [f"{filler} other{i}" for i in range(40)])
+    rows = {r["id"]: r for r in pii.find(docs).collect()}
+    for i, t in enumerate(told):
+        assert [t[s["start"]:s["end"]] for s in rows[i]["term"]] == ["Zanzibarius", "zanzibarius"]
+    assert all(not rows[i]["term"] for i in range(5, 45))
+
+
+def test_two_texts_are_evidence_and_one_is_not(spark):
+    rest = [f"plain text {i} the and about rest of it wrote note" for i in range(40)]
+    docs = frame(spark, ["note by Quark: jo@ex.org", "about Quark wrote jo@ex.org", "rest Flummox al@ex.org it", *rest])
+    assert set(flagged(docs)) == {("email:jo@ex.org", "quark")}
+
+
+def test_generalised_terms_get_a_class(spark):
+    row = spark.createDataFrame([("Ann ann x9y @", {"ann": "generalise", "x9y": "generalise"})], "t string, m map<string,string>")
+    marks = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    got = row.select(pii._places(F.col("t"), marks, F.col("m")).alias("p")).first()["p"]
+    assert [(p["start"], p["end"], p["label"]) for p in got] == [(0, 3, "<NAME>"), (4, 7, "<WORD>"), (8, 11, "<CODE>")]
 
 
 def test_copies_are_no_evidence_of_their_own(spark):

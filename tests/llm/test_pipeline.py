@@ -61,46 +61,38 @@ def brute_first(docs):
     return {i for (i, _, component) in brute_components(rows) if i == component}
 
 
-def brute_private(docs, window=80):
-    """id -> text with base spans and revealing terms replaced."""
+def brute_private(docs):
+    """id -> text with base spans and revealing terms replaced; different texts are the events."""
     label = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>"}
-    marks, near = {}, {}
-    for r in docs:
-        t = r["text"] or ""
-        found = []
+    marks, words, places = {}, {}, {}
+    for t in {r["text"] or "" for r in docs}:
+        marks[t] = []
         for kind, spans in brute_spans(t).items():
             for a, b in spans:
                 plain = t[a:b].lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", t[a:b])
-                found.append((a, b, f"{kind}:{plain}", label[kind]))
-        marks[r["doc_id"]] = sorted(found)
-        places = set()
-        for k, (a, b, entity, _) in enumerate(sorted(found)):
-            before = sorted(found)[k - 1][1] if k else 0
-            after = sorted(found)[k + 1][0] if k + 1 < len(found) else len(t)
-            lo, hi = min(max(before, a - window), a), max(min(after, b + window), b)
-            for start, end, cut_left, cut_right in ((lo, a, lo > before, False), (b, hi, False, hi < after)):
-                for m in re.finditer(r"[^\W_]+", t[start:end]):
-                    if re.search(r"[^\W\d_]", m.group()) and not (cut_left and m.start() == 0) and not (cut_right and m.end() == end - start):
-                        places.add((entity, m.group().lower(), start + m.start(), start + m.end()))
-        near[r["doc_id"]] = places
-    n = len(docs)
-    terms = Counter(w for r in docs for w in set(re.split(r"[\W_]+", (r["text"] or "").lower())))
-    n_c = Counter(e for p in near.values() for e in {x[0] for x in p})
-    texts = defaultdict(set)
-    n_ct = Counter()
-    for r in docs:
-        for e, w in {x[:2] for x in near[r["doc_id"]]}:
-            texts[e, w].add(r["text"])
-            n_ct[e, w] += 1
-    tells = {}
-    for (e, w), k in n_ct.items():
-        if len(texts[e, w]) >= 3 and n_c[e] < n:
-            tells[e, w] = math.log2(k * n / (n_c[e] * terms[w])) / math.log2(n / n_c[e])
+                marks[t].append((a, b, f"{kind}:{plain}", label[kind]))
+        rest = list(t)
+        for a, b, entity, _ in marks[t]:
+            if entity.startswith("email:"):
+                rest[a:b] = " " * (b - a)
+        words[t] = {w.lower() for w in re.findall(r"[^\W_]+", "".join(rest)) if re.search(r"[^\W\d_]", w)}
+        places[t] = [(m.group(), m.start(), m.end()) for m in re.finditer(r"[^\W_]+", t)
+                     if not any(a < m.end() and m.start() < b for a, b, _, _ in marks[t])]
+    entities = {t: {m[2] for m in marks[t]} for t in marks}
+    n = len(marks) - 1
+    n_t = Counter(w for t in words for w in words[t])
+    n_c = Counter(e for t in entities for e in entities[t])
+    n_ct = Counter((e, w) for t in words for e in entities[t] for w in words[t])
+    tells = {(e, w): math.log2((k - 1) * n / ((n_c[e] - 1) * (n_t[w] - 1))) / math.log2(n / (n_c[e] - 1))
+             for (e, w), k in n_ct.items() if k >= 2 and n_c[e] <= n}
     out = {}
     for r in docs:
-        t = r["text"]
-        edits = [(a, b, x) for a, b, _, x in marks[r["doc_id"]]]
-        edits += [(a, b, "" if tells[e, w] >= 0.8 else "<TERM>") for e, w, a, b in near[r["doc_id"]] if tells.get((e, w), 0) >= 0.6]
+        t = r["text"] or ""
+        edits = [(a, b, x) for a, b, _, x in marks[t]]
+        for w, a, b in places[t]:
+            d = max((tells.get((e, w.lower()), 0) for e in entities[t]), default=0)
+            shape = "<CODE>" if re.search(r"\d", w) else "<NAME>" if w[0].isupper() else "<WORD>"
+            edits += [(a, b, "" if d >= 0.8 else shape)] if d >= 0.6 else []
         merged = []
         for a, b, x in sorted(edits):
             if merged and a < merged[-1][1]:
@@ -109,7 +101,7 @@ def brute_private(docs, window=80):
                 merged.append([a, b, x])
         for a, b, x in reversed(merged):
             t = t[:a] + x + t[b:]
-        out[r["doc_id"]] = t
+        out[r["doc_id"]] = t if r["text"] is not None else None
     return out
 
 
