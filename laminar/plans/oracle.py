@@ -394,6 +394,31 @@ SELECT COALESCE(d.category_id, 'OTHER') AS category_id, COUNT(o.order_id) AS ord
 FROM dwd_order_info o LEFT JOIN dim_product d ON o.product_id = d.product_id
 GROUP BY COALESCE(d.category_id, 'OTHER')"""
 
+USER_HISTORY = ["""
+user_versions AS (
+  SELECT user_id, CASE WHEN i >= 3 THEN username || '@new.example.com' ELSE email END AS email,
+         CASE WHEN i >= 2 THEN 'suspended' ELSE status END AS status,
+         CAST(update_time AS TIMESTAMP) + to_days(CAST(200 * i AS INTEGER)) AS update_time
+  FROM (SELECT *, unnest(range(0, CAST(regexp_extract(username, '#(.*)$', 1) AS BIGINT) % 4 + 1)) AS i FROM ods_user_info)
+  WHERE user_id IS NOT NULL
+)""", """
+user_changes AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER w AS place, lag(email) OVER w AS email_before, lag(status) OVER w AS status_before
+    FROM user_versions WINDOW w AS (PARTITION BY user_id ORDER BY update_time))
+  WHERE place = 1 OR email IS DISTINCT FROM email_before OR status IS DISTINCT FROM status_before
+)""", """
+user_history AS (
+  SELECT user_id, email, status, update_time AS valid_from,
+         lead(update_time) OVER (PARTITION BY user_id ORDER BY update_time) AS valid_to
+  FROM user_changes
+)"""]
+DIM_USER_HISTORY = "SELECT *, valid_to IS NULL AS is_current FROM user_history"
+ORDERS_WITH_USER_AS_OF = """
+SELECT o.order_id, o.user_id, o.product_id, o.final_amount, o.create_time,
+       h.email AS email_as_of, h.status AS status_as_of, h.valid_from AS version_from
+FROM dwd_order_info o ASOF LEFT JOIN user_history h ON o.user_id = h.user_id AND o.create_time >= h.valid_from"""
+
 DIM_USER = """
 SELECT user_id, username, email, phone, register_date, last_login_date, status, is_active, user_level,
   create_time, update_time, dt
@@ -491,6 +516,8 @@ def oracle_sql() -> dict[str, str]:
     out["dwd_order_info_by_lookup_table"] = out["dwd_order_info_by_dimension"]
     out["orders_by_region_orc"] = with_layers(ORDERS_BY_REGION)
     out["dim_user"] = with_layers(DIM_USER)
+    out["dim_user_history"] = with_layers(DIM_USER_HISTORY, USER_HISTORY)
+    out["orders_with_user_as_of"] = with_layers(ORDERS_WITH_USER_AS_OF, USER_HISTORY)
     out["geo_rollup"] = with_layers(GEO_ROLLUP)
     out["fact_user_behavior"] = FACT_USER_BEHAVIOR
     out["masked_users"] = with_layers(MASKED_USERS.replace("{salt}", r.TEST_SALT))

@@ -304,6 +304,28 @@ def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.latest_users(Warehouse(spark, sf_dir).dwd_user_info)
 
 
+USER_ATTRIBUTES = ("email", "status")
+
+
+def dim_user_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user dimension with the validity of each version."""
+    from laminar.operators import versions
+    from laminar.sources import testdata
+    wh = Warehouse(spark, sf_dir)
+    return versions.validity(testdata.user_versions(wh.table("customer")), "user_id", "update_time", USER_ATTRIBUTES)
+
+
+def orders_with_user_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail orders with the buyer's status and address at order time."""
+    from laminar.operators import versions
+    from laminar.session import new_area
+    from laminar.sinks.partitioned import write_frame
+    history, path = dim_user_history(spark, sf_dir), new_area(spark, "user-history")
+    write_frame(history, path)
+    orders = Warehouse(spark, sf_dir).dwd_order_info.select("order_id", "user_id", "product_id", "final_amount", "create_time")
+    return versions.as_of(orders, spark.read.schema(history.schema).parquet(path), "user_id", "create_time", USER_ATTRIBUTES)
+
+
 def geo_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.operators import dims
     wh = Warehouse(spark, sf_dir)
@@ -428,6 +450,8 @@ def queries() -> dict[str, Query]:
         "dim_product": dim_product,
         "product_category_sales": product_category_sales,
         "dim_user": dim_user,
+        "dim_user_history": dim_user_history,
+        "orders_with_user_as_of": orders_with_user_as_of,
         "dwd_order_info_by_dimension": dwd_order_info_by_dimension,
         "dwd_order_info_by_lookup_table": dwd_order_info_by_lookup_table,
         "orders_by_region_orc": orders_by_region_orc,

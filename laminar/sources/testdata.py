@@ -24,6 +24,7 @@ USER_DAY_SPAN = 2000
 SEGMENT_STATUS = (("BUILDING", "active"), ("MACHINERY", "vip"), ("AUTOMOBILE", "premium"),
                   ("FURNITURE", "inactive"))          # HOUSEHOLD and anything else -> NULL
 USER_TIME_OF_DAY = "10:30:00"
+VERSION_DAYS = 200
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DAY_FORMAT = "yyyy-MM-dd"
 
@@ -64,6 +65,21 @@ def ods_users(customer: DataFrame) -> DataFrame:
     )
 
 
+def user_versions(customer: DataFrame) -> DataFrame:
+    """Versions of the user records: one to four per user, ``VERSION_DAYS`` apart from the day of the
+    last login. The third changes the status, the fourth the address; the second repeats the first."""
+    first = ods_users(customer)
+    k = F.pmod(F.col("_key"), F.lit(4)).cast("int")
+    i = F.col("_i")
+    keyed = first.withColumn("_key", F.substring_index("username", "#", -1).cast("bigint"))
+    each = keyed.select("*", F.explode(F.sequence(F.lit(0), k)).alias("_i"))
+    return each.select(
+        "user_id",
+        F.when(i >= 3, F.concat("username", F.lit("@new.example.com"))).otherwise(F.col("email")).alias("email"),
+        F.when(i >= 2, F.lit("suspended")).otherwise(F.col("status")).alias("status"),
+        (F.col("update_time").cast("timestamp") + F.make_dt_interval(i * VERSION_DAYS)).alias("update_time"))
+
+
 def ods_orders(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """Raw order records: one per line item (lineitem ⨝ orders ⨝ part).
 
