@@ -394,6 +394,25 @@ SELECT COALESCE(d.category_id, 'OTHER') AS category_id, COUNT(o.order_id) AS ord
 FROM dwd_order_info o LEFT JOIN dim_product d ON o.product_id = d.product_id
 GROUP BY COALESCE(d.category_id, 'OTHER')"""
 
+DQ_RECONCILIATION = """
+, faults AS (
+  SELECT dt, order_id, product_id, final_amount, order_status,
+         CASE WHEN substr(dt, 6, 2) = '03' THEN CAST(order_id AS BIGINT) % 97 ELSE -1 END AS place
+  FROM dwd_order_info
+), a AS (
+  SELECT dt, order_id, COUNT(*) AS n, list_sort(list({'p': product_id, 'f': final_amount, 's': order_status})) AS held
+  FROM faults GROUP BY ALL
+), b AS (
+  SELECT dt, CASE WHEN place = 13 THEN 'x' || order_id ELSE order_id END AS order_id, COUNT(*) AS n,
+         list_sort(list({'p': product_id, 'f': final_amount, 's': CASE WHEN place = 11 THEN NULL ELSE order_status END})) AS held
+  FROM faults WHERE place <> 7 GROUP BY ALL
+)
+SELECT coalesce(a.dt, b.dt) AS dt, coalesce(a.order_id, b.order_id) AS order_id,
+       CASE WHEN b.n IS NULL THEN 'lost' WHEN a.n IS NULL THEN 'invented' ELSE 'changed' END AS status,
+       CAST(coalesce(a.n, 0) AS BIGINT) AS source_rows, CAST(coalesce(b.n, 0) AS BIGINT) AS target_rows
+FROM a FULL OUTER JOIN b ON a.dt = b.dt AND a.order_id = b.order_id
+WHERE a.n IS NULL OR b.n IS NULL OR a.held IS DISTINCT FROM b.held"""
+
 USER_HISTORY = ["""
 user_versions AS (
   SELECT user_id, CASE WHEN i >= 3 THEN username || '@new.example.com' ELSE email END AS email,
@@ -515,6 +534,7 @@ def oracle_sql() -> dict[str, str]:
     out["dwd_order_info_by_dimension"] = with_layers(DWD_BY_DIMENSION, [_dim_product_cte()])
     out["dwd_order_info_by_lookup_table"] = out["dwd_order_info_by_dimension"]
     out["orders_by_region_orc"] = with_layers(ORDERS_BY_REGION)
+    out["dq_reconciliation"] = with_layers(DQ_RECONCILIATION)
     out["dim_user"] = with_layers(DIM_USER)
     out["dim_user_history"] = with_layers(DIM_USER_HISTORY, USER_HISTORY)
     out["orders_with_user_as_of"] = with_layers(ORDERS_WITH_USER_AS_OF, USER_HISTORY)

@@ -75,6 +75,28 @@ def dq_order_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.order_retention_one_pass(Warehouse(spark, sf_dir).ods_order_info, valid_order())
 
 
+RECONCILED = ("product_id", "final_amount", "order_status")
+
+
+def dq_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders lost, invented and changed between the detail layer and a copy of it with faults
+    planted by a fixed rule in the orders of March days."""
+    from pyspark.sql import functions as F
+    from laminar.operators import reconcile
+    from laminar.session import new_area
+    from laminar.sinks.partitioned import write_frame
+    detail = Warehouse(spark, sf_dir).dwd_order_info.select("dt", "order_id", *RECONCILED)
+    path = new_area(spark, "reconciled-orders")
+    write_frame(detail, path)
+    detail = spark.read.schema(detail.schema).parquet(path)
+    place = F.pmod(F.col("order_id").cast("bigint"), F.lit(97))
+    march = F.substring("dt", 6, 2) == "03"
+    copy = detail.where(~(march & (place == 7))).select(
+        "dt", F.when(march & (place == 13), F.concat(F.lit("x"), F.col("order_id"))).otherwise(F.col("order_id")).alias("order_id"),
+        "product_id", "final_amount", F.when(march & (place == 11), F.lit(None)).otherwise(F.col("order_status")).alias("order_status"))
+    return reconcile.differences(detail, copy, "dt", ["order_id"], RECONCILED)
+
+
 def dq_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.operators import quality
     return quality.accuracy(Warehouse(spark, sf_dir).dwd_order_info, DQ_AS_OF, DQ_MIN_DATE)
@@ -432,6 +454,7 @@ def queries() -> dict[str, Query]:
         "dq_completeness": dq_completeness,
         "dq_user_consistency": dq_user_consistency,
         "dq_order_retention": dq_order_retention,
+        "dq_reconciliation": dq_reconciliation,
         "dq_accuracy": dq_accuracy,
         "dq_findings": dq_findings,
         "dq_report": dq_report,
