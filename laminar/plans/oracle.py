@@ -413,6 +413,15 @@ SELECT coalesce(a.dt, b.dt) AS dt, coalesce(a.order_id, b.order_id) AS order_id,
 FROM a FULL OUTER JOIN b ON a.dt = b.dt AND a.order_id = b.order_id
 WHERE a.n IS NULL OR b.n IS NULL OR a.held IS DISTINCT FROM b.held"""
 
+def _encrypted_users(key: bytes) -> str:
+    inner, outer = (bytes(b ^ x for b in key.ljust(64, b"\0")).hex() for x in (0x36, 0x5C))
+    return f"""
+SELECT user_id, email, phone,
+       CASE WHEN email IS NOT NULL THEN CASE WHEN CAST(user_id AS BIGINT) % 2 = 0 THEN 'k2' ELSE 'k1' END END AS email_key,
+       sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode(email)))) AS email_digest
+FROM dwd_user_info"""
+
+
 USER_HISTORY = ["""
 user_versions AS (
   SELECT user_id, CASE WHEN i >= 3 THEN username || '@new.example.com' ELSE email END AS email,
@@ -535,6 +544,7 @@ def oracle_sql() -> dict[str, str]:
     out["dwd_order_info_by_lookup_table"] = out["dwd_order_info_by_dimension"]
     out["orders_by_region_orc"] = with_layers(ORDERS_BY_REGION)
     out["dq_reconciliation"] = with_layers(DQ_RECONCILIATION)
+    out["encrypted_users"] = with_layers(_encrypted_users(r.TEST_KEYS["k1"]))
     out["dim_user"] = with_layers(DIM_USER)
     out["dim_user_history"] = with_layers(DIM_USER_HISTORY, USER_HISTORY)
     out["orders_with_user_as_of"] = with_layers(ORDERS_WITH_USER_AS_OF, USER_HISTORY)

@@ -368,6 +368,28 @@ def masked_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.masked_users(Warehouse(spark, sf_dir).dwd_user_info, TEST_SALT)
 
 
+TEST_KEYS = {"k1": b"0123456789abcdef0123456789abcdef", "k2": b"fedcba9876543210"}     # of the registered query only
+
+
+def encrypted_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users written with encrypted contact fields and a join digest, the fields of half of them
+    moved to another key, and all read back in plain."""
+    from pyspark.sql import functions as F
+    from laminar.functions.encryption import decrypt_field, encrypt_field, join_digest, rotate_field
+    from laminar.session import new_area
+    from laminar.sinks.partitioned import write_frame
+    users, path = Warehouse(spark, sf_dir).dwd_user_info, new_area(spark, "encrypted-users")
+    write_frame(users.select(
+        "user_id", *[encrypt_field(F.col(c), TEST_KEYS["k1"], "k1").alias(c) for c in ("email", "phone")],
+        join_digest(F.col("email"), TEST_KEYS["k1"]).alias("email_digest")), path)
+    kept = spark.read.parquet(path)
+    half = F.col("user_id").cast("bigint") % 2 == 0
+    moved = kept.select("user_id", "email_digest", *[
+        F.when(half, rotate_field(F.col(c), TEST_KEYS, "k2")).otherwise(F.col(c)).alias(c) for c in ("email", "phone")])
+    return moved.select("user_id", "email_digest", F.substring_index("email", ":", 1).alias("email_key"),
+                        *[decrypt_field(F.col(c), TEST_KEYS).alias(c) for c in ("email", "phone")])
+
+
 def event_log_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events landed as log files under the shared root, read back with the declared
     schema (no inference pass) and summarised per day and event type."""
@@ -481,6 +503,7 @@ def queries() -> dict[str, Query]:
         "geo_rollup": geo_rollup,
         "fact_user_behavior": fact_user_behavior,
         "masked_users": masked_users,
+        "encrypted_users": encrypted_users,
         "event_log_daily": event_log_daily,
         # streaming
         "stream_dedup_ingest": stream_dedup_ingest,
