@@ -491,6 +491,17 @@ SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type, ts AS event_ts
   strftime(ts, '%Y-%m-%d') AS dt
 FROM events"""
 
+EVENT_PROPERTIES = """
+SELECT event_type, property, kind, COUNT(*) AS occurrences,
+       MIN(CASE WHEN kind = 'number' THEN TRY_CAST(held AS DOUBLE) END) AS least,
+       MAX(CASE WHEN kind = 'number' THEN TRY_CAST(held AS DOUBLE) END) AS greatest
+FROM (
+  SELECT event_type, property, json_extract_string(props, '$."' || property || '"') AS held,
+         CASE json_type(props, '$."' || property || '"') WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'truth'
+              WHEN 'ARRAY' THEN 'list' WHEN 'OBJECT' THEN 'object' WHEN 'NULL' THEN 'null' ELSE 'number' END AS kind
+  FROM (SELECT event_type, props, unnest(json_keys(props)) AS property FROM events WHERE json_valid(props)))
+GROUP BY ALL"""
+
 MASKED_USERS = """
 SELECT user_id, username, sha256('{salt}' || email) AS email_sha256,
   CASE WHEN length(phone) > 4 THEN repeat('*', length(phone) - 4) || right(phone, 4)
@@ -550,6 +561,7 @@ def oracle_sql() -> dict[str, str]:
     out["orders_with_user_as_of"] = with_layers(ORDERS_WITH_USER_AS_OF, USER_HISTORY)
     out["geo_rollup"] = with_layers(GEO_ROLLUP)
     out["fact_user_behavior"] = FACT_USER_BEHAVIOR
+    out["event_properties"] = EVENT_PROPERTIES
     out["masked_users"] = with_layers(MASKED_USERS.replace("{salt}", r.TEST_SALT))
     out["stream_dedup_ingest"] = STREAM_DEDUP_INGEST
     out["stream_user_daily"] = STREAM_USER_DAILY

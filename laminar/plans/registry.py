@@ -368,6 +368,16 @@ def masked_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.masked_users(Warehouse(spark, sf_dir).dwd_user_info, TEST_SALT)
 
 
+def event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every property of the events, from the fact written with its properties as VARIANT."""
+    from laminar.operators import properties
+    from laminar.session import new_area
+    from laminar.sinks.partitioned import write_frame
+    fact, path = properties.open_behavior_fact(Warehouse(spark, sf_dir).table("events")), new_area(spark, "open-fact")
+    write_frame(fact.select("event_type", "props"), path)
+    return properties.property_profile(spark.read.parquet(path))
+
+
 TEST_KEYS = {"k1": b"0123456789abcdef0123456789abcdef", "k2": b"fedcba9876543210"}     # of the registered query only
 
 
@@ -502,6 +512,7 @@ def queries() -> dict[str, Query]:
         "orders_by_region_orc": orders_by_region_orc,
         "geo_rollup": geo_rollup,
         "fact_user_behavior": fact_user_behavior,
+        "event_properties": event_properties,
         "masked_users": masked_users,
         "encrypted_users": encrypted_users,
         "event_log_daily": event_log_daily,
