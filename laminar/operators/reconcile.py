@@ -6,8 +6,8 @@ digests differ are read again and compared key by key.
 
 Scale
 - Digests are combined before the shuffle and hold at most days x ``buckets`` rows a side. They
-  are written, so the second read is restricted by a join with a table of known size, which
-  adaptive execution broadcasts when it is small; on tables partitioned by day that prunes days.
+  are written. The second read is restricted to the days that differ (their list, bounded by the
+  calendar, is a filter that prunes day partitions) and then by a semi-join to their buckets.
 - Keys are compared by one aggregate over both sides together, not by a join: a key with very many
   rows sends one partial row per task, and rows without a key compare like any other.
 
@@ -69,7 +69,10 @@ def differences(source: DataFrame, target: DataFrame, day: str, key: Sequence[st
     wrong = differing_buckets(source, target, day, key, columns, buckets).withColumnRenamed(day, "_day")
     write_frame(wrong, path)
     wrong = spark.read.schema(wrong.schema).parquet(path).withColumnRenamed("_bucket", "_b")
-    rows = _sides(source, target, day, key, columns, buckets)
+    days = [r[0] for r in wrong.select("_day").distinct().collect()]
+    apart = F.col(day).isin([d for d in days if d is not None])
+    apart = apart | F.col(day).isNull() if None in days else apart
+    rows = _sides(source.where(apart), target.where(apart), day, key, columns, buckets)
     chosen = rows.join(wrong, F.col(day).eqNullSafe(F.col("_day")) & (F.col("_bucket") == F.col("_b")), "left_semi")
     status = (F.when(F.col("target_rows") == 0, "lost").when(F.col("source_rows") == 0, "invented").otherwise("changed"))
     return (_totals(chosen, day, *key).where("NOT _same")

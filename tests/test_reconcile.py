@@ -74,3 +74,15 @@ def test_summary_counts_keys(spark):
     source, target = [spark.createDataFrame(x, SCHEMA) for x in ([("d", "a", "x", 1, 0), ("d", "b", "x", 1, 0)], [("d", "c", "x", 1, 0)])]
     found = reconcile.differences(source, target, "dt", KEY, COLUMNS)
     assert sorted(map(tuple, reconcile.summary(found, "dt").collect())) == [("d", "invented", 1), ("d", "lost", 2)]
+
+
+def test_equal_days_are_not_read_again(spark, area):
+    source = [(f"d{i}", "a", "x", 1, 0) for i in range(4)]
+    frames = []
+    for name, rows in (("source", source), ("target", source[:3])):
+        spark.createDataFrame(rows, SCHEMA).write.partitionBy("dt").parquet(f"{area}/{name}")
+        frames.append(spark.read.parquet(f"{area}/{name}"))
+    found = reconcile.differences(*frames, "dt", KEY, COLUMNS)
+    assert [tuple(r) for r in found.collect()] == [("d3", "a", "lost", 1, 0)]
+    scans = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in x and "/source" in x]
+    assert scans and all("d3" in x.split("PartitionFilters")[1].split("PushedFilters")[0] for x in scans)
