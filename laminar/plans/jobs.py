@@ -6,6 +6,7 @@
     spark-submit -m laminar.plans.jobs quality  --date 2024-12-26 [--as-of D] [--strict]
     spark-submit -m laminar.plans.jobs serving  --as-of 2024-12-26      # full rebuild
     spark-submit -m laminar.plans.jobs serving  --date 2024-12-26 --incremental
+    spark-submit -m laminar.plans.jobs active   --date 2024-12-26       # the day's active users, as bitmaps
     spark-submit -m laminar.plans.jobs report   --date 2024-12-26
 
 ``--date`` defaults to yesterday. ``--root`` defaults to the shared folder named by
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from laminar.functions.parsing import resolve_run_date
 from laminar.functions.rules import REFERENCE_CATEGORY_RULES
 from laminar.operators import quality, reports
-from laminar.plans import catalog, daily, incremental
+from laminar.plans import active_users, catalog, daily, incremental
 from laminar.schemas import (DWD_ORDER_INFO, DWD_USER_INFO, DWS_PRODUCT_DAILY_STATS, DWS_USER_DAILY_STATS,
                              ODS_ORDER_INFO, ODS_USER_INFO, TableSpec)
 from laminar.session import build_session, storage_root
@@ -136,7 +137,7 @@ def run_report(spark: SparkSession, root: str, day: str):
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="laminar")
-    p.add_argument("job", choices=["setup", "extract", "etl", "quality", "serving", "report"])
+    p.add_argument("job", choices=["setup", "extract", "etl", "quality", "serving", "active", "report"])
     p.add_argument("--date", default=None)
     p.add_argument("--as-of", default=None)
     p.add_argument("--min-date", default=quality.DEFAULT_MIN_ORDER_DATE)
@@ -171,6 +172,8 @@ def main(argv: list[str] | None = None) -> int:
             except quality.QualityGateError as exc:
                 print(exc, file=sys.stderr)
                 return 1
+        elif args.job == "active":
+            print(active_users.run_day(spark, root, day))
         elif args.job == "serving" and args.incremental:
             print(incremental.run_serving(spark, root, day))
         elif args.job == "serving":

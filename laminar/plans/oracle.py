@@ -534,6 +534,22 @@ FROM events
 GROUP BY strftime(ts, '%Y-%m-%d'), event_type"""
 
 
+_BY_PERIOD = """
+SELECT '{p}' AS period, CAST(date_trunc('{p}', CAST(dt AS DATE)) AS DATE) AS period_start, '{level}' AS level,
+       {value} AS category_id, COUNT(DISTINCT user_id) AS active_users
+FROM dwd_order_info GROUP BY ALL"""
+ACTIVE_USERS_BY_PERIOD = " UNION ALL ".join(
+    _BY_PERIOD.format(p=p, level=level, value=value) for p in ("week", "month")
+    for level, value in (("category_id", "category_id"), ("all", "CAST(NULL AS VARCHAR)")))
+
+ACTIVE_USERS_TRAILING = """
+SELECT d.dt, COUNT(DISTINCT o.user_id) AS active_users
+FROM (SELECT DISTINCT dt FROM dwd_order_info) d
+JOIN (SELECT DISTINCT dt, user_id FROM dwd_order_info) o
+  ON CAST(o.dt AS DATE) BETWEEN CAST(d.dt AS DATE) - 6 AND CAST(d.dt AS DATE)
+GROUP BY d.dt"""
+
+
 def oracle_sql() -> dict[str, str]:
     from laminar.plans import registry as r
     out = _base_sql()
@@ -549,6 +565,8 @@ def oracle_sql() -> dict[str, str]:
     out["ads_sales_trend_written"] = (
         "SELECT stat_date, total_orders, total_amount, new_users, active_users, retention_rate, growth_rate, year, month "
         f"FROM ({out['ads_sales_trend']})")
+    out["active_users_by_period"] = with_layers(ACTIVE_USERS_BY_PERIOD)
+    out["active_users_trailing"] = with_layers(ACTIVE_USERS_TRAILING)
     out["dim_product"] = "WITH " + _dim_product_cte() + "\nSELECT * FROM dim_product"
     out["product_category_sales"] = with_layers(PRODUCT_CATEGORY_SALES, [_dim_product_cte()])
     out["dwd_order_info_by_dimension"] = with_layers(DWD_BY_DIMENSION, [_dim_product_cte()])

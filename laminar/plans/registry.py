@@ -191,6 +191,26 @@ def login_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_daily_stats_one_pass(activity, kind == "purchase", kind == "view")
 
 
+def active_users_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct buyers per week and month, by category and over all, from stored bitmaps alone."""
+    from laminar.operators import distinct
+    return distinct.by_period(_stored_bitmaps(spark, sf_dir), "category_id")
+
+
+def active_users_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct buyers of the seven days up to each day, from stored bitmaps alone."""
+    from laminar.operators import distinct
+    return distinct.trailing(_stored_bitmaps(spark, sf_dir), 7)
+
+
+def _stored_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from laminar.plans import active_users
+    from laminar.session import new_area
+    root = new_area(spark, "active-users")
+    active_users.update(spark, root, Warehouse(spark, sf_dir).dwd_order_info.select("dt", "category_id", "user_id"))
+    return active_users.bitmaps(spark, root)
+
+
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.operators import dims
     return dims.date_dimension(dims.date_span(Warehouse(spark, sf_dir).dwd_order_info, "order_date"))
@@ -501,6 +521,8 @@ def queries() -> dict[str, Query]:
         "ads_sales_trend_written": ads_sales_trend_written,
         "ads_user_behavior_incremental": ads_user_behavior_incremental,
         "ads_sales_trend_incremental": ads_sales_trend_incremental,
+        "active_users_by_period": active_users_by_period,
+        "active_users_trailing": active_users_trailing,
         # tier C
         "dim_product": dim_product,
         "product_category_sales": product_category_sales,
