@@ -35,6 +35,7 @@ from laminar.llm.common import bounded_batches, materialise
 
 SEED = 42                     # of XXH64
 BITS = 64
+HOT_SHARE = 1000              # a fingerprint with one row in so many is hot
 CHUNK = 2048                  # fingerprints of a bucket that one side of a chunk pair holds
 
 
@@ -60,17 +61,23 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 3) -> DataFrame:
-    """(id, fp) per row; fp is the fingerprint as a signed BIGINT."""
-    schema = pa.schema([("id", pa.int64()), ("fp", pa.int64())])
+    """(id, text_hash, fp) per row; fp is the fingerprint as a signed BIGINT."""
+    schema = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
 
     def run(batches):
         for batch in bounded_batches(batches):
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
             fps = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], schema=schema)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps)], schema=schema)
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id bigint, fp bigint")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text_hash(text).alias("text_hash"), text.alias("text"))
+    return rows.mapInArrow(run, "id bigint, text_hash bigint, fp bigint")
+
+
+def text_hash(text: Column) -> Column:
+    """Tells different texts under one id apart."""
+    return F.xxhash64(text)
 
 
 def block_keys(fp: Column, max_bits: int) -> Column:
@@ -184,17 +191,23 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, max_bits: int = 3, chunk: int = CHUNK) -> DataFrame:
-    """(id, fp, component_id) per row of ``docs``."""
+    """(id, text_hash, fp, component_id, root) per row of ``docs``; ``root`` tells components apart
+    that share their smallest id (an id may have several texts)."""
     marked = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash-fingerprints")
-    distinct = marked.groupBy("fp").agg(F.min("id").alias("first_id"))
+    distinct = marked.groupBy("fp").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     roots = components(links(distinct, max_bits, chunk), "simhash-components")
     linked = distinct.join(roots, F.col("fp") == F.col("node"))
     # Unlinked fingerprints are their own component; linked ones take the least id of the root's.
     by_root = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_linked = linked.join(by_root, "root").select("fp", "component_id")
+    of_linked = linked.join(by_root, "root").select("fp", "component_id", "root")
     of_all = (distinct.join(of_linked, "fp", "left")
-              .select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
-    # Written, so that the join below stands alone and adaptive execution can split the
-    # fingerprint of a large group of copies.
+              .select("fp", F.coalesce("component_id", "first_id").alias("component_id"),
+                      F.coalesce("root", "fp").alias("root"), "copies"))
     of_all = materialise(of_all, "simhash-labels")
-    return marked.join(of_all, "fp").select("id", "fp", "component_id")
+    # A fingerprint with a thousandth of all rows or more (at most 1,000 of them) meets its rows where
+    # they are; only the others are shuffled.
+    often = F.col("copies") * HOT_SHARE >= marked.count()
+    hot, rest = (of_all.where(x).drop("copies") for x in (often, ~often))
+    labelled = (marked.join(F.broadcast(hot), "fp").unionByName(
+        marked.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(rest, "fp")))
+    return labelled.select("id", "text_hash", "fp", "component_id", "root")

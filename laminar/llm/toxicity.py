@@ -150,7 +150,7 @@ def fit_chain(x: Rows, targets: list[np.ndarray], folds: np.ndarray) -> tuple[li
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_bound: int) -> DataFrame:
-    """(id, text, y) of at most about ``label_bound`` labelled documents."""
+    """(id, text, y) of at most about ``label_bound`` labelled documents, one row of each id."""
     known = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id")
              .agg(F.min("toxic").alias("y"), F.max("toxic").alias("y2")).where("y = y2").select("doc_id", "y"))
     n = known.count()
@@ -158,7 +158,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
         share = int(0.95 * label_bound / n * (1 << 30))
         known = known.where(F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1 << 30)) < share)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.join(F.broadcast(known), F.col("id") == F.col("doc_id")).select("id", "text", "y")
+    labelled = rows.join(F.broadcast(known), F.col("id") == F.col("doc_id"))
+    # Of repeated rows of an id the one with the least hash, so the bound holds for rows.
+    return labelled.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("id", "text", "y")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_bound: int = 12000,

@@ -509,3 +509,14 @@ def test_probes_come_in_order_of_estimated_success():
 
     costs = [cost(b) for b in got]
     assert costs == sorted(costs)
+
+
+def test_fit_sample_has_one_row_of_an_id(spark):
+    """Repeated rows and several texts of a labelled id are one row; which one does not depend on their order."""
+    rows = [(1, "a")] * 50 + [(1, "b")] * 30 + [(2, None), (2, None), (3, ""), (None, "x"), (4, "left out")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (None, 1), (4, 0), (4, 1)], "doc_id bigint, toxic int")
+    got = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id bigint, text string").repartition(3)
+        got.append(sorted((r["id"], r["text"] or "", r["y"]) for r in toxicity.labelled_sample(docs, labels, "doc_id", "text", 100).collect()))
+    assert got[0] == got[1] and [(i, y) for i, _, y in got[0]] == [(1, 1), (2, 0), (3, 0)]
