@@ -33,14 +33,19 @@ def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the group's id.
 
-    Rows without an id belong to no group and stay; of repeated rows with the same id,
-    one stays.
+    Rows without an id belong to no group and stay. Several texts under one id are documents of
+    their own: of a group's texts under its id the one with the least hash stays, and of repeated
+    rows of that text one.
     """
     configure(spark)
     found = simhash.near_duplicates(docs, shingle=3, max_bits=3)
-    first = found.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    first = found.where("id = component_id").groupBy("root").agg(F.min(F.struct("id", "text_hash")).alias("_first"))
+    first = first.select(F.col("_first.id").alias("_first_id"), F.col("_first.text_hash").alias("_first_hash"))
+    mark = "_".join(["hash", *docs.columns])             # a name that no column has
+    hashed = docs.withColumn(mark, simhash.text_hash(F.col("text")))
+    same = (F.col("doc_id") == F.col("_first_id")) & (F.col(mark) == F.col("_first_hash"))
+    kept = hashed.join(first, same, "left_semi").dropDuplicates(["doc_id", mark])
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
