@@ -178,6 +178,15 @@ def test_stages_on_odd_rows(spark, area):
         assert none.count() == 0
 
 
+def test_unlike_texts_under_one_id_both_stay(spark, area):
+    one, two = ("one kind of words " + "alpha beta gamma delta " * 5, "another " + "sigma tau omega phi rho " * 6)
+    rows = [(1, one), (1, two), (1, two), (2, one), (3, two), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("root", F.lit("own"))
+    got = corpus_pipeline.near_duplicates(spark, docs, area)
+    assert got.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([(1, one), (1, two), (None, one)])
+
+
 def test_quality_stage_filters_by_the_verdict_column(spark):
     """The filter on the verdict must not change what the unfiltered rows say."""
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
