@@ -125,6 +125,34 @@ def test_trusted_sample_is_bounded(spark):
     assert quality_rules.trusted_ids(clash, 10000).where("doc_id < 10").count() == 0
 
 
+def test_every_trusted_document_is_counted_and_scored(spark):
+    """More labelled rows than any bound: weights and threshold are those of all of them."""
+    n, buckets = 24000, 64
+    docs = spark.range(n).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN concat_ws(' ', array_repeat('zip zap', 6), 'w' || id) "
+                                     "ELSE concat_ws(' ', array_repeat('alpha beta', 6), 'w' || id) END AS text")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 50 <> 1 AS int) AS quality", "0 AS toxic")
+    counted = docs.select("doc_id", F.explode(quality_rules.ngram_buckets(quality_rules.hashed_words(F.col("text")), buckets)).alias("b"))
+    raw, target = Counter(), Counter()
+    for r in counted.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count_if(F.col("doc_id") % 50 != 1).alias("good")).collect():
+        raw[r["b"]], target[r["b"]] = r["raw"], r["good"]
+    model = quality_rules.fit(docs, labels, buckets=buckets, quantile=0.01)
+    n_raw, n_target = sum(raw.values()) + buckets, sum(target.values()) + buckets
+    assert np.allclose(model.weights, [np.log((target[b] + 1) / n_target) - np.log((raw[b] + 1) / n_raw) for b in range(buckets)],
+                       rtol=0, atol=1e-12)
+    scores = quality_rules.judge(docs.where("doc_id % 50 <> 1"), model).agg(F.percentile("score", F.lit(0.01)).alias("t"))
+    assert model.threshold == min(0.0, scores.first()["t"])
+    assert quality_rules.fit(docs, labels, buckets=buckets, quantile=0.01, broadcast_ids=0) == model      # ids shuffled
+
+
+def test_quantile_in_bins_equals_the_percentile(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "BINS", 7)
+    monkeypatch.setattr(quality_rules, "IN_BIN", 3)
+    values = spark.range(500).select(F.when(F.col("id") % 5 == 0, F.lit(-2.5)).otherwise(F.sin("id") * F.exp(F.col("id") % 40)).alias("s"))
+    for share in (0.0, 0.002, 0.3, 0.5, 0.97, 1.0):
+        assert quality_rules.quantile_of(values, "s", share) == values.agg(F.percentile("s", F.lit(share))).first()[0]
+    assert quality_rules.quantile_of(values.limit(0), "s", 0.5) is None
+
+
 # ---------------------------------------------------------------- SimHash
 def brute_fingerprint(text, shingle=3):
     words = [w.encode().lower() for w in WORD.findall(text or "")]
