@@ -1,23 +1,31 @@
 """Serving by increments: a day's detail and the state in, the next state out.
 
 Under ``<root>/serving_state`` every update writes a folder of its own: the days'
-contributions, the user buckets that changed, the trend, and changes that wait for their
-order date. A manifest, written last, says which folder holds which bucket and day; the
-newest complete manifest is the state. So an update that fails, or one that a reader overlaps
-with, leaves the state as it was, and unchanged buckets are never rewritten.
+contributions, the users that changed, the trend, and changes that wait for their order date.
+A manifest, written last, says which folders hold which bucket and day; the newest complete
+manifest is the state. So an update that fails, or one that a reader overlaps with, leaves the
+state as it was, and unchanged buckets are never rewritten.
+
+A bucket is a folder of all its users and, above it, layers: folders of the users that later
+updates changed, each row in place of the user's row below. So an update writes as many rows
+as it changes. When the rows above reach a quarter (``MERGE_SHARE``) of those below, or a
+bucket has ``LAYERS`` folders, the update merges the buckets it touches into new folders.
 
 An update reads the detail of its own days, those days' earlier contributions (if they were
-applied before) and the buckets of the users that changed. It never reads the history.
+applied before) and, of the buckets of the users that changed, these users' rows. It never
+reads the history. Few changed users (``BROADCAST_USERS``) are sent to the buckets' rows, so
+the state is not shuffled.
 
-What reaches the driver is bounded: the manifest (a row per bucket and per applied day) and
-the numbers of the changed buckets.
+What reaches the driver is bounded: the manifest (at most ``LAYERS`` folders per bucket, a row
+per applied day) and the numbers of the changed buckets.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +40,11 @@ from laminar.sources.tables import read_days
 
 FOLDER = "serving_state"
 BUCKETS = 64
+MERGE_SHARE = 4               # layers are merged when their rows reach this part of those below
+LAYERS = 32                   # folders of a bucket, at most
+BROADCAST_USERS = 1 << 18     # changed rows up to which the users' ids are broadcast
+ROWS = ss.STATE.rsplit(",", 1)[0]
+LAYER_ROWS = f"{ss.STATE}, layer int"
 
 
 class StateError(RuntimeError):
@@ -45,7 +58,8 @@ class State:
     buckets: int = BUCKETS
     as_of: str | None = None
     bad_statuses: tuple[str, ...] = ()
-    users: dict[int, str] = field(default_factory=dict)        # bucket -> folder
+    users: dict[int, list[str]] = field(default_factory=dict)  # bucket -> folder of all users, then layers
+    rows: dict[str, int] = field(default_factory=dict)         # folder of a users' write -> rows in it
     days: dict[str, str] = field(default_factory=dict)         # applied day -> folder of its contribution
     trend: str | None = None
     waiting: str | None = None
@@ -63,7 +77,8 @@ def load(spark: SparkSession, root: str, buckets: int = BUCKETS) -> State:
     if not found:
         return State(buckets=buckets)
     m = json.loads(files.read_text(spark, found[max(found)]))
-    return State(**m | {"bad_statuses": tuple(m["bad_statuses"]), "users": {int(k): v for k, v in m["users"].items()}})
+    placed = {int(k): [v] if isinstance(v, str) else v for k, v in m["users"].items()}     # before layers: one folder
+    return State(**m | {"bad_statuses": tuple(m["bad_statuses"]), "users": placed})
 
 
 def _publish(spark: SparkSession, root: str, state: State) -> None:
@@ -79,10 +94,61 @@ def _read(spark: SparkSession, paths: Sequence[str], schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(*paths)
 
 
-def users(spark: SparkSession, state: State, buckets: Sequence[int] | None = None) -> DataFrame:
-    """The users' rows, of all or of the given buckets (only their folders are opened)."""
+def _whole(folder: str) -> bool:
+    """Whether a folder holds all users of a bucket; else it is a layer."""
+    return folder.rsplit("/", 1)[-1].startswith("bucket=")
+
+
+def _write_of(folder: str) -> str:
+    return folder.rsplit("/", 1)[0] if _whole(folder) else folder
+
+
+def users(spark: SparkSession, state: State, buckets: Sequence[int] | None = None, only: DataFrame | None = None) -> DataFrame:
+    """The users' rows, of all or of the given buckets (only their folders are opened), or of
+    the users in ``only`` (``user_id``) alone. A user's row is that of the newest layer."""
     chosen = state.users if buckets is None else {b: state.users[b] for b in buckets if b in state.users}
-    return _read(spark, sorted(chosen.values()), ss.STATE.rsplit(",", 1)[0])
+
+    def picked(rows: DataFrame) -> DataFrame:
+        return rows if only is None else rows.join(only, "user_id", "left_semi")
+
+    below = picked(_read(spark, sorted(p for paths in chosen.values() for p in paths if _whole(p)), ROWS))
+    # A layer counts for the buckets that were not merged since it was written.
+    holds: dict[str, list[int]] = {}
+    for b, paths in sorted(chosen.items()):
+        for p in paths:
+            if not _whole(p):
+                holds.setdefault(p, []).append(b)
+    if not holds:
+        return below
+    alike: dict[tuple[int, ...], list[str]] = {}
+    for p, held in holds.items():
+        alike.setdefault(tuple(held), []).append(p)
+    layers = [spark.read.schema(LAYER_ROWS).parquet(*paths).where(F.col("bucket").isin(*held)) for held, paths in alike.items()]
+    newest = picked(reduce(DataFrame.unionByName, layers)).groupBy("user_id").agg(
+        F.max_by(F.struct("dates", "categories", "before"), "layer").alias("_row")).select("user_id", "_row.*")
+    known = newest.select("user_id")
+    if only is not None or sum(state.rows.get(p, 0) for p in holds) <= BROADCAST_USERS:
+        known = F.broadcast(known)
+    return below.join(known, "user_id", "left_anti").unionByName(newest)
+
+
+def _place_users(spark: SparkSession, old: State, due: DataFrame, n: int, touched: Sequence[int],
+                 folder: str) -> tuple[dict[int, list[str]], int, DataFrame]:
+    """Write the users after ``due`` (at most ``n`` changes) to ``folder``; returns the touched
+    buckets' folders, the rows written and those of changed users."""
+    held = {b: old.users[b] for b in touched if b in old.users}
+    paths = {p for all_ in held.values() for p in all_}
+    below = sum(old.rows.get(p, 0) for p in {_write_of(p) for p in paths if _whole(p)})
+    above = n + sum(old.rows.get(p, 0) for p in paths if not _whole(p))
+    if MERGE_SHARE * above >= below or max(map(len, held.values())) >= LAYERS:
+        written = write_frame(ss.apply_changes(ss.live(users(spark, old, touched)), due, old.buckets), folder, ("bucket",))
+        placed = {b: [f"{folder}/bucket={b}"] for b in touched}
+        return placed, written, _read(spark, [p for x in placed.values() for p in x], ROWS).where("before IS NOT NULL")
+    ids = due.select("user_id").distinct()
+    previous = ss.live(users(spark, old, touched, F.broadcast(ids) if n <= BROADCAST_USERS else ids))
+    changed = ss.apply_changes(previous, due, old.buckets).withColumn("layer", F.lit(old.version + 1))
+    written = write_frame(changed, folder, spread=False)
+    return {b: [*held.get(b, []), folder] for b in touched}, written, spark.read.schema(LAYER_ROWS).parquet(folder)
 
 
 def update(spark: SparkSession, root: str, detail: DataFrame, first: str, last: str | None = None,
@@ -108,11 +174,11 @@ def update(spark: SparkSession, root: str, detail: DataFrame, first: str, last:
     one_day = first == last
     found = ss.contribution(chosen, bad_statuses)
     if one_day:
-        write_frame(found.drop("dt"), f"{area}/days/dt={first}")
+        write_frame(found.drop("dt"), f"{area}/days/dt={first}", spread=False)
         written = {first: f"{area}/days/dt={first}"}
         new = _read(spark, list(written.values()), ss.CHANGE)
     else:
-        write_frame(found, f"{area}/days")
+        write_frame(found, f"{area}/days", spread=False)
         new = spark.read.schema(f"{ss.CHANGE}, dt string").parquet(f"{area}/days")
         written = {r["dt"]: f"{area}/days" for r in new.select("dt").distinct().collect()}   # one row per day
     replaced = {d: p for d, p in old.days.items() if first <= d <= last}
@@ -131,7 +197,8 @@ def update(spark: SparkSession, root: str, detail: DataFrame, first: str, last:
     bucket = F.when(is_due, ss.bucket_of(F.col("user_id"), old.buckets))
     observed = ss.difference(new, before, waiting).observe(
         seen, F.collect_set(bucket).alias("buckets"), F.count_if(~is_due).alias("waiting"))
-    metrics = seen.get if write_frame(observed, f"{area}/changes") else {"buckets": [], "waiting": 0}
+    n = write_frame(observed, f"{area}/changes", spread=False)
+    metrics = seen.get if n else {"buckets": [], "waiting": 0}
     changes = spark.read.schema(ss.CHANGE).parquet(f"{area}/changes")
     due, later = changes.where(is_due), None
     if metrics["waiting"]:
@@ -140,16 +207,17 @@ def update(spark: SparkSession, root: str, detail: DataFrame, first: str, last:
 
     # Only buckets with a changed user are read and written.
     touched = sorted(metrics["buckets"])
-    placed, trend = dict(old.users), old.trend
+    placed, sizes, trend = dict(old.users), dict(old.rows), old.trend
     if touched:
-        previous = ss.live(users(spark, old, touched)).withColumn("bucket", F.lit(0))
-        write_frame(ss.apply_changes(previous, due, old.buckets), f"{area}/users", ("bucket",))
-        placed |= {b: f"{area}/users/bucket={b}" for b in touched}
-        changed = users(spark, replace(old, users={b: placed[b] for b in touched})).where("before IS NOT NULL")
+        folder = f"{area}/users"
+        moved, sizes[folder], changed = _place_users(spark, old, due, n, touched, folder)
+        placed |= moved
+        needed = {_write_of(p) for paths in placed.values() for p in paths}
+        sizes = {p: k for p, k in sizes.items() if p in needed}
         days = _read(spark, [old.trend] if old.trend else [], ss.TREND)
         write_frame(ss.apply_trend(days, ss.trend_change(due, changed)), f"{area}/trend")
         trend = f"{area}/trend"
-    state = State(old.version + 1, old.buckets, as_of, tuple(sorted(bad_statuses)), placed,
+    state = State(old.version + 1, old.buckets, as_of, tuple(sorted(bad_statuses)), placed, sizes,
                   {d: p for d, p in old.days.items() if d not in replaced} | written, trend, later)
     _publish(spark, root, state)
     return state
@@ -199,7 +267,7 @@ def vacuum(spark: SparkSession, root: str) -> list[str]:
     base = f"{root.rstrip('/')}/{FOLDER}/data"
     fs, data = files.file_system(spark, base)
     needed = {p[p.index(f"/{FOLDER}/data/"):] for p in
-              [*state.users.values(), *state.days.values(), state.trend, state.waiting] if p}
+              [*(q for paths in state.users.values() for q in paths), *state.days.values(), state.trend, state.waiting] if p}
     gone = []
     for folder in fs.listStatus(data):
         for part in fs.listStatus(folder.getPath()):

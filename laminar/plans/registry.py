@@ -235,7 +235,7 @@ def _applied_day_by_day(spark: SparkSession, sf_dir: str, daily_runs: int) -> tu
     root = new_area(spark, "serving-state")
     columns = ["order_id", "user_id", "category_id", "order_date", "final_amount", "order_status", "dt"]
     orders = Warehouse(spark, sf_dir).dwd_order_info.select(*columns)
-    write_frame(orders, f"{root}/detail")
+    write_frame(orders, f"{root}/detail", sort_by=("dt",))       # a day's update skips the other days' pages
     detail = spark.read.schema(orders.schema).parquet(f"{root}/detail")
     days = sorted(r["dt"] for r in detail.select("dt").distinct().collect())       # the calendar
     alone = days[-daily_runs:]

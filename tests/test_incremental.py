@@ -142,3 +142,33 @@ def test_no_orders_at_all(spark, area):
     assert state.as_of == "2024-03-01" and not state.users
     assert incremental.user_behavior(spark, area).collect() == []
     assert incremental.sales_trend(spark, area).collect() == []
+
+
+def test_an_update_writes_the_users_it_changes_and_layers_merge(spark, area, monkeypatch):
+    """Layers above a large state equal a rebuild, through merges of some buckets, users that
+    lose all their orders and users that come back."""
+    monkeypatch.setattr(incremental, "LAYERS", 4)
+    monkeypatch.setattr(incremental, "BROADCAST_USERS", 3)      # both ways of joining
+    rng = random.Random(3)
+    landed = {d: [r for r in orders(rng, d, 400, users=300) if (r[3] or "") < "2024-03-10"] for d in (8, 9)}
+    before = update(spark, area, landed, 8, 9)
+    assert all(len(paths) == 1 for paths in before.users.values())
+    landed[10] = [("o", "u1", "a", "2024-03-10", 5.0, "pending", "2024-03-10")]
+    after = update(spark, area, landed, 10)
+    (b,) = [b for b in after.users if after.users[b] != before.users[b]]
+    assert after.users[b][:1] == before.users[b] and len(after.users[b]) == 2
+    assert after.rows[after.users[b][1]] == 1 == spark.read.parquet(after.users[b][1]).count()
+    check(spark, area, landed, "2024-03-10")
+    merged = False
+    for step in range(5):
+        landed[11 + step] = orders(rng, 11 + step, 2 + step, users=300)
+        if step == 2:
+            landed[10] = []                                     # u1's order is taken back
+            update(spark, area, landed, 10)
+        last = update(spark, area, landed, 11 + step)
+        merged |= any(len(p) == 1 and p != before.users[b] for b, p in last.users.items())
+        assert all(len(p) <= 4 for p in last.users.values())
+    assert merged and any(len(p) > 1 for p in last.users.values())
+    check(spark, area, landed, "2024-03-15")
+    assert incremental.vacuum(spark, area)
+    check(spark, area, landed, "2024-03-15")
