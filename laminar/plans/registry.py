@@ -452,8 +452,9 @@ def _delivered(spark: SparkSession, sf_dir: str, copies: int, count: int) -> tup
     events = Warehouse(spark, sf_dir).table("events")
     again = events.withColumn("_copy", F.explode(F.array(*[F.lit(i) for i in range(copies)])))
     place = F.pmod(F.xxhash64("event_id", "_copy"), F.lit(count)).cast("int")
-    dealt = again.repartitionByRange(count, place).drop("_copy")
-    dealt.write.parquet(f"{folder}/events.parquet")
+    dealt = again.repartitionById(count, place).drop("_copy")
+    # Row groups of a few MB: a batch of one large file is read by many tasks.
+    dealt.write.option("parquet.block.size", str(4 << 20)).parquet(f"{folder}/events.parquet")
     return folder, max(1, files.size(spark, f"{folder}/events.parquet") // 5)
 
 

@@ -53,11 +53,12 @@ class Landing:
 
 
 def one_per_key(rows: DataFrame, key: str) -> DataFrame:
-    """Each key once (of different rows the least, so that a rerun keeps the same one)."""
-    copies = rows.where(F.col(key).isNotNull()).groupBy(key).agg(
+    """Each key once (of different rows the least, so that a rerun keeps the same one). Rows
+    without a key are groups of their own, so all of it is one aggregate over one scan."""
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    copies = rows.withColumn("_alone", alone).groupBy(key, "_alone").agg(
         F.min(F.struct(*[c for c in rows.columns if c != key])).alias("_row"))
-    once = copies.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in rows.columns])
-    return once.unionByName(rows.where(F.col(key).isNull()))
+    return copies.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in rows.columns])
 
 
 def land_batch(batch: DataFrame, number: int, to: Landing) -> None:
@@ -72,7 +73,7 @@ def land_batch(batch: DataFrame, number: int, to: Landing) -> None:
 
     staged = conform(batch, to.spec).columns
     rows = batch.select(*staged, F.col(EVENT_TIME).cast("timestamp").alias(EVENT_TIME))
-    write_frame(one_per_key(rows, to.key), f"{stage}/once")
+    write_frame(one_per_key(rows, to.key), f"{stage}/once", spread=False)
     once = spark.read.schema(rows.schema).parquet(f"{stage}/once")
     seen = once.agg(F.max(EVENT_TIME).alias("t"), F.collect_set("dt").alias("days")).first()      # days of one batch
     present = [f"{table}/dt={d}" for d in seen["days"] if files.names(spark, f"{table}/dt={d}")]
@@ -80,7 +81,7 @@ def land_batch(batch: DataFrame, number: int, to: Landing) -> None:
     if present:
         landed = spark.read.schema(to.spec.full_schema).option("basePath", table).parquet(*present)
         new = once.join(landed.where(F.col(to.key).isNotNull()).select(to.key, "dt"), [to.key, "dt"], "left_anti")
-    write_frame(new.select(*rows.columns), f"{stage}/new")
+    write_frame(new.select(*rows.columns), f"{stage}/new", spread=False)
     new = spark.read.schema(rows.schema).parquet(f"{stage}/new")
     count = write_frame(conform(new, to.spec), f"{stage}/out", ("dt",))
 

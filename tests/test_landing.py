@@ -88,6 +88,15 @@ def test_batches_land_each_order_once_and_a_replay_touches_only_its_files(spark,
     assert landed(spark, to) == wanted(spark, once + more)
 
 
+def test_copies_become_one_by_one_scan(spark, area):
+    """Rows without a key are all kept, equal ones too, and the batch is read once."""
+    rows = [("a", 1), ("a", 1), ("a", 0), ("b", None), (None, 1), (None, 1), (None, None)]
+    spark.createDataFrame(rows, "k string, v int").write.parquet(f"{area}/rows")
+    once = landing.one_per_key(spark.read.parquet(f"{area}/rows"), "k")
+    assert Counter(tuple(r) for r in once.collect()) == Counter([("a", 0), ("b", None), (None, 1), (None, 1), (None, None)])
+    assert once._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+
+
 def test_a_batch_that_fails_half_way_is_replaced(spark, delivered, monkeypatch):
     folder, once = delivered
     to = landing.Landing(f"{folder}/warehouse", ODS_ORDER_INFO, "order_id")
