@@ -87,10 +87,13 @@ def run(spark: SparkSession, root: str, days: Days,
     else:
         target = {"day_range": (days.first, days.last)}
     write_table = _writer(publish, target)
+    # Cleaning has no shuffle: a range's rows come from the day folders they go to. A lookup
+    # that shuffles mixes the days, and one day is spread over its files' tasks again.
     users, orders = _concurrently(
-        lambda: write_table(clean_users(_read(spark, root, ODS_USER_INFO, days)), root, DWD_USER_INFO, **target),
+        lambda: write_table(clean_users(_read(spark, root, ODS_USER_INFO, days)), root, DWD_USER_INFO,
+                            spread="day" in target, **target),
         lambda: write_table(clean_orders(_read(spark, root, ODS_ORDER_INFO, days), category_rules, products),
-                            root, DWD_ORDER_INFO, **target))
+                            root, DWD_ORDER_INFO, spread="day" in target or products is not None, **target))
     detail = _read(spark, root, DWD_ORDER_INFO, days)
     if logins is not None:
         logins = logins.where(days.predicate())
