@@ -1,18 +1,18 @@
 """Byte-level BPE encoding and decoding with DuckDB recursive queries per partition.
 
 ``encode`` splits every text by the tokenizer's pattern. The different pre-tokens of a
-batch become rows (word, position, token) of their bytes; a recursive query joins
-neighbouring positions with the merge table and contracts each word's leftmost pair of
-minimum rank until no pair is left. A pre-token that is itself in the vocabulary is that
-token. ``decode`` joins (document, position, token) rows with the vocabulary and puts the
-bytes together with an ordered aggregate.
+batch become rows of a word's tokens (bytes at first) and the ranks of its pairs; a
+recursive query contracts each word's leftmost pair of minimum rank and joins the two new
+pairs beside it with the merge table, until no pair is left. A pre-token that is itself in
+the vocabulary is that token. ``decode`` joins (document, position, token) rows with the
+vocabulary and puts the bytes together with an ordered aggregate.
 
 No text is compared with another or shuffled: each Python worker keeps an in-memory DuckDB
 of one thread and bounded memory, holding the fixed vocabulary and one batch at a time.
 Words that the worker has contracted before are looked up in a cache of bounded size.
 
-Words over ``LONG`` bytes go through a keyed form of the query, which keeps one state per
-position instead of every round's and contracts all non-overlapping repeats of the
+Words over ``LONG`` bytes go through a keyed form of the query, which has a row per position,
+keeps one state of it instead of every round's and contracts all non-overlapping repeats of the
 minimum-rank pair in a round. That gives the same result: a merge only makes pairs of
 higher rank, so the repeats are contracted next anyway.
 
@@ -35,10 +35,11 @@ from laminar.llm.common import bounded_batches, worker_state
 
 LONG = 64                      # bytes of a word
 WORDS_PER_QUERY = 20_000
-CACHE = 400_000                # words a worker remembers
+SQUARES = 20_000_000           # a query's rounds hold about 4 bytes per squared byte of its words
+CACHE = 200_000                # words in each of two generations that a worker remembers
 SHIFT = 1 << 32                # rank and position packed into one integer for the minimum
 
-START = "SELECT word, pos, tok FROM start"
+NONE = (1 << 31) - 1           # rank of a pair that does not merge
 BEST = f"""
    pair AS (SELECT word, pos, tok, lead(tok) OVER w AS nxt, lead(pos) OVER w AS nxtpos
             FROM now WINDOW w AS (PARTITION BY word ORDER BY pos)),
@@ -46,18 +47,19 @@ BEST = f"""
               JOIN merges m ON m.pair = p.tok::BIGINT * {SHIFT} + p.nxt)"""
 SHORT_SQL = f"""
 WITH RECURSIVE step AS (
-  SELECT *, 0 AS round FROM ({START})
+  SELECT word, toks, ranks, list_min(ranks) AS id FROM start
   UNION ALL (
-   WITH now AS (SELECT * FROM step), {BEST},
-   best AS (SELECT word, min(id::BIGINT * {SHIFT} + pos) AS best, arg_min(nxtpos, id::BIGINT * {SHIFT} + pos) AS gone
-            FROM ranked GROUP BY word)
-   SELECT s.word, s.pos, CASE WHEN s.pos = b.best % {SHIFT} THEN (b.best // {SHIFT})::INT ELSE s.tok END, s.round + 1
-   FROM step s JOIN best b USING (word) WHERE s.pos <> b.gone)),
-last AS (SELECT word, max(round) AS round FROM step GROUP BY word)
-SELECT word, list(tok ORDER BY pos) AS ids FROM step JOIN last USING (word, round) GROUP BY word ORDER BY word"""
+   WITH best AS (SELECT *, list_position(ranks, id) AS i FROM step WHERE id < {NONE}),
+   met AS (SELECT *, toks[i - 1]::BIGINT * {SHIFT} + id AS before, id::BIGINT * {SHIFT} + toks[i + 2] AS after FROM best),
+   now AS (SELECT word, list_concat(toks[:i - 1], [met.id], toks[i + 2:]) AS toks,
+           list_concat(ranks[:greatest(i - 2, 0)], CASE WHEN i > 1 THEN [coalesce(l.id, {NONE})] ELSE [] END,
+                       CASE WHEN i + 1 < len(toks) THEN [coalesce(r.id, {NONE})] ELSE [] END, ranks[i + 2:]) AS ranks
+           FROM met LEFT JOIN merges l ON l.pair = before LEFT JOIN merges r ON r.pair = after)
+   SELECT word, toks, ranks, list_min(ranks) FROM now))
+SELECT word, toks AS ids FROM step WHERE id IS NULL OR id = {NONE} ORDER BY word"""
 LONG_SQL = f"""
 WITH RECURSIVE step(word, pos, tok) USING KEY (word, pos) AS (
-  {START}
+  SELECT word, pos, tok FROM start
   UNION (
    WITH now AS (SELECT * FROM recurring.step WHERE tok >= 0 AND word IN (SELECT word FROM step)), {BEST},
    hit AS (SELECT * FROM ranked QUALIFY id = min(id) OVER (PARTITION BY word)),
@@ -101,15 +103,28 @@ class Contractor:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM loaded")
         self.db.unregister("loaded")
         self.single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-
-    def _start(self, words: list[bytes]) -> pa.Table:
+        self.double = np.full((256, 256), NONE, dtype=np.int32)
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.double[token[0], token[1]] = rank
+
+    def _lists(self, words: list[bytes]) -> pa.Table:
+        """The bytes of every word, and the ranks of their pairs."""
+        ends = np.cumsum([0, *map(len, words)]).astype(np.int32)
+        raw = np.frombuffer(b"".join(words), dtype=np.uint8)
+        left = np.delete(np.arange(len(raw)), ends[1:] - 1)
+        toks = pa.ListArray.from_arrays(ends, self.single[raw])
+        ranks = pa.ListArray.from_arrays(ends - np.arange(len(ends), dtype=np.int32), self.double[raw[left], raw[left + 1]])
+        return pa.table({"word": np.arange(len(words), dtype=np.int32), "toks": toks, "ranks": ranks})
+
+    def _rows(self, words: list[bytes]) -> pa.Table:
         sizes = np.array([len(w) for w in words])
         word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
         pos = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         return pa.table({"word": word, "pos": pos, "tok": self.single[np.frombuffer(b"".join(words), dtype=np.uint8)]})
 
-    def _run(self, words: list[bytes], sql: str) -> list[np.ndarray]:
-        self.db.register("start", self._start(words))
+    def _run(self, start: pa.Table, sql: str) -> list[np.ndarray]:
+        self.db.register("start", start)
         got = self.db.sql(sql).to_arrow_table()["ids"].combine_chunks()
         self.db.unregister("start")
         flat = got.flatten().to_numpy(zero_copy_only=False).astype("<u4")
@@ -125,12 +140,16 @@ class Contractor:
                 out[i] = np.array([whole], dtype="<u4")
             else:
                 (short if len(w) <= LONG else long_).append(i)
-        for at in range(0, len(short), WORDS_PER_QUERY):
-            part = short[at:at + WORDS_PER_QUERY]
-            for i, ids in zip(part, self._run([words[i] for i in part], SHORT_SQL)):
-                out[i] = ids
+        part, squares = [], 0
+        for n, i in enumerate(short, 1):
+            part.append(i)
+            squares += len(words[i]) ** 2
+            if n == len(short) or len(part) == WORDS_PER_QUERY or squares > SQUARES:
+                for j, ids in zip(part, self._run(self._lists([words[j] for j in part]), SHORT_SQL)):
+                    out[j] = ids
+                part, squares = [], 0
         for i in long_:
-            out[i] = self._run([words[i]], LONG_SQL)[0]
+            out[i] = self._run(self._rows([words[i]]), LONG_SQL)[0]
         return out
 
 
@@ -142,12 +161,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         import regex
         split = regex.compile(pattern).findall
         contractor = worker_state("contractor " + ranks_path, lambda: Contractor(read_ranks(ranks_path)))
-        known = worker_state("contracted " + ranks_path, dict)
+        known, older = worker_state("contracted " + ranks_path, lambda: ({}, {}))
         for batch in bounded_batches(batches, 4 << 20):
             found = [split(t or "") for t in batch.column(1).to_pylist()]
-            if len(known) > CACHE:
+            if len(known) > CACHE:                          # a full generation becomes the older one
+                older.clear()
+                older.update(known)
                 known.clear()
-            new = list({w for words in found for w in words if w not in known})
+            new = {w for words in found for w in words if w not in known}
+            known.update([(w, older[w]) for w in new if w in older])
+            new = [w for w in new if w not in known]
             known.update(zip(new, (x.tobytes() for x in contractor.ids([w.encode() for w in new]))))
             coded = [b"".join([known[w] for w in words]) for words in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(c) // 4 for c in coded], pa.int64()),

@@ -227,6 +227,15 @@ def test_components_of_a_long_path(spark):
 
 
 # ---------------------------------------------------------------- byte-level BPE
+def test_a_query_of_longest_short_words_stays_in_memory(tiktoken_encoding):
+    rng = random.Random(5)
+    words = {"".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789") for _ in range(byte_bpe.LONG)) for _ in range(20_000)}
+    words = [*words, "a", "aa", "é", "日本"]
+    got = byte_bpe.Contractor(byte_bpe.read_ranks(RANKS)).ids([w.encode() for w in words])
+    for w, ids in zip(words, got):
+        assert ids.tolist() == tiktoken_encoding._core_bpe.encode_single_piece(w.encode())
+
+
 @pytest.fixture(scope="module")
 def tiktoken_encoding():
     import tiktoken
