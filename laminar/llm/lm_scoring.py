@@ -55,7 +55,7 @@ CONTEXTS = 160                 # frequent ids whose pairs describe an id
 DIM = 8
 STRIDE, OVERLAP = 32, 8
 BATCH = 512                    # windows per step
-ATTENDED, SCORED = 128, 2048   # windows whose attention, and whose softmax, is computed at once
+ATTENDED, SCORED = 128, 2048   # windows that are computed, and handed over, at once
 
 
 def held_out(id_: Column) -> Column:
@@ -131,116 +131,159 @@ def bounded(a: np.ndarray, b: np.ndarray, extra: float = 0.0) -> bool:
     return np.prod(list(longest)) + extra < 60
 
 
-def attend(parts: tuple[np.ndarray, ...], inputs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Attention of the query positions ``at`` of every window: weights and outputs."""
+def attention(parts: tuple[np.ndarray, ...]) -> tuple:
+    """What ``attend`` needs of the weights: scaled queries, keys, values with a last column
+    of ones, and the distance bias with whether exponentials are small enough to be taken as
+    they are; then it is a factor."""
     q, k, v, _, _, bias = parts
-    dist = DISTANCE[at]
-    shown = np.where(inputs < 0, 0, inputs)
+    scaled, near = q * np.float32(DIM ** -0.5), np.maximum(DISTANCE, 0)
+    small = bounded(scaled, k, float(np.abs(bias).max()))
+    if small:
+        shift = np.where(DISTANCE >= 0, np.exp(bias)[near], np.float32(0))
+    else:
+        shift = np.where(DISTANCE >= 0, bias[near], np.float32(-1e9))
+    return scaled, k, np.concatenate([v, np.ones((len(v), 1), np.float32)], axis=1), shift, small
+
+
+def attend(heads: tuple, inputs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Attention of the query positions ``at`` of every window: outputs, weights before their
+    division by their sum, and that sum. The ones in the values give it with the outputs."""
+    queries, keys, values, shift, small = heads
+    shown = np.maximum(inputs, 0).astype(np.intp)
     last = shown[:, OVERLAP + at]
-    scaled = q * np.float32(DIM ** -0.5)
-    qs, ks, vs = scaled[last], k[shown], v[shown]
+    qs, ks, vs = queries.take(last, axis=0), keys.take(shown, axis=0), values.take(shown, axis=0)
     scores = np.matmul(qs, ks.transpose(0, 2, 1))
-    scores += np.where(dist >= 0, bias[np.maximum(dist, 0)], np.float32(-1e9))
     padded = np.flatnonzero(inputs[:, 0] < 0)               # padding stands before a text's first window only
-    scores[padded] += np.where(inputs[padded] < 0, np.float32(-1e9), np.float32(0))[:, None, :]
-    if not bounded(scaled, k, float(np.abs(bias).max())):
+    if small:
+        np.exp(scores, out=scores)
+        scores *= shift[at]
+        scores[padded] *= (inputs[padded] >= 0)[:, None, :]
+    else:
+        scores += shift[at]
+        scores[padded] += np.where(inputs[padded] < 0, np.float32(-1e9), np.float32(0))[:, None, :]
         scores -= scores.max(axis=2, keepdims=True)
-    np.exp(scores, out=scores)
-    scores /= scores.sum(axis=2, keepdims=True)
-    return scores, np.matmul(scores, vs), last, shown, qs, ks, vs
+        np.exp(scores, out=scores)
+    sums = np.matmul(scores, vs)
+    return sums[..., :DIM] / sums[..., DIM:], scores, sums[..., DIM], last, shown, qs, ks, vs
 
 
-def by_block(goal: np.ndarray):
-    """(block, positions) of the targets of each block."""
+def by_block(targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+    """Places of all targets in the order of their blocks, their blocks, their numbers in the
+    block, and (block, its rows of that order)."""
+    places = np.flatnonzero(targets >= 0)
+    goal = targets.ravel()[places]
     blocks = goal // BLOCK
-    order = np.argsort(blocks, kind="stable")
-    edges = np.searchsorted(blocks[order], np.arange(BLOCKS + 1))
-    for b, (lo, hi) in enumerate(zip(edges, edges[1:])):
-        if lo < hi:
-            yield b, order[lo:hi]
+    order = np.argsort(blocks.astype(np.uint8), kind="stable")
+    places, blocks, goal = places[order], blocks[order], goal[order]
+    edges = np.searchsorted(blocks, np.arange(BLOCKS + 1)).tolist()
+    return places, blocks, goal - blocks * BLOCK, [(b, slice(*e)) for b, e in enumerate(zip(edges, edges[1:])) if e[0] < e[1]]
+
 
+def block_logits(out: np.ndarray, u: np.ndarray, parts: list[tuple[int, slice]]) -> np.ndarray:
+    """Products of the rows with the classes of their own block."""
+    logits = np.empty((len(out), BLOCK), dtype=np.float32)
+    for b, rows in parts:
+        np.matmul(out[rows], u[:, b * BLOCK:(b + 1) * BLOCK], out=logits[rows])
+    return logits
 
-def softmax_logs(out: np.ndarray, u: np.ndarray, share: np.ndarray, goal: np.ndarray, small: bool) -> np.ndarray:
-    """log of ``share * exp(out @ u)``, normalised, at ``goal``; ``small`` says that no
-    exponential can overflow."""
-    logits = out @ u
+
+def weigh(logits: np.ndarray, share: np.ndarray, small: bool) -> np.ndarray:
+    """Puts ``share * exp(logits)`` into ``logits`` and returns its sums; ``small`` says that
+    no exponential can overflow."""
     if not small:
         logits -= logits.max(axis=1, keepdims=True)
-    n = np.arange(len(goal))
-    picked = logits[n, goal] + np.log(share[n, goal])
     np.exp(logits, out=logits)
     logits *= share
-    return picked - np.log(logits @ np.ones(logits.shape[1], dtype=np.float32))
+    return logits @ np.ones(logits.shape[1], dtype=np.float32)
+
+
+def softmax_logs(logits: np.ndarray, share: np.ndarray, goal: np.ndarray, small: bool) -> np.ndarray:
+    """log of ``share * exp(logits)``, normalised, at ``goal``; changes ``logits``."""
+    if not small:
+        logits -= logits.max(axis=1, keepdims=True)
+    cells = np.arange(0, logits.size, logits.shape[1]) + goal
+    picked, of = logits.ravel()[cells], share.ravel()[cells]
+    return picked + np.log(of / weigh(logits, share, True))
+
+
+def small_logits(parts: tuple[np.ndarray, ...]) -> list[bool]:
+    return [bounded(parts[2], u.T) for u in (parts[4], parts[3])]           # an output is a mean of value rows
 
 
 def log_probabilities(parts: tuple[np.ndarray, ...], tables: tuple[np.ndarray, np.ndarray], inputs: np.ndarray,
                       targets: np.ndarray) -> np.ndarray:
     """Natural log p(class) of every target (0 where there is none)."""
-    outs, lasts = [], []
-    for at in range(0, len(inputs), ATTENDED):
-        _, out, last, *_ = attend(parts, inputs[at:at + ATTENDED], np.arange(STRIDE))
-        mine = targets[at:at + ATTENDED] >= 0
-        outs.append(out[mine])
-        lasts.append(last[mine])
     got = np.zeros(targets.shape, dtype=np.float64)
-    if not outs:
-        return got
-    real = targets >= 0
-    out, last, goal = np.concatenate(outs), np.concatenate(lasts), targets[real]
-    small = [bounded(parts[2], u.T) for u in (parts[4], parts[3])]      # an output is a mean of value rows
-    logs = softmax_logs(out, parts[4], tables[0][last], goal // BLOCK, small[0])
-    for b, rows in by_block(goal):
-        cut = slice(b * BLOCK, (b + 1) * BLOCK)
-        logs[rows] += softmax_logs(out[rows], parts[3][:, cut], tables[1][b][last[rows]], goal[rows] - b * BLOCK, small[1])
-    got[real] = logs
+    heads, small, inner = attention(parts), small_logits(parts), tables[1].reshape(-1, BLOCK)
+    for at in range(0, len(inputs), ATTENDED):
+        out, _, _, last, *_ = attend(heads, inputs[at:at + ATTENDED], np.arange(STRIDE))
+        places, blocks, goal, cuts = by_block(targets[at:at + ATTENDED])
+        out, last = out.reshape(-1, DIM)[places], last.ravel()[places]
+        logs = softmax_logs(out @ parts[4], tables[0].take(last, axis=0), blocks, small[0])
+        logs += softmax_logs(block_logits(out, parts[3], cuts), inner.take(blocks * CLASSES + last, axis=0), goal, small[1])
+        got[at:at + ATTENDED].reshape(-1)[places] = logs
     return got
 
 
+def sums_by_class(classes: np.ndarray, grads: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``grads`` per class."""
+    flat = classes.ravel().astype(np.int16)
+    order = np.argsort(flat, kind="stable")
+    sizes = np.bincount(flat, minlength=CLASSES)
+    found = np.flatnonzero(sizes)
+    out = np.zeros((CLASSES, grads.shape[-1]), dtype=np.float32)
+    out[found] = np.add.reduceat(grads.reshape(len(flat), -1).take(order, axis=0), (np.cumsum(sizes) - sizes)[found], axis=0)
+    return out
+
+
 def gradient(weights: np.ndarray, tables: tuple[np.ndarray, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
              at: np.ndarray) -> np.ndarray:
     """Gradient of the mean negative log-probability over the query positions ``at``."""
     parts = unpack(weights)
-    q, k, v, u, top, bias = parts
-    scores, out, last, shown, qs, ks, vs = attend(parts, inputs, at)
+    heads, small = attention(parts), small_logits(parts)
     goals = targets[:, at]
-    real = goals >= 0
-    rows_out, rows_last, goal = out[real], last[real], goals[real]
-    n = max(1, len(goal))
-
-    def error(o, w, share, g):
-        p = o @ w
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p *= share
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(g)), g] -= 1
-        p /= n
+    n = np.float32(max(1, (goals >= 0).sum()))
+    return sum((_gradient(parts, heads, small, tables, inputs[i:i + ATTENDED], goals[i:i + ATTENDED], at, n)
+                for i in range(0, len(inputs), ATTENDED)), np.zeros_like(weights))
+
+
+def _gradient(parts: tuple[np.ndarray, ...], heads: tuple, small: list[bool], tables: tuple[np.ndarray, np.ndarray],
+              inputs: np.ndarray, goals: np.ndarray, at: np.ndarray, n: np.float32) -> np.ndarray:
+    """The share of these windows in the gradient of a mean over ``n`` targets."""
+    u, top, bias = parts[3:]
+    out, scores, total, last, shown, qs, ks, vs = attend(heads, inputs, at)
+    places, blocks, goal, cuts = by_block(goals)
+    rows_out, rows_last = out.reshape(-1, DIM)[places], last.ravel()[places]
+
+    def error(p, share, g, fits):
+        p *= (1 / (weigh(p, share, fits) * n))[:, None]
+        p.reshape(-1)[np.arange(0, p.size, p.shape[1]) + g] -= 1 / n
         return p
 
-    e = error(rows_out, top, tables[0][rows_last], goal // BLOCK)
+    e = error(rows_out @ top, tables[0].take(rows_last, axis=0), blocks, small[0])
     d_top, d_rows, d_u = rows_out.T @ e, e @ top.T, np.zeros_like(u)
-    for b, rows in by_block(goal):
+    share = tables[1].reshape(-1, BLOCK).take(blocks * CLASSES + rows_last, axis=0)
+    e = error(block_logits(rows_out, u, cuts), share, goal, small[1])
+    for b, rows in cuts:
         cut = slice(b * BLOCK, (b + 1) * BLOCK)
-        e = error(rows_out[rows], u[:, cut], tables[1][b][rows_last[rows]], goal[rows] - b * BLOCK)
-        d_u[:, cut] = rows_out[rows].T @ e
-        d_rows[rows] += e @ u[:, cut].T
-    d_out = np.zeros_like(out)
-    d_out[real] = d_rows
-    d_a = np.matmul(d_out, vs.transpose(0, 2, 1))
-    d_v = np.matmul(scores.transpose(0, 2, 1), d_out)
-    d_s = scores * (d_a - (d_a * scores).sum(axis=2, keepdims=True))
+        d_u[:, cut] = rows_out[rows].T @ e[rows]
+        d_rows[rows] += e[rows] @ u[:, cut].T
+    # The last column takes the mean of the weights' gradients off, by the ones in vs.
+    d_out = np.zeros((*last.shape, DIM + 1), dtype=np.float32)
+    mean = (d_rows * rows_out) @ np.ones(DIM, dtype=np.float32)
+    d_out.reshape(-1, DIM + 1)[places] = np.column_stack([d_rows, -mean]) / total.ravel()[places, None]
+    d_s = np.matmul(d_out, vs.transpose(0, 2, 1))
+    d_s *= scores
     dist = DISTANCE[at]
     ahead = dist >= 0
     d_bias = np.bincount(dist[ahead], weights=d_s.sum(axis=0)[ahead], minlength=len(bias))
     d_q = np.matmul(d_s, ks) * np.float32(DIM ** -0.5)
-    d_k = np.matmul(d_s.transpose(0, 2, 1), qs)             # the queries are scaled already
-
-    def gather(rows: np.ndarray, grads: np.ndarray) -> np.ndarray:
-        cells = (rows.reshape(-1, 1).astype(np.int64) * DIM + np.arange(DIM)).ravel()
-        return np.bincount(cells, weights=grads.ravel(), minlength=CLASSES * DIM)
-
-    return np.concatenate([gather(last, d_q), gather(shown, d_k), gather(shown, d_v), d_u.ravel(), d_top.ravel(),
-                           d_bias]).astype(np.float32)
+    d_kv = np.empty((*shown.shape, 2 * DIM), dtype=np.float32)
+    d_kv[..., :DIM] = np.matmul(d_s.transpose(0, 2, 1), qs)          # the queries are scaled already
+    d_kv[..., DIM:] = np.matmul(scores.transpose(0, 2, 1), d_out[..., :DIM])
+    d_kv = sums_by_class(shown, d_kv)
+    return np.concatenate([sums_by_class(last, d_q).ravel(), d_kv[:, :DIM].ravel(), d_kv[:, DIM:].ravel(), d_u.ravel(),
+                           d_top.ravel(), d_bias]).astype(np.float32)
 
 
 class Adam:

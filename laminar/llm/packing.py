@@ -50,9 +50,10 @@ def make_encoder(vocabulary: str, cache_size: int = 300_000):
     The vocabulary's splitting rule never crosses white space, so a text is encoded chunk
     by chunk with a bounded cache. A chunk of common Latin letters and symbols is split by
     the vocabulary's own pattern and its parts go straight to the merge model; any other
-    chunk goes through the whole tokenizer.
+    chunk goes through the whole tokenizer. A chunk of ASCII letters is one part.
     """
     import json
+    import struct
     import unicodedata
 
     import regex
@@ -72,6 +73,7 @@ def make_encoder(vocabulary: str, cache_size: int = 300_000):
     hidden = [b for b in range(256) if b not in shown]
     table = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
     letters = [table[b] for b in range(256)]
+    ids_of = struct.Struct("<I")
     # Two generations: a full one becomes the older, from which chunks met again come back.
     chunks: dict[bytes, bytes] = {}
     older: dict[bytes, bytes] = {}
@@ -80,8 +82,8 @@ def make_encoder(vocabulary: str, cache_size: int = 300_000):
     def part(p: str) -> bytes:
         if len(parts) > cache_size:
             parts.clear()
-        found = model.tokenize("".join([letters[b] for b in p.encode()]))
-        out = parts[p] = np.array([t.id for t in found], dtype="<u4").tobytes()
+        found = model.tokenize(p if p.isalpha() and p.isascii() else "".join([letters[b] for b in p.encode()]))
+        out = parts[p] = ids_of.pack(found[0].id) if len(found) == 1 else np.array([t.id for t in found], dtype="<u4").tobytes()
         return out
 
     def chunk(raw: bytes) -> bytes:
@@ -93,6 +95,10 @@ def make_encoder(vocabulary: str, cache_size: int = 300_000):
         if known is not None:
             chunks[raw] = known
             return known
+        if raw.isalpha():                                   # A-Z only: one part
+            text = raw.lower().decode()
+            out = chunks[raw] = parts.get(text) or part(text)
+            return out
         text = raw.decode()
         if plain(text) and unicodedata.is_normalized("NFC", text):
             out = b"".join([parts.get(p) or part(p) for p in split(text.lower())])

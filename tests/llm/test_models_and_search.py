@@ -230,6 +230,28 @@ def test_class_probabilities_sum_to_one_and_gradient_is_right():
         assert (loss(weights + step) - loss(weights - step)) / 2e-2 == pytest.approx(grad[i], abs=2e-3)
 
 
+def test_a_gradient_is_made_in_chunks_of_windows():
+    import tracemalloc
+    rng = np.random.default_rng(4)
+    tables, at = random_tables(rng), np.arange(lm_scoring.STRIDE)
+    inputs, targets, _, _ = lm_scoring.windows([rng.integers(0, lm_scoring.CLASSES, 32 * 7 + 5) for _ in range(64)], 0)
+
+    def peak(weights, n):
+        tracemalloc.start()
+        lm_scoring.gradient(weights, tables, inputs[:n], targets[:n], at)
+        try:
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    for weights in (lm_scoring.first_weights(), lm_scoring.first_weights() * 20):        # small and large exponents
+        whole, count = lm_scoring.gradient(weights, tables, inputs, targets, at), (targets >= 0).sum()
+        parts = sum(lm_scoring.gradient(weights, tables, inputs[i:i + 100], targets[i:i + 100], at)
+                    * ((targets[i:i + 100] >= 0).sum() / count) for i in range(0, len(inputs), 100))
+        assert np.isfinite(whole).all() and np.allclose(whole, parts, rtol=1e-3, atol=1e-4 * np.abs(whole).max())
+        assert peak(weights, 512) < 2 * peak(weights, 128)
+
+
 def test_similar_centres_share_a_block():
     rng = np.random.default_rng(0)
     far = np.repeat(np.eye(4) * 10, 6, axis=0) + rng.standard_normal((24, 4)) * 0.01
