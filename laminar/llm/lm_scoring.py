@@ -39,10 +39,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laminar.llm.common import bounded_batches, forget, materialise
+from laminar.llm.common import bounded_batches, forget, materialise, split_words
 from laminar.llm.packing import word_encoder
 
 VOCABULARY = 49408             # ids of the vocabulary, its two special ids included
@@ -300,26 +301,41 @@ class Adam:
 
 
 # ---------------------------------------------------------------- corpus passes
-def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, id, held_out, text, ids) per document, written; ids are unsigned 16-bit and
-    end with ``END``; ``row`` is unique."""
-    fields = [("row", pa.int64()), ("id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.string()), ("ids", pa.binary())]
+def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(row, id, held_out, text, ids) per document; ids are unsigned 16-bit and end with
+    ``END``; ``row`` is unique. Beside it (word, c) over all training texts, A-Z lower-cased,
+    without the end. Both are made in one pass and written: the words of a batch follow its
+    documents, with their number in ``c``, and are added up after it."""
+    fields = [("row", pa.int64()), ("id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.string()), ("ids", pa.binary()),
+              ("c", pa.int64())]
     schema = pa.schema(fields)
-    end = int(END).to_bytes(2, "little")
 
     def run(batches):
         coder = None
         for batch in bounded_batches(batches, 4 << 20):
             coder = coder or word_encoder(vocabulary)
-            texts = batch.column(3).cast(pa.binary()).to_pylist()
-            ids = [np.frombuffer(coder(t), dtype="<u4").astype("<u2").tobytes() + end for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], schema=schema)
+            if coder.full:
+                coder.clear()
+            words = split_words(batch.column(3))
+            ids, sizes = coder.encode(words)
+            ends = np.cumsum(sizes)
+            ids = np.insert(ids.astype("<u2"), ends, END)
+            places = np.concatenate([[0], 2 * (ends + np.arange(1, len(ends) + 1))])
+            coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(places), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, coded.cast(pa.binary()), pa.nulls(len(ends), pa.int64())], schema=schema)
+            trained = np.repeat(~batch.column(2).to_numpy(zero_copy_only=False), words.sizes)
+            n = np.bincount(words.which[trained], minlength=len(words.kinds))
+            kinds = pc.ascii_lower(words.kinds.filter(pa.array(n > 0)))
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(kinds), t) for _, t in fields[:3]), kinds,
+                                              pa.nulls(len(kinds), pa.binary()), pa.array(n[n > 0], pa.int64())], schema=schema)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"),
                        held_out(F.col(id_col)).alias("held_out"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return materialise(rows.mapInArrow(run, "row bigint, id bigint, held_out boolean, text string, ids binary"),
+    made = materialise(rows.mapInArrow(run, "row bigint, id bigint, held_out boolean, text string, ids binary, c bigint"),
                        "lm-encoded", compression="zstd")
+    counts = made.where("c IS NOT NULL").groupBy(F.col("text").alias("word")).agg(F.sum("c").alias("c"))
+    return made.where("c IS NULL").drop("c"), counts
 
 
 def pair_counts(train: DataFrame) -> DataFrame:
@@ -484,44 +500,17 @@ def _round(rows: DataFrame, cls: np.ndarray, tables: tuple[np.ndarray, np.ndarra
 
 
 # ---------------------------------------------------------------- base counts and scores
-def word_counts(train_rows: DataFrame, limit: int = 400_000) -> DataFrame:
-    """(word, c) over all training texts, A-Z lower-cased, without the end. A task adds up
-    its words in bounded state before the shuffle."""
-    schema = pa.schema([("word", pa.string()), ("c", pa.int64())])
-
-    def run(batches):
-        from collections import Counter
-        counts: Counter = Counter()
-
-        def send():
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts.keys()), pa.binary()).cast(pa.string()),
-                                              pa.array(list(counts.values()), pa.int64())], schema=schema)
-            counts.clear()
-            return out
-
-        for batch in bounded_batches(batches):
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                counts.update(text.lower().split())
-            if len(counts) > limit:
-                yield send()
-        if counts:
-            yield send()
-
-    return train_rows.select("text").mapInArrow(run, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
-
-
 def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
           heavy_share: float = 1e-6, rounds: int = 2) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row."""
     spark = docs.sparkSession
-    encoded = encode(docs, vocabulary, id_col, text_col)
-    train_rows = encoded.where("NOT held_out")
-    counts = materialise(word_counts(train_rows), "lm-words")
-    ends = train_rows.count()
+    encoded, counts = encode(docs, vocabulary, id_col, text_col)
+    counts = materialise(counts, "lm-words")
+    ends = encoded.where("NOT held_out").count()
     size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, kinds = size["n"] + ends, size["v"] + (1 if ends else 0)
     limit = total * heavy_share                              # so there are at most 1 / heavy_share heavy words
-    heavy = {r["word"].encode(): r["c"] for r in counts.where(F.col("c") > limit).collect()}
+    heavy = {r["word"]: r["c"] for r in counts.where(F.col("c") > limit).collect()}
     model = train(encoded, rounds)
     down = total + ALPHA * (kinds + 1)
     scored = materialise(_score_rows(encoded, model, heavy, ends, down), "lm-scored", compression="zstd")
@@ -536,45 +525,36 @@ def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
                          (F.col("base_score") + F.coalesce("s", F.lit(0.0))).alias("base_score"), "score")
 
 
-def _score_rows(encoded: DataFrame, model: Model, heavy: dict[bytes, int], ends: int, down: float) -> DataFrame:
+def _score_rows(encoded: DataFrame, model: Model, heavy: dict[str, int], ends: int, down: float) -> DataFrame:
     """Model scores, and base scores with every rare word taken as unknown; ``rare`` lists them."""
     rare_type = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
     schema = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                         ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("rare", rare_type)])
-    shared = encoded.sparkSession.sparkContext.broadcast((model.cls, model.log_share, model.tables, model.weights, heavy))
+    shared = encoded.sparkSession.sparkContext.broadcast((
+        model.cls, model.log_share, model.tables, model.weights, list(heavy), np.log10(np.array(list(heavy.values())) + ALPHA)))
 
     def run(batches):
-        from collections import Counter
-        from itertools import compress, repeat
-        cls, log_share, tables, weights, frequent = shared.value
-        parts = unpack(weights)
-        log_of = {w: float(np.log10(c + ALPHA)) for w, c in frequent.items()}.get
+        cls, log_share, tables, weights, frequent, logs = shared.value
+        parts, frequent = unpack(weights), pa.array(frequent, pa.string())
         forget("encoder")                                   # its cache is of no use from here on
-        unknown, norm = float(np.log10(ALPHA)), float(np.log10(down))
+        log_of, norm = np.append(logs, np.log10(ALPHA)), float(np.log10(down))      # unknown words come last
         for batch in bounded_batches(batches, 4 << 20):
-            sizes, knowns, bases, rares = [], [], [], []
-            for text in batch.column(3).cast(pa.binary()).to_pylist():
-                words = text.lower().split()
-                n = len(words)
-                logs = np.fromiter(map(log_of, words, repeat(np.nan)), dtype=np.float64, count=n)
-                absent = np.isnan(logs)
-                k = int(absent.sum())
-                rare = list(Counter(compress(words, absent.tolist())).items())
-                sizes.append(n + 1)
-                knowns.append(n - k + (1 if ends else 0))
-                bases.append(float(np.nansum(logs)) + k * unknown + float(np.log10(ends + ALPHA)) - (n + 1) * norm)
-                rares.append(rare)
+            words = split_words(pc.ascii_lower(batch.column(3)))
+            n, sizes = len(words.sizes), words.sizes + 1
+            place = pc.fill_null(pc.index_in(words.kinds, value_set=frequent), -1).to_numpy()[words.which]
+            owner, absent = np.repeat(np.arange(n), words.sizes), np.flatnonzero(place < 0)
+            knowns = words.sizes - np.bincount(owner[absent], minlength=n) + (1 if ends else 0)
+            bases = np.bincount(owner, weights=log_of[place], minlength=n) + np.log10(ends + ALPHA) - sizes * norm
+            rare, times = np.unique(owner[absent] * len(words.kinds) + words.which[absent], return_counts=True)
+            edges = np.searchsorted(rare, np.arange(n + 1) * len(words.kinds)).astype(np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(edges), pa.StructArray.from_arrays(
+                [words.kinds.take(pa.array(rare % max(1, len(words.kinds)))), pa.array(times, pa.int64())], names=["word", "n"]))
             ids = [np.frombuffer(x, dtype="<u2") for x in batch.column(4).to_pylist()]
             totals = np.array([log_share[i].sum() for i in ids])
             inputs, targets, texts, _ = windows([cls[i] for i in ids], int(cls[START]))
             for at in range(0, len(inputs), SCORED):
                 logs = log_probabilities(parts, tables, inputs[at:at + SCORED], targets[at:at + SCORED])
                 totals += np.bincount(texts[at:at + SCORED], weights=logs.sum(axis=1) / np.log(10), minlength=len(ids))
-            edges = np.cumsum([0, *map(len, rares)]).astype(np.int32)
-            flat = [x for r in rares for x in r]
-            listed = pa.ListArray.from_arrays(pa.array(edges), pa.StructArray.from_arrays(
-                [pa.array([w for w, _ in flat], pa.binary()).cast(pa.string()), pa.array([k for _, k in flat], pa.int64())],
-                names=["word", "n"]))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(knowns, pa.int64()),
                                               pa.array(bases), pa.array(totals), listed], schema=schema)
 

@@ -22,6 +22,7 @@ columns of the pieces travel with them; ``pack`` itself reads only ``length``.
 
 from __future__ import annotations
 
+import unicodedata
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from laminar.llm.common import bounded_batches, materialise, worker_state
+from laminar.llm.common import Words, bounded_batches, materialise, split_words, worker_state
 
 CAPACITY = 2048
 GROUP_BINS = 1024
@@ -39,84 +40,172 @@ FORWARD = 0.125                # share of a group's sequences that the next roun
 
 
 # ---------------------------------------------------------------- token ids
-def word_encoder(vocabulary: str):
-    """``make_encoder``'s function, made once per Python worker."""
-    return worker_state("encoder " + vocabulary, lambda: make_encoder(vocabulary))
+def word_encoder(vocabulary: str) -> "WordEncoder":
+    """An encoder that is made once per Python worker."""
+    return worker_state("encoder " + vocabulary, lambda: WordEncoder(vocabulary))
 
 
-def make_encoder(vocabulary: str, cache_size: int = 300_000):
-    """A function from a text's UTF-8 bytes to its ids as little-endian 32-bit integers.
+class WordEncoder:
+    """Ids of texts that are split at white space into chunks.
 
-    The vocabulary's splitting rule never crosses white space, so a text is encoded chunk
-    by chunk with a bounded cache. A chunk of common Latin letters and symbols is split by
-    the vocabulary's own pattern and its parts go straight to the merge model; any other
-    chunk goes through the whole tokenizer. A chunk of ASCII letters is one part.
+    The vocabulary's splitting rule never crosses white space, so texts are encoded chunk
+    by chunk; ``known`` numbers the chunks met so far, and those that a call adds are
+    encoded together. Chunks of common Latin letters and symbols are split by the
+    vocabulary's own pattern and their parts are merged side by side; any other chunk goes
+    through the whole tokenizer. ``full`` says that ``known`` should be cleared.
     """
-    import json
-    import struct
-    import unicodedata
-
-    import regex
-    from tokenizers import Tokenizer
-
-    with open(vocabulary, encoding="utf-8") as f:
-        pattern = json.load(f)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-    tokenizer = Tokenizer.from_file(vocabulary)
-    tokenizer.encode_special_tokens = True
-    model = tokenizer.model
-    split = regex.compile(pattern).findall
-    # Characters whose lower case and composition do not depend on the Unicode version.
-    plain = regex.compile("[!-~¡-¬®-įı-ž]+").fullmatch
+
+    def __init__(self, vocabulary: str, cache_size: int = 600_000):
+        import json
+
+        import regex
+        from tokenizers import Tokenizer
+
+        with open(vocabulary, encoding="utf-8") as f:
+            rules = json.load(f)
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer.encode_special_tokens = True
+        self.merge = make_merger(rules["model"], self.tokenizer.model)
+        self.split = regex.compile(rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        # Characters whose lower case and composition do not depend on the Unicode version;
+        # each has a lower case of one character.
+        self.plain = regex.compile("[ !-~¡-¬®-įı-ž]+").fullmatch
+        self.cache_size = cache_size
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids = np.zeros(0, dtype=np.int32)             # of all known chunks, one after another
+        self.ends = np.zeros(0, dtype=np.int64)            # of every known chunk's ids
+        self.counts = np.zeros(0, dtype=np.int64)
+
+    @property
+    def full(self) -> bool:
+        return len(self.known) > self.cache_size
+
+    def encode(self, chunks: Words) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many of them each text has."""
+        kinds = chunks.kinds.cast(pa.binary()).to_pylist()
+        found = list(map(self.known.get, kinds))
+        if None in found:
+            self._add([c for c, k in zip(kinds, found) if k is None])
+            found = [self.known[c] if k is None else k for c, k in zip(kinds, found)]
+        numbers = np.array(found, dtype=np.int64)[chunks.which]
+        n = self.counts[numbers]
+        ends = np.cumsum(n)
+        ids = self.ids[np.repeat(self.ends[numbers] - ends, n) + np.arange(n.sum())]
+        return ids, np.diff(np.concatenate([[0], ends])[np.cumsum(chunks.sizes)], prepend=0)
+
+    def _usual(self, text: str) -> bool:
+        return self.plain(text) is not None and unicodedata.is_normalized("NFC", text)
+
+    def _add(self, new: list[bytes]) -> None:
+        text = b" ".join(new).decode()
+        if not self._usual(text):
+            usual = [c for c in new if self._usual(c.decode())]
+            odd = list(set(new).difference(usual))
+            coded = [self.tokenizer.encode(c.decode(), add_special_tokens=False).ids for c in odd]
+            self._keep(odd, np.array([i for c in coded for i in c], dtype=np.int32), np.array([len(c) for c in coded]))
+            new, text = usual, b" ".join(usual).decode()
+        if not new:
+            return
+        parts = self.split(text.lower())                    # none crosses a space, and all else is in one
+        kinds = dict.fromkeys(parts)
+        ids, begins, counts = self.merge(list(kinds))
+        kinds = dict(zip(kinds, range(len(kinds))))
+        which = np.fromiter(map(kinds.__getitem__, parts), dtype=np.int64, count=len(parts))
+        part_ends = np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)))
+        chunk_ends = np.cumsum(np.fromiter(map(len, text.split(" ")), dtype=np.int64, count=len(new)))
+        n = counts[which]
+        ends = np.cumsum(n)
+        flat = ids[np.repeat(begins[which] - (ends - n), n) + np.arange(ends[-1])]
+        self._keep(new, flat, np.diff(ends[np.searchsorted(part_ends, chunk_ends)], prepend=0))
+
+    def _keep(self, new: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
+        at = len(self.known)
+        self.known.update(zip(new, range(at, at + len(new))))
+        self.ends = np.concatenate([self.ends, len(self.ids) + np.cumsum(counts)])
+        self.ids = np.concatenate([self.ids, ids])
+        self.counts = np.concatenate([self.counts, counts])
+
+
+def make_merger(rules: dict, model, bits: int = 6):
+    """A function from parts to (ids, begin of each part's ids, their number).
+
+    The model's merges, side by side for all parts of one length: each step replaces the pair
+    of least rank, the first of equals, in every part that has one. Parts of more than
+    ``2 ** bits`` bytes go through ``model``.
+    """
+    vocabulary = rules["vocab"]
     # Printable stand-ins of bytes, by the byte-level rule: visible Latin-1 characters
     # stand for themselves, the rest follow from U+0100 on.
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in shown]
     table = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
     letters = [table[b] for b in range(256)]
-    ids_of = struct.Struct("<I")
-    # Two generations: a full one becomes the older, from which chunks met again come back.
-    chunks: dict[bytes, bytes] = {}
-    older: dict[bytes, bytes] = {}
-    parts: dict[str, bytes] = {}
-
-    def part(p: str) -> bytes:
-        if len(parts) > cache_size:
-            parts.clear()
-        found = model.tokenize(p if p.isalpha() and p.isascii() else "".join([letters[b] for b in p.encode()]))
-        out = parts[p] = ids_of.pack(found[0].id) if len(found) == 1 else np.array([t.id for t in found], dtype="<u4").tobytes()
-        return out
-
-    def chunk(raw: bytes) -> bytes:
-        if len(chunks) > cache_size:
-            older.clear()
-            older.update(chunks)
-            chunks.clear()
-        known = older.get(raw)
-        if known is not None:
-            chunks[raw] = known
-            return known
-        if raw.isalpha():                                   # A-Z only: one part
-            text = raw.lower().decode()
-            out = chunks[raw] = parts.get(text) or part(text)
-            return out
-        text = raw.decode()
-        if plain(text) and unicodedata.is_normalized("NFC", text):
-            out = b"".join([parts.get(p) or part(p) for p in split(text.lower())])
-        else:
-            out = np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        chunks[raw] = out
-        return out
-
-    def encode(text: bytes | None) -> bytes:
-        # An empty result is cached as well, hence the comparison with None.
-        known = chunks.get
-        out = []
-        for raw in (text or b"").split():
-            got = known(raw)
-            out.append(chunk(raw) if got is None else got)
-        return b"".join(out)
-
-    return encode
+    end = rules["end_of_word_suffix"]
+    inner, last = (np.array([vocabulary[c + e] for c in letters], dtype=np.int32) for e in ("", end))
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in rules["merges"]]
+    left, right, into = (np.array([vocabulary[x] for x in xs], dtype=np.int64)
+                         for xs in ([a for a, _ in pairs], [b for _, b in pairs], [a + b for a, b in pairs]))
+    none = len(pairs)
+    kind, half = (np.uint32, 16) if len(vocabulary) <= 1 << 16 else (np.int64, 32)     # a pair as one number
+    order = np.argsort(left << half | right, kind="stable")
+    keys = (left << half | right)[order].astype(kind)
+    into = into.astype(np.int32)
+
+    def rank(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = a.astype(kind) << half | b.astype(kind)
+        at = np.minimum(np.searchsorted(keys, pair), none - 1)
+        return np.where(keys[at] == pair, order[at], none).astype(np.int32)
+
+    starts = [rank(inner[:, None], x[None, :]).ravel() for x in (inner, last)]      # ranks of pairs of bytes
+
+    def merge(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raw = [p.encode() for p in parts]
+        counts = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        begins = np.cumsum(counts) - counts
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.int64)
+        ids = np.empty(len(data), dtype=np.int32)                                   # never more ids than bytes
+        for size in np.unique(counts).tolist():
+            rows = np.flatnonzero(counts == size)
+            if size > 1 << bits:
+                for r in rows.tolist():
+                    found = [t.id for t in model.tokenize("".join([letters[b] for b in raw[r]]))]
+                    ids[begins[r]:begins[r] + len(found)] = found
+                    counts[r] = len(found)
+                continue
+            got = data[begins[rows] + np.arange(size)[:, None]]
+            symbols = inner[got]
+            symbols[-1] = last[got[-1]]
+            ranks = np.empty((size - 1, len(rows)), dtype=np.int32)
+            if size > 1:
+                ranks[:-1] = starts[0][got[:-2] << 8 | got[1:-1]]
+                ranks[-1] = starts[1][got[-2] << 8 | got[-1]]
+            while len(rows):
+                size = len(symbols)
+                place = np.arange(size - 1, dtype=np.int32)[:, None]
+                best = (ranks << bits | place).min(axis=0) if size > 1 else np.full(len(rows), none << bits, dtype=np.int32)
+                ready = best >= none << bits
+                if ready.any():
+                    at = np.flatnonzero(ready)
+                    ids[begins[rows[at]] + np.arange(size)[:, None]] = symbols[:, at]
+                    counts[rows[at]] = size
+                    on = np.flatnonzero(~ready)
+                    rows, symbols, ranks, best = rows[on], symbols[:, on], ranks[:, on], best[on]
+                    if not len(rows):
+                        break
+                at, cols = best & (1 << bits) - 1, np.arange(len(rows))
+                later = place > at
+                symbols = np.where(later, symbols[1:], symbols[:-1])
+                symbols[at, cols] = into[best >> bits]
+                ranks = np.where(later[:-1], ranks[1:], ranks[:-1])
+                for on, shift in ((np.flatnonzero(at > 0), -1), (np.flatnonzero(at < size - 2), 0)):
+                    first = at[on] + shift
+                    ranks[first, on] = rank(symbols[first, on], symbols[first + 1, on])
+        return ids, begins, counts
+
+    return merge
 
 
 def tokenise(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
@@ -129,12 +218,16 @@ def tokenise(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
     width = 4 * capacity
 
     def run(batches):
-        encode = None
+        coder = None
         for batch in bounded_batches(batches, 4 << 20):
-            encode = encode or word_encoder(vocabulary)
+            coder = coder or word_encoder(vocabulary)
+            if coder.full:
+                coder.clear()
             cols = [[], [], [], [], []]
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                ids = encode(text) + end
+            coded, counts = coder.encode(split_words(batch.column(1)))
+            coded, ends = coded.astype("<u4").tobytes(), [0, *(4 * np.cumsum(counts)).tolist()]
+            for key, *of in zip(batch.column(0).to_pylist(), ends, ends[1:]):
+                ids = coded[slice(*of)] + end
                 for piece, at in enumerate(range(0, len(ids), width)):
                     cut = ids[at:at + width]
                     for col, value in zip(cols, (key, piece, at // 4, len(cut) // 4, cut)):

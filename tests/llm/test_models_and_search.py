@@ -8,11 +8,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from laminar.llm import ann, lm_scoring, pii, queries, toxicity, url_filters
+from laminar.llm import ann, lm_scoring, packing, pii, queries, toxicity, url_filters
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars int"
 SF = SF_SMALL.replace("0.001", "0.01")
@@ -327,6 +328,41 @@ def test_lm_edges(spark):
     assert alone["train_tokens"] == 0 and alone["n_known"] == 0 and alone["score"] == pytest.approx(-math.log10(49408))
 
 
+def test_different_chunks_are_encoded_once_and_together():
+    from tokenizers import Tokenizer
+
+    from laminar.llm.common import split_words
+    vocabulary = queries.vocabulary_path("word_bpe_49k.json")
+    texts = ["It's an onthering, onthering\tAÉß. x", None, "", " \n ", "<|endoftext|> 日本 \u0130 e\u0301 \x1f", "ab" * 50 + " " + "c" * 64,
+             "12 a's 'S thoninti&&& ***", "\u01c6 Ł\u0301 J\u030c"]
+    tokenizer = Tokenizer.from_file(vocabulary)
+    tokenizer.encode_special_tokens = True
+    want = [tokenizer.encode(w, add_special_tokens=False).ids for t in texts for w in (t or "").encode().split() for w in [w.decode()]]
+    sizes = [len((t or "").encode().split()) for t in texts]
+    coder = packing.WordEncoder(vocabulary, cache_size=4)
+    for _ in range(2):                                      # all new, then all known
+        words = split_words(pa.array(texts, pa.string()))
+        ids, counts = coder.encode(words)
+        assert words.sizes.tolist() == sizes and len(words.kinds) == len(set(words.kinds.to_pylist()))
+        assert ids.tolist() == [i for w in want for i in w]
+        ends = np.cumsum([0, *sizes])
+        assert counts.tolist() == [sum(map(len, want[a:b])) for a, b in zip(ends, ends[1:])]
+        assert set(coder.known) == {w for t in texts for w in (t or "").encode().split()} and coder.full
+    coder.clear()
+    assert coder.encode(split_words(pa.array([], pa.string())))[0].size == 0 and not coder.full
+
+
+def test_words_are_counted_in_the_pass_that_encodes(spark):
+    texts, ids = ["The the  THE É é", None, "", "a The", "x"], [3, 1, 2, 4, None]
+    docs, counts = lm_scoring.encode(frame(spark, texts, ids), queries.vocabulary_path("word_bpe_49k.json"))
+    rows = docs.collect()
+    assert Counter(r["text"] for r in rows) == Counter(t or "" for t in texts) and len({r["row"] for r in rows}) == len(texts)
+    assert all(np.frombuffer(r["ids"], "<u2").tolist().index(lm_scoring.END) == len(r["ids"]) // 2 - 1 for r in rows)
+    trained = [t for t, i in zip(texts, ids) if zlib.crc32(str("" if i is None else i).encode()) % 10]
+    assert {r["word"]: r["c"] for r in counts.collect()} == Counter(
+        w.decode() for t in trained for w in (t or "").encode().lower().split())
+
+
 # ---------------------------------------------------------------- toxicity
 def test_toxicity_on_held_out_labels(spark):
     sf = SF_SMALL.replace("0.001", "0.1")
