@@ -70,6 +70,23 @@ class Warehouse:
             f.name if f.name in chosen.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in orders.schema])
         return out
 
+    def ods_order_parts(self, path: str) -> list[DataFrame]:
+        """The raw orders as frames of whole days, each day in one of them: one frame, or with
+        large tables some to land one after the other, so that only a share of the rows is in a
+        shuffle at a time. The line items then join their orders once; the result is written to
+        ``path`` by the pass of its day, and a frame reads its own rows and joins the parts."""
+        from laminar.sinks.partitioned import day_bucket, day_passes, write_frame
+        lineitem = self.table("lineitem")
+        passes = day_passes(int(str(lineitem._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
+        if passes == 1:
+            return [self.ods_order_info]
+        lines = testdata.order_lines(lineitem, self.table("orders")).withColumn(
+            "day_pass", day_bucket(testdata.order_day(), passes))
+        write_frame(lines, path, ("day_pass",), compression="zstd", spread=False)
+        back = self.spark.read.schema(lines.schema).parquet(path)
+        return [testdata.ods_orders_of_lines(back.where(F.col("day_pass") == i).drop("day_pass"), self.table("part"))
+                for i in range(passes)]
+
     def layers(self) -> dict[str, DataFrame]:
         return {
             "ods_user_info": self.ods_user_info, "ods_order_info": self.ods_order_info,

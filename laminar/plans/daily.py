@@ -1,7 +1,9 @@
 """The daily run: raw -> detail -> summary, one day or a range of days per job.
 
 A range is processed by the same jobs as one day (the day filter is a partition
-filter on ``dt``), never by looping over days on the driver. Each layer is
+filter on ``dt``), never by looping over days on the driver. The summaries of a large
+range are made in a few passes over their days (``sinks.partitioned.day_passes``), as their
+shuffles are several times the detail. Each layer is
 written, then read back for the next layer: the written table cuts the lineage,
 so a lost executor late in the run recomputes from the last written layer, not
 from the raw extract. The caller's session is never stopped here.
@@ -24,9 +26,11 @@ from laminar.schemas import (
     DWD_ORDER_INFO, DWD_USER_INFO, DWS_PRODUCT_DAILY_STATS, DWS_USER_DAILY_STATS, TableSpec,
 )
 from laminar.session import configure
+from laminar.sinks import files
+from laminar.sinks.partitioned import day_passes
 from laminar.sinks.partitioned import write_table as plain_write
 from laminar.sinks.publish import publish_day
-from laminar.sources.tables import read_days
+from laminar.sources.tables import read_days, table_path
 
 
 @dataclass(frozen=True)
@@ -57,6 +61,16 @@ def _read(spark: SparkSession, root: str, spec: TableSpec, days: Days) -> DataFr
     return read_days(spark, root, spec, days.first, days.last)
 
 
+def _stored(spark: SparkSession, root: str, spec: TableSpec, days: Days) -> int:
+    """Bytes of the range's day folders."""
+    table = table_path(root, spec)
+    if days.first is None and days.last is None:
+        return files.size(spark, table)
+    inside = [n for n in files.names(spark, table) if n.startswith("dt=")
+              and (days.first is None or n[len("dt="):] >= days.first) and (days.last is None or n[len("dt="):] <= days.last)]
+    return sum(files.size(spark, f"{table}/{n}") for n in inside)
+
+
 def _concurrently(*jobs):
     """Run independent table writes as concurrent Spark jobs (they share the cluster)."""
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
@@ -97,9 +111,12 @@ def run(spark: SparkSession, root: str, days: Days,
     detail = _read(spark, root, DWD_ORDER_INFO, days)
     if logins is not None:
         logins = logins.where(days.predicate())
+    passes = {} if "day" in target else {"passes": day_passes(_stored(spark, root, DWD_ORDER_INFO, days))}
+    # Logins are not stored by day here: passes would read all of them again.
     user_stats, product_stats = _concurrently(
-        lambda: write_table(user_daily_stats(detail, logins), root, DWS_USER_DAILY_STATS, **target),
-        lambda: write_table(product_daily_stats(detail), root, DWS_PRODUCT_DAILY_STATS, **target))
+        lambda: write_table(user_daily_stats(detail, logins), root, DWS_USER_DAILY_STATS, **target,
+                            **passes if logins is None else {}),
+        lambda: write_table(product_daily_stats(detail), root, DWS_PRODUCT_DAILY_STATS, **target, **passes))
     return {DWD_USER_INFO.name: users, DWD_ORDER_INFO.name: orders,
             DWS_USER_DAILY_STATS.name: user_stats, DWS_PRODUCT_DAILY_STATS.name: product_stats}
 

@@ -136,6 +136,7 @@ def etl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from laminar.schemas import (DWD_ORDER_INFO, DWD_USER_INFO, DWS_PRODUCT_DAILY_STATS,
                                  DWS_USER_DAILY_STATS, ODS_ORDER_INFO, ODS_USER_INFO)
     from laminar.session import new_area
+    from laminar.sinks import files
     from laminar.sinks.partitioned import land
     from laminar.sources.tables import read_table
 
@@ -145,7 +146,8 @@ def etl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     mine = f"roundtrip_{root.rsplit('-', 1)[-1]}_"
     catalog.create_tables(spark, root, mine)
     daily._concurrently(lambda: land(wh.ods_user_info, root, ODS_USER_INFO),
-                        lambda: land(wh.ods_order_info, root, ODS_ORDER_INFO))
+                        lambda: [land(part, root, ODS_ORDER_INFO) for part in wh.ods_order_parts(f"{root}/lines")])
+    files.remove(spark, f"{root}/lines")          # the landed days hold its rows
     daily.run(spark, root, daily.Days.every(), SCALE_CATEGORY_RULES)
     latest = read_table(spark, root, ODS_ORDER_INFO).agg(F.max("dt")).first()[0]
     if latest is not None:

@@ -9,7 +9,7 @@ path runs. All work is Spark: scans with column pruning, joins and projections.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laminar.schemas import MONEY
@@ -87,10 +87,25 @@ def ods_orders(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataF
     data, so neither is forced into a broadcast; AQE converts a join to a
     broadcast only when the measured side is below the threshold.
     """
+    return ods_orders_of_lines(order_lines(lineitem, orders), part)
+
+
+def order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Line items with their order (lineitem ⨝ orders), as the raw order records need them."""
     li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
     od = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    return li.join(od, li.l_orderkey == od.o_orderkey).drop("o_orderkey")
+
+
+def order_day() -> Column:
+    """The day a line's raw order record lands on (the day part of the order time)."""
+    return F.substring(F.date_format("o_orderdate", TS_FORMAT), 1, len(DAY_FORMAT))
+
+
+def ods_orders_of_lines(lines: DataFrame, part: DataFrame) -> DataFrame:
+    """Raw order records of ``order_lines`` and their parts."""
     pt = part.select("p_partkey", "p_name", "p_retailprice")
-    j = li.join(od, li.l_orderkey == od.o_orderkey).join(pt, li.l_partkey == pt.p_partkey)
+    j = lines.join(pt, lines.l_partkey == pt.p_partkey)
     okey, pkey = F.col("l_orderkey"), F.col("l_partkey")
     order_time = F.date_format("o_orderdate", TS_FORMAT)
     return j.select(
@@ -107,7 +122,7 @@ def ods_orders(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataF
         order_time.alias("order_time"),
         _null_when(F.col("o_orderstatus") == "P", F.date_format("l_shipdate", TS_FORMAT)).alias("payment_time"),
         order_time.alias("create_time"),
-        F.substring(order_time, 1, len(DAY_FORMAT)).alias("dt"),    # the day part of the order time
+        order_day().alias("dt"),
     )
 
 
